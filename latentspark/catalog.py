@@ -228,6 +228,562 @@ def q_r3_recommend(spark, d):
     return recs.select("req_pos", "user", "position", "item", r6("score").alias("score"), "name")
 
 
+# ------------------------------------------------------------------ S2/S3/P4 parsing
+@register("s2_parse_ratings", """
+SELECT CAST(o_custkey AS INT) AS "user", CAST(l_partkey AS INT) AS item,
+       CAST(CAST(l_quantity AS INT) % 5 + 1 AS DOUBLE) AS rating
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber <> 1""")
+def q_s2_parse_ratings(spark, d):
+    """Rating lines written by Spark from lineitem ⋈ orders (1-based ids):
+    line 1 of an order has only two fields and a trailing tab (dropped, Q12),
+    line 2 carries a fourth field (ignored)."""
+    from .sources.text import parse_ratings
+    li = tb.table(spark, d, "lineitem")
+    od = tb.table(spark, d, "orders")
+    j = li.join(od, li.l_orderkey == od.o_orderkey)
+    u, i = F.col("o_custkey") + 1, F.col("l_partkey") + 1
+    rating = F.col("l_quantity").cast("int") % 5 + 1
+    line = (F.when(F.col("l_linenumber") == 1, F.format_string("%d\t%d\t", u, i))
+            .when(F.col("l_linenumber") == 2, F.format_string("%d\t%d\t%d\t%d", u, i, rating, F.col("l_orderkey")))
+            .otherwise(F.format_string("%d %d %d", u, i, rating)))
+    return parse_ratings(j.select(line.alias("value")))
+
+
+@register("s3_parse_items", """
+SELECT CAST(p_partkey AS INT) AS item, p_name AS name FROM part WHERE p_size >= 5""")
+def q_s3_parse_items(spark, d):
+    """Title lines ``id|name|brand`` (1-based); parts with size < 5 give a bare ``id|`` (dropped)."""
+    from .sources.text import parse_items
+    p = tb.table(spark, d, "part")
+    line = F.when(F.col("p_size") < 5, F.format_string("%d|", F.col("p_partkey") + 1)).otherwise(
+        F.format_string("%d|%s|%s", F.col("p_partkey") + 1, F.col("p_name"), F.col("p_brand")))
+    return parse_items(p.select(line.alias("value")))
+
+
+@register("p4_parse_requests", """
+SELECT c_custkey AS line_id, 0 AS pos, CAST(c_custkey AS INT) AS "user" FROM customer
+UNION ALL
+SELECT c_custkey AS line_id, 1 AS pos, CAST(c_nationkey AS INT) AS "user" FROM customer""")
+def q_p4_parse_requests(spark, d):
+    """Request lines `` <custkey>, <nationkey>`` (leading blank, Q19)."""
+    from .sources.text import parse_requests
+    c = tb.table(spark, d, "customer")
+    lines = c.select("c_custkey", F.format_string(" %d, %d", "c_custkey", "c_nationkey").alias("value"))
+    return parse_requests(lines, "c_custkey")
+
+
+# ------------------------------------------------------------------ V5/V6 flatten
+NS_EV = "ns AS (SELECT MAX(\"user\") + 1 AS n FROM r)"
+
+
+@register("v5_flatten_params", with_sql(R_EV_SQL, DET_SQL, NS_EV) + """
+SELECT CAST(id * 2 + k AS BIGINT) AS pos, 'user' AS side, id, k, round(CASE k WHEN 0 THEN f0 ELSE f1 END, 6) AS value
+FROM uf, (SELECT 0 AS k UNION ALL SELECT 1) ks
+UNION ALL
+SELECT CAST(ns.n * 2 + id * 2 + k AS BIGINT) AS pos, 'item' AS side, id, k,
+       round(CASE k WHEN 0 THEN f0 ELSE f1 END, 6) AS value
+FROM vf, ns, (SELECT 0 AS k UNION ALL SELECT 1) ks""")
+def q_v5_flatten(spark, d):
+    from .operators.params import flatten_params
+    r = _r_ev(spark, d)
+    uf, vf = tb.det_model(r)
+    fl = flatten_params(uf, vf, rt.dims(r).n_users, 2)
+    return fl.select("pos", "side", "id", "k", r6("value").alias("value"))
+
+
+@register("v6_unflatten_params", with_sql(R_EV_SQL, DET_SQL) + """
+SELECT 'user' AS side, id, round(f0, 6) AS f0, round(f1, 6) AS f1 FROM uf
+UNION ALL SELECT 'item' AS side, id, round(f0, 6) AS f0, round(f1, 6) AS f1 FROM vf""")
+def q_v6_unflatten(spark, d):
+    """Round trip: padded factors → flat vector → factors (ids 0..n-1, 0..m-1 all present in r_ev)."""
+    from .operators.params import flatten_params, unflatten_params
+    r = _r_ev(spark, d)
+    dm = rt.dims(r)
+    uf, vf = tb.det_model(r)
+    fl = flatten_params(uf, vf, dm.n_users, 2)
+    u2, v2, _ = unflatten_params(fl, dm.n_users, dm.n_items)
+    return (u2.select(F.lit("user").alias("side"), "id", *_flat2(None))
+            .unionByName(v2.select(F.lit("item").alias("side"), "id", *_flat2(None))))
+
+
+@register("v7_gaussian_factors")
+def q_v7_gaussian(spark, d):
+    """Hash-seeded N(0,1) rank-10 factors for every customer id of r_ord (rows-only)."""
+    from .operators.params import gaussian_factors
+    n = rt.dims(_r_ord(spark, d)).n_users
+    return gaussian_factors(spark, n, 10, 8).select("id", *[F.col("features").getItem(j).alias(f"f{j}")
+                                                            for j in range(10)])
+
+
+# ------------------------------------------------------------------ A8/A9/A10 sums
+@register("a8_sq_diff", with_sql(R_ORD_SQL, DET_SQL) + HALF_ITEM_SQL + """,
+h AS (SELECT id, (c*y0 - b*y1) / (a*c - b*b) AS f0, (a*y1 - b*y0) / (a*c - b*b) AS f1 FROM g)
+SELECT round(SUM((h.f0 - vf.f0)*(h.f0 - vf.f0) + (h.f1 - vf.f1)*(h.f1 - vf.f1)), 6) AS sq_diff
+FROM h JOIN vf ON vf.id = h.id""")
+def q_a8_sq_diff(spark, d):
+    """Distance between the item factors before and after one half-step."""
+    r = _r_ord(spark, d)
+    uf, vf = tb.det_model(r)
+    h = rg.als_half_step(r, uf, "user", "item", 2, LAM)
+    return objective.sq_diff_frame(h, vf, 2).select(r6("sq_diff").alias("sq_diff"))
+
+
+@register("a9_sq_norm", with_sql(R_ORD_SQL, DET_SQL) + """
+SELECT 'user' AS side, round(SUM(f0*f0 + f1*f1), 6) AS sq_norm, round(sqrt(SUM(f0*f0 + f1*f1)), 6) AS norm FROM uf
+UNION ALL
+SELECT 'item' AS side, round(SUM(f0*f0 + f1*f1), 6) AS sq_norm, round(sqrt(SUM(f0*f0 + f1*f1)), 6) AS norm FROM vf""")
+def q_a9_sq_norm(spark, d):
+    r = _r_ord(spark, d)
+    uf, vf = tb.det_model(r)
+    a = objective.sq_norm_frame(uf, 2).select(F.lit("user").alias("side"), r6("sq_norm").alias("sq_norm"),
+                                              r6("norm").alias("norm"))
+    b = objective.sq_norm_frame(vf, 2).select(F.lit("item").alias("side"), r6("sq_norm").alias("sq_norm"),
+                                              r6("norm").alias("norm"))
+    return a.unionByName(b)
+
+
+@register("a10_param_dots", with_sql(R_ORD_SQL, DET_SQL, NR_SQL) + GRAD_SQL + """
+SELECT round(1.0e6 * (SELECT SUM(du.f0*du.f0 + du.f1*du.f1) FROM du) + 1.0e6 * (SELECT SUM(di.f0*di.f0 + di.f1*di.f1) FROM di), 6) AS gg,
+       round((SELECT SUM(du.f0*uf.f0 + du.f1*uf.f1) FROM du JOIN uf ON uf.id = du.id)
+           + (SELECT SUM(di.f0*vf.f0 + di.f1*vf.f1) FROM di JOIN vf ON vf.id = di.id), 6) AS gx""")
+def q_a10_param_dots(spark, d):
+    """gᵀg (×10⁶, the gradient is small) and gᵀx at the deterministic point."""
+    r = _r_ord(spark, d)
+    uf, vf = tb.det_model(r)
+    du, di = objective.gradient(r, uf, vf, 2, LAM, r.count())
+    gg = objective.param_dots_frame((du, di), (du, di), 2).select((F.col("dot") * 1.0e6).alias("gg"))
+    gx = objective.param_dots_frame((du, di), (uf, vf), 2).select(F.col("dot").alias("gx"))
+    return gg.unionByName(gx, allowMissingColumns=True).agg(r6(F.max("gg")).alias("gg"), r6(F.max("gx")).alias("gx"))
+
+
+# ------------------------------------------------------------------ A11 line polynomial
+@register("a11_line_poly", with_sql(R_ORD_SQL, DET_SQL, NR_SQL) + GRAD_SQL + """,
+q AS (SELECT (u.f0*v.f0 + u.f1*v.f1) - r.rating AS e,
+             -((u.f0*dv.f0 + u.f1*dv.f1) + (du.f0*v.f0 + du.f1*v.f1)) AS p,
+             du.f0*dv.f0 + du.f1*dv.f1 AS q
+      FROM r JOIN uf u ON u.id = r."user" JOIN du ON du.id = r."user"
+             JOIN vf v ON v.id = r.item JOIN di dv ON dv.id = r.item),
+s AS (SELECT SUM(e*e) AS ee, SUM(e*p) AS ep, SUM(p*p + 2.0e0*e*q) AS pp2eq, SUM(p*q) AS pq, SUM(q*q) AS qq FROM q),
+x AS (SELECT SUM(xx) AS xx, SUM(xd) AS xd, SUM(dd) AS dd FROM (
+        SELECT u.f0*u.f0 + u.f1*u.f1 AS xx, u.f0*du.f0 + u.f1*du.f1 AS xd, du.f0*du.f0 + du.f1*du.f1 AS dd
+        FROM uf u JOIN du ON du.id = u.id
+        UNION ALL
+        SELECT v.f0*v.f0 + v.f1*v.f1, v.f0*di.f0 + v.f1*di.f1, di.f0*di.f0 + di.f1*di.f1
+        FROM vf v JOIN di ON di.id = v.id))
+SELECT round((0.5e0*ee + 0.5e0*0.01e0*xx) / n, 6) AS c0, round((ep - 0.01e0*xd) / n * 1.0e3, 6) AS c1,
+       round((0.5e0*pp2eq + 0.5e0*0.01e0*dd) / n * 1.0e6, 6) AS c2, round(pq / n * 1.0e9, 6) AS c3,
+       round(0.5e0*qq / n * 1.0e12, 6) AS c4
+FROM s, x, nr""")
+def q_a11_line_poly(spark, d):
+    """Coefficients of a ↦ loss(x − a·∇f) at the deterministic point; cⱼ scaled by 10^(3j)
+    (the gradient is O(10⁻³))."""
+    r = _r_ord(spark, d)
+    uf, vf = tb.det_model(r)
+    n = r.count()
+    du, di = objective.gradient(r, uf, vf, 2, LAM, n)
+    c = objective.line_poly_frame(r, uf, vf, du, di, 2, LAM, n)
+    return c.select(*[r6(F.col(f"c{j}") * (10.0 ** (3 * j))).alias(f"c{j}") for j in range(5)])
+
+
+# ------------------------------------------------------------------ M8/M9 ridge
+def _ridge2_sql(by: str, weight: str, lam: str) -> str:
+    sel = f"{by}, " if by else ""
+    grp = f"GROUP BY {by}" if by else ""
+    return f"""
+WITH g AS (SELECT {sel}SUM({weight}*l_discount*l_discount) + {lam} AS a, SUM({weight}*l_discount*l_tax) AS b,
+                  SUM({weight}*l_tax*l_tax) + {lam} AS c, SUM({weight}*l_discount*l_quantity) AS y0,
+                  SUM({weight}*l_tax*l_quantity) AS y1
+           FROM lineitem {grp})
+SELECT {sel}round((c*y0 - b*y1) / (a*c - b*b), 6) AS c0, round((a*y1 - b*y0) / (a*c - b*b), 6) AS c1 FROM g"""
+
+
+@register("m8_ridge", _ridge2_sql("", "1.0e0", "1.0e0"))
+def q_m8_ridge(spark, d):
+    """Quantity on (discount, tax) over all of lineitem, λ = 1."""
+    li = tb.table(spark, d, "lineitem")
+    res = rg.ridge(li, ["l_discount", "l_tax"], "l_quantity", 1.0)
+    return res.select(r6(F.col("coef").getItem(0)).alias("c0"), r6(F.col("coef").getItem(1)).alias("c1"))
+
+
+@register("m9_weighted_ridge", _ridge2_sql("l_returnflag", "CAST(l_linenumber AS DOUBLE)", "0.5e0"))
+def q_m9_weighted_ridge(spark, d):
+    """Per return flag, weights = line number, λ = 0.5."""
+    li = tb.table(spark, d, "lineitem")
+    res = rg.weighted_ridge(li, ["l_discount", "l_tax"], "l_quantity", "l_linenumber", 0.5, by=["l_returnflag"])
+    return res.select("l_returnflag", r6(F.col("coef").getItem(0)).alias("c0"),
+                      r6(F.col("coef").getItem(1)).alias("c1"))
+
+
+# ------------------------------------------------------------------ M4 unrolled descent + W1/W2/T3
+GD_STEP = 100.0
+GD_STEPS = 3
+
+
+def _gd_unroll_sql(steps: int, a: float) -> str:
+    parts = [R_ORD_SQL, DET_SQL, NR_SQL, "u0 AS (SELECT * FROM uf)", "v0 AS (SELECT * FROM vf)"]
+    za = f"({-a!r}e0)" if "e" not in repr(-a) else f"({-a!r})"
+    for t in range(steps + 1):
+        if t > 0:
+            parts.append(f"""l{t} AS (
+  SELECT 0.5e0 * ((SELECT SUM((r.rating - (u.f0*v.f0 + u.f1*v.f1)) * (r.rating - (u.f0*v.f0 + u.f1*v.f1)))
+                   FROM r JOIN u{t} u ON u.id = r."user" JOIN v{t} v ON v.id = r.item)
+                 + 0.01e0 * (SELECT SUM(f0*f0 + f1*f1) FROM u{t}) + 0.01e0 * (SELECT SUM(f0*f0 + f1*f1) FROM v{t}))
+         / (SELECT n FROM nr) AS loss)""")
+        if t == steps:
+            break
+        parts.append(f"""e{t} AS (SELECT r."user", r.item, (u.f0*v.f0 + u.f1*v.f1) - r.rating AS delta,
+             u.f0 AS u0, u.f1 AS u1, v.f0 AS v0, v.f1 AS v1
+      FROM r JOIN u{t} u ON u.id = r."user" JOIN v{t} v ON v.id = r.item)""")
+        parts.append(f"""gu{t} AS (SELECT "user" AS id, SUM(delta*v0) AS g0, SUM(delta*v1) AS g1 FROM e{t} GROUP BY 1)""")
+        parts.append(f"""gi{t} AS (SELECT item AS id, SUM(delta*u0) AS g0, SUM(delta*u1) AS g1 FROM e{t} GROUP BY 1)""")
+        for side, g in (("u", "gu"), ("v", "gi")):
+            parts.append(f"""{side}{t + 1} AS (SELECT x.id,
+  x.f0 + {za} * ((coalesce(g.g0, 0.0e0) + 0.01e0*x.f0) / (SELECT n FROM nr)) AS f0,
+  x.f1 + {za} * ((coalesce(g.g1, 0.0e0) + 0.01e0*x.f1) / (SELECT n FROM nr)) AS f1
+  FROM {side}{t} x LEFT JOIN {g}{t} g ON g.id = x.id)""")
+    hist = " UNION ALL ".join(f"SELECT {t} AS iter, loss FROM l{t + 1}" for t in range(steps))
+    parts.append(f"h AS ({hist})")
+    return with_sql(*parts)
+
+
+def _gd_history(spark, d):
+    from .operators.params import Params
+    from .plans.descent import Problem, fit_gd_fixed
+    r = _r_ord(spark, d)
+    uf, vf = tb.det_model(r)
+    prob = Problem(r, 2, LAM, float(r.count()))
+    fit = fit_gd_fixed(prob, Params(uf, vf), GD_STEP, 0.0, max_iter=GD_STEPS)
+    return fit.trace.frame(spark)
+
+
+@register("m4_gd_fixed", _gd_unroll_sql(GD_STEPS, GD_STEP) + """
+SELECT iter, round(loss, 6) AS loss,
+       round(coalesce(loss / lag(loss) OVER (ORDER BY iter), 0.5e0), 6) AS red FROM h""")
+def q_m4_gd_fixed(spark, d):
+    """Three fixed steps (a = 100, ε = 0) from the deterministic point; the trace."""
+    h = _gd_history(spark, d)
+    return h.select("iter", r6("loss").alias("loss"), r6("red").alias("red"))
+
+
+@register("w1_shrink", _gd_unroll_sql(GD_STEPS, GD_STEP) + """,
+w AS (SELECT iter, loss, coalesce(loss / lag(loss) OVER (ORDER BY iter), 0.5e0) AS red FROM h)
+SELECT iter, round(red, 6) AS red,
+       round(1.0e0 - avg(red) OVER (ORDER BY iter ROWS BETWEEN 1 PRECEDING AND CURRENT ROW), 6) AS shrink
+FROM w ORDER BY iter DESC LIMIT 2""")
+def q_w1_shrink(spark, d):
+    """W2 (ratio by lag), W1 (shrink over the latest 2 rows) and T3 (newest 2 rows) on the M4 trace."""
+    from .operators.diagnostics import latest, shrink, with_reduction
+    h = _gd_history(spark, d).select("iter", "loss")
+    s = shrink(with_reduction(h), 2)
+    return latest(s, 2).select("iter", r6("red").alias("red"), r6("shrink").alias("shrink"))
+
+
+# ------------------------------------------------------------------ M3 unrolled ALS
+def _als_unroll_sql(sweeps: int) -> str:
+    parts = [R_ORD_SQL, DET_SQL, "u0 AS (SELECT * FROM uf)"]
+
+    def solve(name, src, fixed_key, out_key):
+        return f"""{name} AS (SELECT id, (c*y0 - b*y1) / (a*c - b*b) AS f0, (a*y1 - b*y0) / (a*c - b*b) AS f1 FROM (
+  SELECT r.{out_key} AS id, SUM(x.f0*x.f0) + 0.01e0 AS a, SUM(x.f0*x.f1) AS b, SUM(x.f1*x.f1) + 0.01e0 AS c,
+         SUM(x.f0*r.rating) AS y0, SUM(x.f1*r.rating) AS y1
+  FROM r JOIN {src} x ON x.id = r.{fixed_key} GROUP BY r.{out_key}))"""
+    for t in range(1, sweeps + 1):
+        parts.append(solve(f"v{t}", f"u{t - 1}", '"user"', "item"))
+        parts.append(solve(f"u{t}", f"v{t}", "item", '"user"'))
+    return with_sql(*parts) + f"""
+SELECT 'user' AS side, id, round(f0, 6) AS f0, round(f1, 6) AS f1 FROM u{sweeps}
+UNION ALL SELECT 'item' AS side, id, round(f0, 6) AS f0, round(f1, 6) AS f1 FROM v{sweeps}"""
+
+
+@register("m3_als", _als_unroll_sql(2))
+def q_m3_als(spark, d):
+    """Two sweeps of our ALS (rank 2, λ 0.01) from the deterministic point."""
+    from .operators.params import Params
+    from .plans.als import als_sweeps
+    r = _r_ord(spark, d)
+    dm = rt.dims(r)
+    uf, vf = tb.det_model(r)
+    x = als_sweeps(r, Params(uf, vf), 2, LAM, 2, dm.n_users, dm.n_items)
+    return (x.uf.select(F.lit("user").alias("side"), "id", *_flat2(None))
+            .unionByName(x.vf.select(F.lit("item").alias("side"), "id", *_flat2(None))))
+
+
+# ------------------------------------------------------------------ D1/D2/D3 gradient checks
+def _points(spark, d):
+    li = tb.table(spark, d, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", F.col("l_discount").alias("x0"), F.col("l_tax").alias("x1"),
+                     (F.col("l_quantity") / F.lit(50.0)).alias("x2"))
+
+
+def _f_poly(v):
+    return F.lit(3.0) * v["x0"] * v["x0"] * v["x0"] - F.lit(4.0) * v["x1"] * v["x0"] + F.lit(6.0) * v["x2"]
+
+
+_F_SQL = "(3.0e0*({a})*({a})*({a}) - 4.0e0*({b})*({a}) + 6.0e0*({c}))"
+
+
+def _fsql(a="x0", b="x1", c="x2"):
+    return _F_SQL.format(a=a, b=b, c=c)
+
+
+@register("d1_numeric_gradient", f"""
+WITH p AS (SELECT l_orderkey, l_linenumber, l_discount AS x0, l_tax AS x1, l_quantity / 50.0e0 AS x2 FROM lineitem),
+g AS (SELECT l_orderkey, l_linenumber, x0, x1, x2,
+  ({_fsql("x0 + 0.001e0")} - {_fsql("x0 - 0.001e0")}) / 0.002e0 AS ng_x0,
+  ({_fsql(b="x1 + 0.001e0")} - {_fsql(b="x1 - 0.001e0")}) / 0.002e0 AS ng_x1,
+  ({_fsql(c="x2 + 0.001e0")} - {_fsql(c="x2 - 0.001e0")}) / 0.002e0 AS ng_x2 FROM p)
+SELECT l_orderkey, l_linenumber, round(ng_x0, 6) AS ng_x0, round(ng_x1, 6) AS ng_x1, round(ng_x2, 6) AS ng_x2,
+       round(1.0e6 * ((ng_x0 - (9.0e0*x0*x0 - 4.0e0*x1)) * (ng_x0 - (9.0e0*x0*x0 - 4.0e0*x1))
+                    + (ng_x1 + 4.0e0*x0) * (ng_x1 + 4.0e0*x0) + (ng_x2 - 6.0e0) * (ng_x2 - 6.0e0)), 6) AS sq_dist_e6
+FROM g""")
+def q_d1_numeric_gradient(spark, d):
+    """Central differences (ε = 0.001) of f = 3x0³ − 4x1x0 + 6x2 on lineitem
+    points, and the squared distance to the analytic gradient (×10⁶)."""
+    from .operators.diagnostics import verify_gradient
+    grads = {"x0": lambda v: F.lit(9.0) * v["x0"] * v["x0"] - F.lit(4.0) * v["x1"],
+             "x1": lambda v: F.lit(-4.0) * v["x0"],
+             "x2": lambda v: F.lit(6.0) + F.lit(0.0) * v["x2"]}
+    v = verify_gradient(_points(spark, d), _f_poly, grads, ["x0", "x1", "x2"], 1e-3)
+    return v.select("l_orderkey", "l_linenumber", *[r6("ng_" + c).alias("ng_" + c) for c in ("x0", "x1", "x2")],
+                    r6(F.col("sq_dist") * 1.0e6).alias("sq_dist_e6"))
+
+
+@register("d3_check_mf_gradient", with_sql(R_EV_SQL, DET_SQL, NR_SQL) + GRAD_SQL + """,
+j AS (SELECT r.rating - (u.f0*v.f0 + u.f1*v.f1) AS e, r."user", r.item, u.f0 AS u0, u.f1 AS u1, v.f0 AS v0, v.f1 AS v1
+      FROM r JOIN uf u ON u.id = r."user" JOIN vf v ON v.id = r.item),
+su AS (SELECT "user" AS id,
+         SUM(0.5e0 * ((e - 0.001e0*v0)*(e - 0.001e0*v0) - (e + 0.001e0*v0)*(e + 0.001e0*v0))) AS s0,
+         SUM(0.5e0 * ((e - 0.001e0*v1)*(e - 0.001e0*v1) - (e + 0.001e0*v1)*(e + 0.001e0*v1))) AS s1
+       FROM j GROUP BY 1),
+si AS (SELECT item AS id,
+         SUM(0.5e0 * ((e - 0.001e0*u0)*(e - 0.001e0*u0) - (e + 0.001e0*u0)*(e + 0.001e0*u0))) AS s0,
+         SUM(0.5e0 * ((e - 0.001e0*u1)*(e - 0.001e0*u1) - (e + 0.001e0*u1)*(e + 0.001e0*u1))) AS s1
+       FROM j GROUP BY 1),
+num AS (
+  SELECT 'user' AS side, x.id, 0 AS k, (coalesce(s.s0, 0.0e0) + 0.005e0 * ((x.f0 + 0.001e0)*(x.f0 + 0.001e0) - (x.f0 - 0.001e0)*(x.f0 - 0.001e0))) / nr.n / 0.002e0 AS numeric
+    FROM uf x LEFT JOIN su s ON s.id = x.id, nr
+  UNION ALL
+  SELECT 'user', x.id, 1, (coalesce(s.s1, 0.0e0) + 0.005e0 * ((x.f1 + 0.001e0)*(x.f1 + 0.001e0) - (x.f1 - 0.001e0)*(x.f1 - 0.001e0))) / nr.n / 0.002e0
+    FROM uf x LEFT JOIN su s ON s.id = x.id, nr
+  UNION ALL
+  SELECT 'item', x.id, 0, (coalesce(s.s0, 0.0e0) + 0.005e0 * ((x.f0 + 0.001e0)*(x.f0 + 0.001e0) - (x.f0 - 0.001e0)*(x.f0 - 0.001e0))) / nr.n / 0.002e0
+    FROM vf x LEFT JOIN si s ON s.id = x.id, nr
+  UNION ALL
+  SELECT 'item', x.id, 1, (coalesce(s.s1, 0.0e0) + 0.005e0 * ((x.f1 + 0.001e0)*(x.f1 + 0.001e0) - (x.f1 - 0.001e0)*(x.f1 - 0.001e0))) / nr.n / 0.002e0
+    FROM vf x LEFT JOIN si s ON s.id = x.id, nr),
+ana AS (SELECT 'user' AS side, id, 0 AS k, f0 AS analytic FROM du UNION ALL SELECT 'user', id, 1, f1 FROM du
+        UNION ALL SELECT 'item', id, 0, f0 FROM di UNION ALL SELECT 'item', id, 1, f1 FROM di)
+SELECT num.side, num.id, num.k, round(numeric * 1.0e3, 6) AS numeric, round(analytic * 1.0e3, 6) AS analytic
+FROM num JOIN ana ON ana.side = num.side AND ana.id = num.id AND ana.k = num.k""")
+def q_d3_check_mf_gradient(spark, d):
+    """Numeric (ε = 0.001) vs analytic gradient of the loss for every coordinate (×10³)."""
+    from .operators.diagnostics import check_mf_gradient
+    r = _r_ev(spark, d)
+    uf, vf = tb.det_model(r)
+    c = check_mf_gradient(r, uf, vf, 2, LAM, float(r.count()), 1e-3)
+    return c.select("side", "id", F.col("k").cast("int").alias("k"), r6(F.col("numeric") * 1.0e3).alias("numeric"),
+                    r6(F.col("analytic") * 1.0e3).alias("analytic"))
+
+
+# ------------------------------------------------------------------ R2 predict
+@register("r2_predict", with_sql(R_EV_SQL, DET_SQL) + """
+SELECT r."user", r.item, round(uf.f0*vf.f0 + uf.f1*vf.f1, 6) AS pred
+FROM r JOIN uf ON uf.id = r."user" JOIN vf ON vf.id = r.item""")
+def q_r2_predict(spark, d):
+    r = _r_ev(spark, d)
+    uf, vf = tb.det_model(r)
+    return rt.predict(r, uf, vf, 2).select("user", "item", r6("pred").alias("pred"))
+
+
+# ------------------------------------------------------------------ R4 nested / S7 report (on r_ev)
+RECS_EV_SQL = with_sql(R_EV_SQL, DET_SQL) + """,
+c AS (SELECT uf.id AS "user", vf.id AS item, uf.f0*vf.f0 + uf.f1*vf.f1 AS score
+      FROM uf, vf WHERE NOT EXISTS (SELECT 1 FROM r WHERE r."user" = uf.id AND r.item = vf.id)),
+t AS (SELECT "user", item, score, row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS position
+      FROM c QUALIFY position <= 20),
+tn AS (SELECT t.*, coalesce(p.p_name, '') AS name FROM t LEFT JOIN part p ON CAST(p.p_partkey AS INT) = t.item)"""
+
+
+def _ev_recs(spark, d):
+    r = _r_ev(spark, d)
+    uf, vf = tb.det_model(r)
+    requests = uf.select(F.col("id").alias("req_pos"), F.col("id").alias("user"))
+    recs = rc.recommend(uf, vf, r, requests, k=20, rank=2, items=tb.items_from_parts(spark, d))
+    return recs, requests, uf
+
+
+@register("r4_recommend_nested", RECS_EV_SQL + """
+SELECT uf.id AS req_pos, uf.id AS "user", COUNT(tn.item) AS n_recs,
+       coalesce(string_agg(tn.name, '|' ORDER BY tn.position), '') AS names
+FROM uf LEFT JOIN tn ON tn."user" = uf.id GROUP BY uf.id""")
+def q_r4_recommend_nested(spark, d):
+    recs, requests, uf = _ev_recs(spark, d)
+    nested = rc.recommend_nested(recs, requests, uf)
+    return nested.select("req_pos", "user", F.size("recommendations").cast("long").alias("n_recs"),
+                         F.array_join(F.transform("recommendations", lambda x: x["name"]), "|").alias("names"))
+
+
+@register("s7_report", RECS_EV_SQL + """
+SELECT "user" AS req_pos, 0 AS line_no, printf('Recommendation for user %d:', "user") AS line
+FROM (SELECT id AS "user" FROM uf)
+UNION ALL
+SELECT "user", CAST(position AS INT), printf('    Rank: %.3f   Movie: %s', score, name) FROM tn
+UNION ALL
+SELECT uf.id, CAST(coalesce(MAX(tn.position), 0) + 1 AS INT), '' FROM uf LEFT JOIN tn ON tn."user" = uf.id GROUP BY uf.id""")
+def q_s7_report(spark, d):
+    recs, requests, uf = _ev_recs(spark, d)
+    return rc.report(recs, requests, uf).select("req_pos", F.col("line_no").cast("int").alias("line_no"), "line")
+
+
+# ------------------------------------------------------------------ R5 request stream
+@register("r5_recommend_stream", with_sql(R_ORD_SQL, DET_SQL) + """,
+req AS (SELECT CAST(c_custkey AS INT) AS "user" FROM customer UNION ALL SELECT CAST(c_nationkey AS INT) FROM customer),
+c AS (SELECT uf.id AS "user", vf.id AS item, uf.f0*vf.f0 + uf.f1*vf.f1 AS score
+      FROM uf, vf WHERE NOT EXISTS (SELECT 1 FROM r WHERE r."user" = uf.id AND r.item = vf.id)),
+t AS (SELECT "user", item, score, row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS position
+      FROM c QUALIFY position <= 20)
+SELECT t."user", CAST(t.position AS INT) AS position, t.item, round(t.score, 6) AS score,
+       coalesce(p.p_name, '') AS name
+FROM req JOIN t ON t."user" = req."user" LEFT JOIN part p ON CAST(p.p_partkey AS INT) = t.item""")
+def q_r5_recommend_stream(spark, d):
+    """Request lines `` <custkey>, <nationkey>`` written by Spark from customer,
+    answered by the file-source stream (availableNow) through foreachBatch."""
+    from .session import scratch_path
+    from .streaming.requests import recommend_stream
+    r = _r_ord(spark, d)
+    uf, vf = tb.det_model(r)
+    base = scratch_path(spark, "r5")
+    c = tb.table(spark, d, "customer")
+    c.select(F.format_string(" %d, %d", "c_custkey", "c_nationkey").alias("value")).write.text(f"{base}/in")
+    q = recommend_stream(spark, f"{base}/in", uf, vf, r, f"{base}/out", f"{base}/ckpt", k=20, rank=2,
+                         items=tb.items_from_parts(spark, d))
+    q.awaitTermination()
+    out = spark.read.parquet(f"{base}/out")
+    return out.select("user", "position", "item", r6("score").alias("score"), "name")
+
+
+# ------------------------------------------------------------------ S4/S5 model store
+@register("s4_save_load_model", with_sql(R_ORD_SQL, DET_SQL) + """
+SELECT 'user' AS side, id, round(f0, 6) AS f0, round(f1, 6) AS f1 FROM uf
+UNION ALL SELECT 'item' AS side, id, round(f0, 6) AS f0, round(f1, 6) AS f1 FROM vf""")
+def q_s4_save_load(spark, d):
+    """Store the deterministic model (gzip Parquet) under the checkpoint folder and read it back."""
+    from .plans.model import FactorModel, save_model
+    from .session import scratch_path
+    r = _r_ord(spark, d)
+    uf, vf = tb.det_model(r)
+    dm = rt.dims(r)
+    m = FactorModel(uf, vf, rt.seen_pairs(r), tb.items_from_parts(spark, d),
+                    {"rank": 2, "n_users": dm.n_users, "n_items": dm.n_items, "trainer": 0, "lam": LAM,
+                     "eps": 0.001, "seed": 8})
+    back = save_model(m, scratch_path(spark, "model"))
+    return (back.user_factors.select(F.lit("user").alias("side"), "id", *_flat2(None))
+            .unionByName(back.item_factors.select(F.lit("item").alias("side"), "id", *_flat2(None))))
+
+
+# ------------------------------------------------------------------ pixels
+PX_SQL = """WITH p AS (SELECT l_orderkey AS image_id, CAST(l_linenumber AS INT) AS x, 0 AS y,
+                 CAST((l_partkey*7919 + l_orderkey*104729) % 16777216 AS INT) AS px FROM lineitem),
+c AS (SELECT *, px & 255 AS r, (px >> 8) & 255 AS g, (px >> 16) & 255 AS b, (px >> 24) & 255 AS a FROM p)"""
+
+
+@register("x1_channels", PX_SQL + """
+SELECT image_id, x, y, r, g, b, a,
+       CAST(CAST(floor(r / 255.0e0 * 255.0e0) AS BIGINT) | (CAST(floor(g / 255.0e0 * 255.0e0) AS BIGINT) << 8)
+            | (CAST(floor(b / 255.0e0 * 255.0e0) AS BIGINT) << 16) | (255::BIGINT << 24) AS BIGINT) - 4294967296 AS px_unit
+FROM c""")
+def q_x1_channels(spark, d):
+    """X1 unpack, X5 to [0,1] and back (alpha 255), X2 pack."""
+    from .functions import pixels as px
+    p = tb.pixels_from_lineitem(spark, d)
+    return p.select("image_id", "x", "y", px.red("px").alias("r"), px.green("px").alias("g"),
+                    px.blue("px").alias("b"), px.alpha("px").alias("a"),
+                    px.from_unit(px.to_unit("px")).cast("long").alias("px_unit"))
+
+
+@register("x4_stretch", PX_SQL + """,
+m AS (SELECT *, greatest(r, g, b) AS hi, least(r, g, b) AS lo FROM c),
+s AS (SELECT image_id, x, y, px, hi, lo,
+        CAST(floor(255 * (r - lo) / CAST(hi - lo AS DOUBLE)) AS BIGINT) AS nr,
+        CAST(floor(255 * (g - lo) / CAST(hi - lo AS DOUBLE)) AS BIGINT) AS ng,
+        CAST(floor(255 * (b - lo) / CAST(hi - lo AS DOUBLE)) AS BIGINT) AS nb
+      FROM m WHERE hi <> lo)
+SELECT image_id, x, y, CAST(nr | (ng << 8) | (nb << 16) | (255::BIGINT << 24) AS BIGINT) - 4294967296 AS px FROM s
+UNION ALL
+SELECT image_id, x, y, CAST(px AS BIGINT) FROM m WHERE hi = lo""")
+def q_x4_stretch(spark, d):
+    """X3 max/min, X4 stretch over every lineitem pixel."""
+    from .operators.pixels import stretch_pixels
+    p = stretch_pixels(tb.pixels_from_lineitem(spark, d))
+    return p.select("image_id", "x", "y", F.col("px").cast("long").alias("px"))
+
+
+@register("x6_pixel_count", """
+SELECT l_orderkey AS image_id, COUNT(*) AS n_pixels FROM lineitem GROUP BY 1""")
+def q_x6_pixel_count(spark, d):
+    from .operators.pixels import pixel_counts
+    return pixel_counts(tb.pixels_from_lineitem(spark, d))
+
+
+# ------------------------------------------------------------------ rows-only trainers
+def _ev_problem(spark, d, rank):
+    from .operators.params import init_params
+    from .plans.descent import Problem
+    r = _r_ev(spark, d)
+    dm = rt.dims(r)
+    return Problem(r, rank, LAM, float(dm.n_ratings)), init_params(spark, dm.n_users, dm.n_items, rank, 8, 0.5)
+
+
+@register("m1_als_builtin")
+def q_m1_als_builtin(spark, d):
+    """Library ALS (rank 10, 20 iterations, λ 0.01, non-negative, seed 8) on r_ev; padded factors."""
+    from .plans.als import fit_als_builtin
+    x = fit_als_builtin(_r_ev(spark, d), rank=10, lam=LAM)
+    return (x.uf.select(F.lit("user").alias("side"), "id", "features")
+            .unionByName(x.vf.select(F.lit("item").alias("side"), "id", "features")))
+
+
+@register("m5_gd_adaptive")
+def q_m5_gd_adaptive(spark, d):
+    from .plans.descent import fit_gd_adaptive
+    prob, x0 = _ev_problem(spark, d, 4)
+    return fit_gd_adaptive(prob, x0, 50.0, 0.001, max_iter=8).trace.frame(spark)
+
+
+@register("m6_gd_linesearch")
+def q_m6_gd_linesearch(spark, d):
+    from .plans.descent import fit_gd_linesearch
+    prob, x0 = _ev_problem(spark, d, 4)
+    return fit_gd_linesearch(prob, x0, 0.001, 0.001, max_iter=8).trace.frame(spark)
+
+
+@register("m7_cg")
+def q_m7_cg(spark, d):
+    from .plans.descent import fit_cg
+    prob, x0 = _ev_problem(spark, d, 4)
+    return fit_cg(prob, x0, length=12).trace.frame(spark)
+
+
+@register("m10_fit_own_als")
+def q_m10_fit(spark, d):
+    """Trainer 3 (own ALS, rank 10, ε 0.001, λ 0.01) through the dispatch; item factors."""
+    from .plans.model import TRAINER_OWN_ALS, fit
+    m = fit(_r_ev(spark, d), tb.items_from_parts(spark, d), TRAINER_OWN_ALS)
+    return m.item_factors
+
+
+@register("d5_compare_trainers")
+def q_d5_compare(spark, d):
+    """Loss of own ALS (3 sweeps) and of fixed-step descent (3 steps) on r_ev, same objective."""
+    from .operators.diagnostics import compare_trainers
+    from .plans.als import fit_als
+    from .plans.descent import fit_gd_fixed
+    prob, x0 = _ev_problem(spark, d, 4)
+    a = fit_als(prob.ratings, rank=4, eps=0.0, lam=LAM, max_iter=3, init=x0).params
+    g = fit_gd_fixed(prob, x0, 50.0, 0.0, max_iter=3).params
+    return compare_trainers(prob.ratings, {"own_als": a, "gd_fixed": g}, 4, LAM, prob.normalizer)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
