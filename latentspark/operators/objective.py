@@ -57,29 +57,45 @@ def loss(ratings: DataFrame, user_factors: DataFrame, item_factors: DataFrame,
     return float(loss_frame(ratings, user_factors, item_factors, k, lam, normalizer).first()["loss"])
 
 
-def _side_gradient(errs: DataFrame, key: str, other_vec: str, factors: DataFrame,
-                   k: int, lam: float, normalizer: float) -> DataFrame:
-    sums = errs.groupBy(F.col(key).alias("id")).agg(
-        *[F.sum(F.col("delta") * F.col(other_vec).getItem(j)).alias(f"g{j}") for j in range(k)])
-    f = factors.select("id", "features")
-    g = f.join(sums, "id", "left")
-    n = F.lit(float(normalizer))
-    comps = [(F.coalesce(F.col(f"g{j}"), F.lit(0.0)) + F.lit(float(lam)) * F.col("features").getItem(j)) / n
-             for j in range(k)]
-    return g.select("id", F.array(*comps).alias("features"))
+SIDE_USER, SIDE_ITEM = 0, 1
 
 
-def gradient(ratings: DataFrame, user_factors: DataFrame, item_factors: DataFrame,
-             k: int, lam: float, normalizer: float = 1.0) -> tuple[DataFrame, DataFrame]:
-    """(d_user, d_item) as factor-shaped frames ``(id, features)``.
+def gradient_frame(ratings: DataFrame, user_factors: DataFrame, item_factors: DataFrame,
+                   k: int, lam: float, normalizer: float = 1.0) -> DataFrame:
+    """A6 for both sides in one job: ``(side, id, features)`` with side 0 = user, 1 = item.
 
-    Ids without ratings get λα/N (δ is 0 on unrated cells).
+    Every rating row contributes δ·βᵢ to its user and δ·αᵤ to its item; the
+    two contributions are emitted as two rows and summed in one hash
+    aggregate keyed by (side, id), so the rating join runs once.  Ids without
+    ratings get λα/N (δ is 0 on unrated cells).
     """
     j = with_factors(ratings, user_factors, item_factors)
-    errs = j.select("user", "item", "uf", "vf", (dot("uf", "vf", k) - F.col("rating")).alias("delta"))
-    d_user = _side_gradient(errs, "user", "vf", user_factors, k, lam, normalizer)
-    d_item = _side_gradient(errs, "item", "uf", item_factors, k, lam, normalizer)
-    return d_user, d_item
+    delta = dot("uf", "vf", k) - F.col("rating")
+    contrib = F.explode(F.array(
+        F.struct(F.lit(SIDE_USER).alias("side"), F.col("user").alias("id"), F.col("vf").alias("v")),
+        F.struct(F.lit(SIDE_ITEM).alias("side"), F.col("item").alias("id"), F.col("uf").alias("v"))))
+    e = j.select(delta.alias("delta"), contrib.alias("c")).select("delta", "c.side", "c.id", "c.v")
+    sums = e.groupBy("side", "id").agg(
+        *[F.sum(F.col("delta") * F.col("v").getItem(jj)).alias(f"g{jj}") for jj in range(k)])
+    f = (user_factors.select(F.lit(SIDE_USER).alias("side"), "id", "features")
+         .unionByName(item_factors.select(F.lit(SIDE_ITEM).alias("side"), "id", "features")))
+    g = f.join(sums, ["side", "id"], "left")
+    n = F.lit(float(normalizer))
+    comps = [(F.coalesce(F.col(f"g{jj}"), F.lit(0.0)) + F.lit(float(lam)) * F.col("features").getItem(jj)) / n
+             for jj in range(k)]
+    return g.select("side", "id", F.array(*comps).alias("features"))
+
+
+def split_sides(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(side, id, features) → (user frame, item frame)."""
+    return (frame.filter(F.col("side") == SIDE_USER).select("id", "features"),
+            frame.filter(F.col("side") == SIDE_ITEM).select("id", "features"))
+
+
+def gradient(ratings: DataFrame, user_factors: DataFrame, item_factors: DataFrame,
+             k: int, lam: float, normalizer: float = 1.0) -> tuple[DataFrame, DataFrame]:
+    """(d_user, d_item) as factor-shaped frames ``(id, features)``."""
+    return split_sides(gradient_frame(ratings, user_factors, item_factors, k, lam, normalizer))
 
 
 def sq_diff(p: DataFrame, q: DataFrame, k: int) -> float:

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 
 from ..operators import objective as ob
 from ..operators.params import Params, lin_comb, move, scale
+from ..session import cut
 
 
 @dataclass
@@ -34,8 +35,9 @@ class Problem:
     normalizer: float
 
     def grad(self, x: Params) -> Params:
-        du, di = ob.gradient(self.ratings, x.uf, x.vf, self.k, self.lam, self.normalizer)
-        return Params(du, di).cut()
+        """Both sides in one aggregation job, checkpointed once."""
+        g = cut(ob.gradient_frame(self.ratings, x.uf, x.vf, self.k, self.lam, self.normalizer))
+        return Params(*ob.split_sides(g))
 
     def loss(self, x: Params) -> float:
         return ob.loss(self.ratings, x.uf, x.vf, self.k, self.lam, self.normalizer)

@@ -75,6 +75,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably (HDFS-style checkpoint, never local)."""
+    """Materialise ``df`` reliably (checkpoint files in the shared folder, never local).
+
+    The frame is persisted first: a reliable checkpoint writes in a second
+    job, which would otherwise recompute the whole plan.
+    """
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out
