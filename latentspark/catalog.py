@@ -84,11 +84,12 @@ def q_a1_dims(spark, d):
 
 # ------------------------------------------------------------------ A3 rated set
 @register("a3_rated_items", with_sql(R_ORD_SQL) + """
-SELECT "user", COUNT(*) AS n_items, string_agg(CAST(item AS VARCHAR), ',' ORDER BY item) AS items
-FROM (SELECT DISTINCT "user", item FROM r) GROUP BY "user" """)
+SELECT "user", CAST(item // 4096 AS INT) AS chunk, COUNT(*) AS n_items,
+       string_agg(CAST(item AS VARCHAR), ',' ORDER BY item) AS items
+FROM (SELECT DISTINCT "user", item FROM r) GROUP BY "user", item // 4096""")
 def q_a3_rated_items(spark, d):
     s = rt.rated_items(_r_ord(spark, d))
-    return s.select("user", F.size("items").cast("long").alias("n_items"),
+    return s.select("user", "chunk", F.size("items").cast("long").alias("n_items"),
                     F.array_join(F.col("items").cast("array<string>"), ",").alias("items"))
 
 

@@ -7,9 +7,10 @@ The normal equations are sums over rows, so they are built by Spark:
 * rank ≤ ``SUM_COLUMN_MAX_RANK``: k(k+1)/2 + k + 1 ``sum`` columns in one
   hash aggregate (whole-stage codegen, partial aggregation before the
   shuffle: a hot group is pre-summed in every map task).
-* higher ranks: per-batch partial Gram matrices in numpy (``mapInPandas``),
-  shuffled by group and combined per group; again at most one partial row
-  per group per input batch crosses the shuffle.
+* higher ranks: partial Gram matrices in numpy (``mapInPandas`` over input
+  sorted within each partition), shuffled by group and combined per group;
+  at most one partial row per group per input partition crosses the
+  shuffle.
 
 The k×k solves run batched in numpy inside ``mapInPandas`` (pseudo-inverse,
 so λ = 0 and rank-deficient groups give the minimum-norm answer).  Nothing
@@ -120,63 +121,58 @@ def weighted_ridge(df: DataFrame, features, label: str, weight: str | None, lam:
 
 
 # ------------------------------------------------------------------ ALS half-step
-def _partial_gram_fn(k: int, key: str, chunk_rows: int):
-    def partial(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            keys = pdf[key].to_numpy()
-            order = np.argsort(keys, kind="stable")
-            keys = keys[order]
-            X = np.stack(pdf["x"].to_numpy())[order].astype(float)
-            y = pdf["rating"].to_numpy(dtype=float)[order]
-            uniq, starts = np.unique(keys, return_index=True)
-            G = np.zeros((len(uniq), k, k))
-            b = np.zeros((len(uniq), k))
-            seg = np.searchsorted(starts, np.arange(len(keys)), side="right") - 1
-            for s in range(0, len(keys), chunk_rows):
-                e = min(len(keys), s + chunk_rows)
-                Xc = X[s:e]
-                np.add.at(G, seg[s:e], Xc[:, :, None] * Xc[:, None, :])
-                np.add.at(b, seg[s:e], Xc * y[s:e, None])
-            cnt = np.diff(np.append(starts, len(keys)))
-            yield pd.DataFrame({key: uniq, "G": list(G.reshape(len(uniq), k * k)), "b": list(b), "n": cnt})
-
-    return partial
-
-
-def _combine_solve_fn(k: int, lam: float, key: str):
-    """Input sorted by ``key`` within the partition: a key's partials are
-    contiguous but may straddle Arrow batches, so the last key of a batch is
-    carried into the next one; memory stays at one batch."""
-    def solve(keys, G, b):
-        x = batched_solve(G.reshape(-1, k, k), b, lam)
-        return pd.DataFrame({key: keys, "features": list(x)})
-
-    def combine(batches):
+def _sorted_segments(key: str, k: int, lam: float | None):
+    """Reduce rows sorted by ``key`` within the partition to one row per key.
+
+    A key's rows are contiguous but may straddle Arrow batches, so the last
+    key of each batch is carried into the next; memory stays at one batch.
+    Input rows hold either raw (x, rating) pairs (``lam is None``: emit
+    partial Gram matrices) or partial Grams (emit solved factors).
+    """
+    def reduce_batch(pdf):
+        keys = pdf[key].to_numpy()
+        uniq, starts = np.unique(keys, return_index=True)
+        order = np.argsort(starts)
+        uniq, starts = uniq[order], starts[order]
+        if lam is None:
+            X = np.stack(pdf["x"].to_numpy()).astype(float)
+            y = pdf["rating"].to_numpy(dtype=float)
+            G = np.add.reduceat(X[:, :, None] * X[:, None, :], starts, axis=0).reshape(len(uniq), k * k)
+            b = np.add.reduceat(X * y[:, None], starts, axis=0)
+        else:
+            G = np.add.reduceat(np.stack(pdf["G"].to_numpy()).astype(float), starts, axis=0)
+            b = np.add.reduceat(np.stack(pdf["b"].to_numpy()).astype(float), starts, axis=0)
+        return uniq, G, b
+
+    def emit(keys, G, b):
+        if lam is None:
+            return pd.DataFrame({key: keys, "G": list(G), "b": list(b)})
+        return pd.DataFrame({key: keys, "features": list(batched_solve(G.reshape(-1, k, k), b, lam))})
+
+    def run(batches):
         carry = None
+        step = max(1, (16 << 20) // (8 * k * k)) if lam is None else None
         for pdf in batches:
             if pdf.empty:
                 continue
-            keys = pdf[key].to_numpy()
-            G = np.stack(pdf["G"].to_numpy()).astype(float)
-            b = np.stack(pdf["b"].to_numpy()).astype(float)
-            if carry is not None:
-                keys = np.concatenate([carry[0], keys])
-                G = np.concatenate([carry[1], G])
-                b = np.concatenate([carry[2], b])
-            uniq, starts = np.unique(keys, return_index=True)
-            order = np.argsort(starts)
-            uniq, starts = uniq[order], starts[order]
-            Gs = np.add.reduceat(G, starts, axis=0)
-            bs = np.add.reduceat(b, starts, axis=0)
-            carry = (uniq[-1:], Gs[-1:], bs[-1:])
-            if len(uniq) > 1:
-                yield solve(uniq[:-1], Gs[:-1], bs[:-1])
+            pieces = [pdf] if step is None else [pdf.iloc[s:s + step] for s in range(0, len(pdf), step)]
+            for piece in pieces:
+                keys, G, b = reduce_batch(piece)
+                if carry is not None:
+                    if carry[0][0] == keys[0]:
+                        G[0] += carry[1][0]
+                        b[0] += carry[2][0]
+                    else:
+                        keys = np.concatenate([carry[0], keys])
+                        G = np.concatenate([carry[1], G])
+                        b = np.concatenate([carry[2], b])
+                carry = (keys[-1:], G[-1:], b[-1:])
+                if len(keys) > 1:
+                    yield emit(keys[:-1], G[:-1], b[:-1])
         if carry is not None:
-            yield solve(*carry)
+            yield emit(*carry)
 
-    return combine
+    return run
 
 
 def als_half_step(ratings: DataFrame, fixed: DataFrame, fixed_key: str, out_key: str,
@@ -196,12 +192,13 @@ def als_half_step(ratings: DataFrame, fixed: DataFrame, fixed_key: str, out_key:
         return solved.select(F.col(out_key).alias("id"), "features")
     key_type = j.schema[out_key].dataType
     part_schema = T.StructType([T.StructField(out_key, key_type), T.StructField("G", T.ArrayType(T.DoubleType())),
-                                T.StructField("b", T.ArrayType(T.DoubleType())),
-                                T.StructField("n", T.LongType())])
-    chunk = max(256, (32 << 20) // (8 * k * k))
-    parts = j.select(out_key, "x", "rating").mapInPandas(_partial_gram_fn(k, out_key, chunk), part_schema)
+                                T.StructField("b", T.ArrayType(T.DoubleType()))])
+    # one partial Gram per key per input partition (local sort, no shuffle),
+    # then one shuffle of the partials by key, combined and solved per key
+    parts = (j.select(out_key, "x", "rating").sortWithinPartitions(out_key)
+             .mapInPandas(_sorted_segments(out_key, k, None), part_schema))
     out_schema = T.StructType([T.StructField(out_key, key_type),
                                T.StructField("features", T.ArrayType(T.DoubleType()))])
     solved = (parts.repartition(out_key).sortWithinPartitions(out_key)
-              .mapInPandas(_combine_solve_fn(k, float(lam), out_key), out_schema))
+              .mapInPandas(_sorted_segments(out_key, k, float(lam)), out_schema))
     return solved.select(F.col(out_key).alias("id"), "features")

@@ -60,6 +60,8 @@ def test_dims_rated_items_pad(spark):
     d = dims(r)
     assert (d.n_users, d.n_items, d.n_ratings) == (3, 3, 4)
     assert {x["user"]: x["items"] for x in rated_items(r).collect()} == {0: [0, 2], 2: [1]}
+    chunks = {(x["user"], x["chunk"]): x["items"] for x in rated_items(r, chunk=2).collect()}
+    assert chunks == {(0, 0): [0], (0, 1): [2], (2, 0): [1]}
     f = spark.createDataFrame([(1, [1.0, 2.0]), (3, [3.0, 4.0])], "id int, features array<double>")
     got = {x["id"]: x["features"] for x in pad_factors(f, 4, 2).collect()}
     # missing ids 0 and 2 are filled over 0..n-1 (Q2)
