@@ -27,7 +27,12 @@ class Params:
         return (self.uf, self.vf)
 
     def cut(self) -> "Params":
-        return Params(cut(self.uf), cut(self.vf))
+        """Checkpoint both sides as one (side, id, features) table: one pair of jobs, not two."""
+        both = (self.uf.select(F.lit(0).alias("side"), "id", "features")
+                .unionByName(self.vf.select(F.lit(1).alias("side"), "id", "features")))
+        c = cut(both)
+        return Params(c.filter(F.col("side") == 0).select("id", "features"),
+                      c.filter(F.col("side") == 1).select("id", "features"))
 
 
 def _axpy_frame(x: DataFrame, d: DataFrame, z: float) -> DataFrame:

@@ -135,7 +135,7 @@ def _sorted_segments(key: str, k: int, lam: float | None):
         order = np.argsort(starts)
         uniq, starts = uniq[order], starts[order]
         if lam is None:
-            X = np.stack(pdf["x"].to_numpy()).astype(float)
+            X = pdf[[f"x{j}" for j in range(k)]].to_numpy(dtype=float)
             y = pdf["rating"].to_numpy(dtype=float)
             G = np.add.reduceat(X[:, :, None] * X[:, None, :], starts, axis=0).reshape(len(uniq), k * k)
             b = np.add.reduceat(X * y[:, None], starts, axis=0)
@@ -195,7 +195,9 @@ def als_half_step(ratings: DataFrame, fixed: DataFrame, fixed_key: str, out_key:
                                 T.StructField("b", T.ArrayType(T.DoubleType()))])
     # one partial Gram per key per input partition (local sort, no shuffle),
     # then one shuffle of the partials by key, combined and solved per key
-    parts = (j.select(out_key, "x", "rating").sortWithinPartitions(out_key)
+    # components as scalar columns: Arrow moves them as flat numeric buffers
+    comps = [F.col("x").getItem(i).alias(f"x{i}") for i in range(k)]
+    parts = (j.select(out_key, "rating", *comps).sortWithinPartitions(out_key)
              .mapInPandas(_sorted_segments(out_key, k, None), part_schema))
     out_schema = T.StructType([T.StructField(out_key, key_type),
                                T.StructField("features", T.ArrayType(T.DoubleType()))])
