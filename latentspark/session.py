@@ -1,8 +1,9 @@
 """Session helpers: builder defaults, checkpoint directory, lineage cuts.
 
-The iterative trainers cut lineage once per iteration.  The cut goes to the
-shared folder named by ``spark.checkpoint.dir``; a private temporary folder is
-only made when no folder is configured and the master is local (tests).
+The iterative trainers cut lineage once per iteration by writing a table
+into the shared folder named by ``spark.checkpoint.dir``; a private temporary
+folder is only made when no folder is configured and the master is local
+(tests).
 """
 
 from __future__ import annotations
@@ -75,14 +76,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably (checkpoint files in the shared folder, never local).
-
-    The frame is persisted first: a reliable checkpoint writes in a second
-    job, which would otherwise recompute the whole plan.
+    """Materialise ``df`` as a written table in the shared checkpoint folder and
+    read it back: one job, and the returned frame's lineage starts at those
+    files, so loops never grow their plans and a lost executor recomputes
+    nothing before the cut.  (Never ``localCheckpoint``.)
     """
-    from pyspark import StorageLevel
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = df.checkpoint(eager=True)
-    df.unpersist()
-    return out
+    spark = df.sparkSession
+    path = scratch_path(spark, "cut")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
