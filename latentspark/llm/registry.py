@@ -16,5 +16,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.judge(docs, rules, "s").select("doc_id", *[F.col(f"s.{f}").alias(f) for f in fields])
 
 
-QUERIES = {"op7_quality_rules": op7_quality_rules}
+def op10_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate group of every whole document."""
+    from latentspark.llm.superminhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op7_quality_rules": op7_quality_rules, "op10_superminhash": op10_superminhash}
 ORACLE_SQL: dict[str, str] = {}
