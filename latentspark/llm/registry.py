@@ -22,5 +22,13 @@ def op10_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op7_quality_rules": op7_quality_rules, "op10_superminhash": op10_superminhash}
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal-data spans of every whole document."""
+    from latentspark.llm import personal_data as p
+    docs = table(spark, sf_dir, "documents")
+    return p.span_report(docs, p.learn_spans(docs))
+
+
+QUERIES = {"op7_quality_rules": op7_quality_rules, "op10_superminhash": op10_superminhash,
+           "op8_personal_data": op8_personal_data}
 ORACLE_SQL: dict[str, str] = {}
