@@ -29,6 +29,22 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.span_report(docs, p.learn_spans(docs))
 
 
-QUERIES = {"op7_quality_rules": op7_quality_rules, "op10_superminhash": op10_superminhash,
-           "op8_personal_data": op8_personal_data}
+def op1_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors, rate and copies of every document under the default target weights."""
+    from latentspark.llm import mixing as m
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    mixed = m.mix(docs, table(spark, sf_dir, "labels"), m.WEIGHTS, "m", keep=("doc_id",))
+    return mixed.select("doc_id", "m.n_tokens", *[(F.col("m.q")[i] / float(m.GRID)).alias(f"p_{d}") for i, d in enumerate(m.DOMAINS)],
+                        "m.rate", "m.copies")
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 1024 tokens."""
+    from latentspark.llm.packing import pack_documents
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_soft_mixing": op1_soft_mixing, "op4_best_fit_packing": op4_best_fit_packing,
+           "op7_quality_rules": op7_quality_rules, "op8_personal_data": op8_personal_data,
+           "op10_superminhash": op10_superminhash}
 ORACLE_SQL: dict[str, str] = {}
