@@ -36,6 +36,7 @@ from latentspark.llm.common import fresh_name, hash_words, word_list
 from latentspark.session import cut
 
 GRID = 1000
+PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Domains by the labels table, and the default shares of the mix.
 DOMAINS = ("good", "poor", "toxic")
 WEIGHTS = {"good": 0.90, "poor": 0.08, "toxic": 0.02}
@@ -54,8 +55,11 @@ class Domains:
 
 
 def _distinct(text: str | None) -> tuple[int, np.ndarray]:
+    """Number of words; sorted hashes of the distinct words, as they stand and without punctuation at their ends."""
     words = word_list(text)
-    return len(words), np.unique(hash_words(words))
+    kinds = set(words)
+    kinds |= {w.strip(PUNCTUATION) for w in kinds}
+    return len(words), np.unique(hash_words(list(kinds)))
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -104,7 +108,10 @@ def fit_domains(docs: DataFrame, labels: DataFrame, *, max_fit_rows: int = 10_00
         x[i, np.searchsorted(words, np.asarray(ws, dtype=np.int64).view(np.uint64))] = 1
     y = np.zeros((len(rows), len(present)), dtype=np.float32)
     y[np.arange(len(rows)), np.searchsorted(present, rows["domain"].to_numpy())] = 1
-    # accelerated gradient descent with the step of the softmax's smoothness bound
+    # accelerated gradient descent on standardised columns, so that rare telling words move as fast as frequent ones
+    mean = x[:, :-1].mean(axis=0)
+    spread = np.sqrt(np.maximum(mean * (1 - mean), 1e-6))
+    x[:, :-1] = (x[:, :-1] - mean) / spread
     w = v = np.zeros((x.shape[1], len(present)), dtype=np.float32)
     probe = np.ones(x.shape[1], dtype=np.float32)
     for _ in range(20):
@@ -116,7 +123,10 @@ def fit_domains(docs: DataFrame, labels: DataFrame, *, max_fit_rows: int = 10_00
         new = v - step * grad
         v = new + i / (i + 3) * (new - w)
         w = new
-    return Domains(words, w.astype(np.float64), present)
+    w = w.astype(np.float64)
+    w[:-1] /= spread[:, None]
+    w[-1] -= mean @ w[:-1]
+    return Domains(words, w, present)
 
 
 def posteriors(model: Domains, k: int, sets: list[np.ndarray]) -> np.ndarray:
