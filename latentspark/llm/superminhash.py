@@ -204,7 +204,8 @@ def near_duplicates(docs: DataFrame, *, bands: int = BANDS, rows: int = ROWS, bl
     candidates = buckets.join(least, "key").filter("rep <> low").select(F.col("rep").alias("u"), F.col("low").alias("v"))
     clusters = components(candidates)
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").filter("node IS NOT NULL")
-    members = texts.join(clusters, "node").select(F.col("root").alias("cluster"), F.col("node").alias("rep"), "text")
+    # always a shuffle: what is linked has no proven bound, so it is never broadcast
+    members = texts.join(clusters.hint("merge"), "node").select(F.col("root").alias("cluster"), F.col("node").alias("rep"), "text")
     # rows under one doc_id with different sets are one document: their sets belong together
     several = known.groupBy("doc_id").agg(F.min("set_hi").alias("a"), F.max("set_hi").alias("b")).filter("a <> b").select("doc_id")
     same_id = known.join(several, "doc_id").join(reps, a_set).select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
