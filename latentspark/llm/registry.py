@@ -44,7 +44,21 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation and conversation -7: rendered, read back, digested."""
+    from latentspark.llm import chat as c
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    return c.digests(c.read_back(c.render(c.fold_events(c.events_of(rows.union(c.planted(spark)))))))
+
+
+def op9_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to dictionary-compressed archives and read back."""
+    from latentspark.llm.warc import round_trip
+    return round_trip(spark, table(spark, sf_dir, "pages"))
+
+
 QUERIES = {"op1_soft_mixing": op1_soft_mixing, "op4_best_fit_packing": op4_best_fit_packing,
-           "op7_quality_rules": op7_quality_rules, "op8_personal_data": op8_personal_data,
+           "op6_chat_events": op6_chat_events, "op7_quality_rules": op7_quality_rules,
+           "op8_personal_data": op8_personal_data, "op9_warc_dictionary": op9_warc_dictionary,
            "op10_superminhash": op10_superminhash}
 ORACLE_SQL: dict[str, str] = {}
