@@ -25,9 +25,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Spans of personal data become tags in ``text``; every document stays."""
+    """Spans of personal data become tags in ``text``, ``n_chars`` follows; every document stays."""
+    from pyspark.sql import functions as F
+
     from latentspark.llm import personal_data as p
-    return p.redact(docs, p.learn_spans(docs))
+    clean = p.redact(docs, p.learn_spans(docs))
+    return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
