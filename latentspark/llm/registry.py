@@ -57,8 +57,14 @@ def op9_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(spark, table(spark, sf_dir, "pages"))
 
 
+def op5_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every vector whose id is divisible by 50, among all others."""
+    from latentspark.llm.forest import nearest
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {"op1_soft_mixing": op1_soft_mixing, "op4_best_fit_packing": op4_best_fit_packing,
-           "op6_chat_events": op6_chat_events, "op7_quality_rules": op7_quality_rules,
-           "op8_personal_data": op8_personal_data, "op9_warc_dictionary": op9_warc_dictionary,
-           "op10_superminhash": op10_superminhash}
+           "op5_projection_forest": op5_projection_forest, "op6_chat_events": op6_chat_events,
+           "op7_quality_rules": op7_quality_rules, "op8_personal_data": op8_personal_data,
+           "op9_warc_dictionary": op9_warc_dictionary, "op10_superminhash": op10_superminhash}
 ORACLE_SQL: dict[str, str] = {}
