@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from latentspark.session import cut
 
@@ -100,6 +100,25 @@ def runs(rows: Iterable[tuple], key: Callable[[tuple], object]) -> Iterator[tupl
         yield last, held
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, str | None]:
+    """``doc_id, text`` with a unique doc_id: as given, or row numbers by (doc_id, text) beside the given one in ``own_id``."""
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    several = d.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 OR doc_id IS NULL").limit(1).count()
+    if not several:
+        return d, None
+    ranged = cut(d.repartitionByRange("doc_id", F.xxhash64("text")).withColumn("part", F.spark_partition_id()))
+    sizes = {r["part"]: r["n"] for r in ranged.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    before, total = [], 0
+    for p in sorted(sizes):
+        before.append((p, total))
+        total += sizes[p]
+    offsets = docs.sparkSession.createDataFrame(before, "part int, before long")
+    place = F.row_number().over(Window.partitionBy("part").orderBy("doc_id", F.xxhash64("text"), "text"))
+    out = ranged.withColumn("place", place).join(F.broadcast(offsets), "part").select(
+        (F.col("before") + F.col("place")).alias("doc_id"), "text", F.col("doc_id").alias("own_id"))
+    return cut(out), "own_id"
+
+
 def components(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """Connected components of undirected ``edges(u, v)``: ``node, root`` with the smallest node as root.
 

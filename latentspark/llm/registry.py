@@ -38,6 +38,12 @@ def op1_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "m.rate", "m.copies")
 
 
+def op2_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document without those of 100-byte strings that start earlier."""
+    from latentspark.llm.repeats import remove_repeats
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 1024 tokens."""
     from latentspark.llm.packing import pack_documents
@@ -63,7 +69,8 @@ def op5_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {"op1_soft_mixing": op1_soft_mixing, "op4_best_fit_packing": op4_best_fit_packing,
+QUERIES = {"op1_soft_mixing": op1_soft_mixing, "op2_suffix_repeats": op2_suffix_repeats,
+           "op4_best_fit_packing": op4_best_fit_packing,
            "op5_projection_forest": op5_projection_forest, "op6_chat_events": op6_chat_events,
            "op7_quality_rules": op7_quality_rules, "op8_personal_data": op8_personal_data,
            "op9_warc_dictionary": op9_warc_dictionary, "op10_superminhash": op10_superminhash}
