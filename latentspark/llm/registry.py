@@ -44,6 +44,12 @@ def op2_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
 
 
+def op3_gated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every whole document under the count baseline and the recurrent class model."""
+    from latentspark.llm.gated_lm import score_documents
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 1024 tokens."""
     from latentspark.llm.packing import pack_documents
@@ -70,6 +76,7 @@ def op5_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_soft_mixing": op1_soft_mixing, "op2_suffix_repeats": op2_suffix_repeats,
+           "op3_gated_lm": op3_gated_lm,
            "op4_best_fit_packing": op4_best_fit_packing,
            "op5_projection_forest": op5_projection_forest, "op6_chat_events": op6_chat_events,
            "op7_quality_rules": op7_quality_rules, "op8_personal_data": op8_personal_data,
