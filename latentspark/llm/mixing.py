@@ -7,7 +7,7 @@
    its tokens; one pass.
 3. ``fit_rates``: nonnegative rates r_d whose expected domain tokens
    sum_d r_d t_d p_dk come closest to the targets in least squares, by
-   projected gradient from r = 1.  Documents with the same posteriors have the
+   projected gradient with momentum from r = 1.  Documents with the same posteriors have the
    same rate at every step, so the unknowns are first summed by posterior (one
    aggregate; at most GRID^(K-1) rows whatever the input), and each step is one
    Spark job over that table that returns K sums.  A rate is a function of the
@@ -160,12 +160,21 @@ def memberships(docs: DataFrame, model: Domains, domains: tuple[str, ...] = DOMA
     return docs.mapInArrow(run, out)
 
 
+def points_of(p: np.ndarray, history: list[list[float]]) -> tuple[np.ndarray, np.ndarray]:
+    """Rates after the projected steps in ``history``, from r = 1, and the point that the next step starts from.
+
+    A step is the scaled gradient per domain followed by the weight of the momentum after it.
+    """
+    r = y = np.ones(len(p))
+    for *g, momentum in history:
+        new = np.maximum(0.0, y - p @ np.asarray(g))
+        y = new + momentum * (new - r)
+        r = new
+    return r, y
+
+
 def rates_of(p: np.ndarray, history: list[list[float]]) -> np.ndarray:
-    """Rates after the projected steps in ``history`` (each: the step times the gradient per domain), from r = 1."""
-    r = np.ones(len(p))
-    for g in history:
-        r = np.maximum(0.0, r - p @ np.asarray(g))
-    return r
+    return points_of(p, history)[0]
 
 
 @dataclass
@@ -177,10 +186,12 @@ class Rates:
 
 
 def fit_rates(members: DataFrame, into: str, weights: dict[str, float], domains: tuple[str, ...] = DOMAINS, *,
-              budget: float | None = None, tolerance: float = 1e-6, max_steps: int = 500) -> Rates:
-    """Projected gradient until the step moves no expected total by more than ``tolerance`` of the budget.
+              budget: float | None = None, tolerance: float = 1e-5, max_steps: int = 500) -> Rates:
+    """Projected gradient until a step moves no expected total by more than ``tolerance`` of the budget.
 
-    ``budget`` (tokens) defaults to all tokens of the input.
+    The momentum starts anew whenever it overshoots.  ``budget`` (tokens)
+    defaults to all tokens of the input; ``converged`` says whether the stop
+    test or ``max_steps`` ended the search.
     """
     k = len(domains)
     q, t = F.col(f"{into}.q"), F.col(f"{into}.n_tokens")
@@ -201,33 +212,41 @@ def fit_rates(members: DataFrame, into: str, weights: dict[str, float], domains:
     root = np.sqrt(scale)
     step = 1 / np.linalg.eigvalsh(root[:, None] * gram * root[None, :]).max()
     history: list[list[float]] = []
-    reached, converged = have, False
+    reached = here = have
+    off = lambda x: float(((x - targets) ** 2 * scale).sum())
+    converged, age = False, 1
     for _ in range(max_steps):
-        g = step * scale * (reached - targets)
-        history.append([float(f"{x:.12e}") for x in g])
-        new = expected(mass, history, k)
-        moved = np.abs(new - reached).max()
-        reached = new
+        g = [float(f"{x:.12e}") for x in step * scale * (here - targets)]
+        weight = (age - 1) / (age + 2)
+        new, here = expected(mass, [*history, [*g, weight]], k)
+        if age > 1 and off(new) > off(reached):  # momentum overshot: the same step again from the last rates
+            history[-1][-1] = 0.0
+            here, age = reached, 1
+            continue
+        history.append([*g, weight])
+        moved, reached, age = np.abs(new - reached).max(), new, age + 1
         if moved <= tolerance * max(total, 1.0):
             converged = True
             break
     return Rates(history, reached.tolist(), targets.tolist(), converged)
 
 
-def expected(mass: DataFrame, history: list[list[float]], k: int) -> np.ndarray:
-    """Expected domain tokens under the rates of ``history``: one job, K sums."""
-    schema = pa.schema([(f"s{i}", pa.float64()) for i in range(k)])
+def expected(mass: DataFrame, history: list[list[float]], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Expected domain tokens under the rates of ``history`` and at its next starting point: one job, 2 K sums."""
+    schema = pa.schema([(f"s{i}", pa.float64()) for i in range(2 * k)])
 
     def run(batches):
         for b in batches:
             cols = [np.asarray(c, dtype=np.float64) for c in b.columns]
             p = np.stack(cols[:k], axis=1) / GRID
-            s = (rates_of(p, history) * cols[k]) @ p
+            s = np.concatenate([(x * cols[k]) @ p for x in points_of(p, history)])
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in s.tolist()], schema=schema)
 
-    parts = mass.select(*[f"q{i}" for i in range(k)], "tokens").mapInArrow(run, ", ".join(f"s{i} double" for i in range(k)))
-    row = parts.agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(k)]).first()
-    return np.array([row[f"s{i}"] or 0.0 for i in range(k)])
+    names = [f"s{i}" for i in range(2 * k)]
+    parts = mass.select(*[f"q{i}" for i in range(k)], "tokens").mapInArrow(run, ", ".join(f"{n} double" for n in names))
+    row = parts.agg(*[F.sum(n).alias(n) for n in names]).first()
+    s = np.array([row[n] or 0.0 for n in names])
+    return s[:k], s[k:]
 
 
 def with_rates(members: DataFrame, into: str, rates: Rates, seed: int = 17, rounding: str = "random") -> DataFrame:
