@@ -327,7 +327,7 @@ def test_gradient_against_differences():
 
     def loss(f):
         w = lm.unpack(f)
-        s, _, _ = lm.forward(w, inputs, state.astype(np.float64))
+        s, _ = lm.forward(w, inputs, state.astype(np.float64))
         said = lm.log_softmax(s.astype(np.float64) @ w["o"] + w["p"])
         return -(np.take_along_axis(said, targets[:, :, None], 2)[:, :, 0] * live).sum() / live.sum()
     g, _ = lm.gradient(lm.unpack(flat), inputs, targets, live, state)
@@ -347,7 +347,7 @@ def test_windows_side_by_side_carry_whole_documents():
     assert all(abs(alone[i] - together[i]) < 1e-3 for i, _ in seqs)
     w = lm.unpack(flat)  # and as one unbroken window
     for i, s in seqs:
-        states, _, _ = lm.forward(w, np.concatenate([[lm.END], s[:-1]])[:, None], np.zeros((1, lm.HIDDEN), np.float32))
+        states, _ = lm.forward(w, np.concatenate([[lm.END], s[:-1]])[:, None], np.zeros((1, lm.HIDDEN), np.float32))
         said = lm.log_softmax(states[:, 0] @ w["o"] + w["p"])
         assert abs(said[np.arange(len(s)), s].sum() - alone[i]) < 1e-3
 
