@@ -39,12 +39,12 @@ def r6(c):
 
 # ------------------------------------------------------------------ SQL pieces
 R_ORD_SQL = """r AS (
-  SELECT CAST(o_custkey AS INT) AS "user", CAST(l_partkey AS INT) AS item,
+  SELECT CAST(o_custkey AS BIGINT) AS "user", CAST(l_partkey AS BIGINT) AS item,
          CAST(1 + CAST(SUM(l_quantity) AS INT) % 5 AS DOUBLE) AS rating
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)"""
 
 R_EV_SQL = """r AS (
-  SELECT CAST(user_id AS INT) AS "user", CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS item,
+  SELECT CAST(user_id AS BIGINT) AS "user", CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS item,
          least(5.0e0, greatest(1.0e0, avg(value) / 5.0e0)) AS rating
   FROM events GROUP BY 1, 2)"""
 
@@ -78,17 +78,17 @@ def _flat2(df: DataFrame, col: str = "features", prefix: str = "f") -> list:
 @register("a1_dims", with_sql(R_ORD_SQL) + """
 SELECT MAX("user") + 1 AS n_users, MAX(item) + 1 AS n_items, COUNT(*) AS n_ratings FROM r""")
 def q_a1_dims(spark, d):
-    return rt.dims_frame(_r_ord(spark, d)).select(F.col("n_users").cast("int"), F.col("n_items").cast("int"),
-                                                  "n_ratings")
+    return rt.dims_frame(_r_ord(spark, d))
 
 
 # ------------------------------------------------------------------ A3 rated set
 @register("a3_rated_items", with_sql(R_ORD_SQL) + """
-SELECT "user", CAST(item // 4096 AS INT) AS chunk, COUNT(*) AS n_items,
+SELECT "user", CAST(item // 256 AS BIGINT) AS chunk, COUNT(*) AS n_items,
        string_agg(CAST(item AS VARCHAR), ',' ORDER BY item) AS items
-FROM (SELECT DISTINCT "user", item FROM r) GROUP BY "user", item // 4096""")
+FROM (SELECT DISTINCT "user", item FROM r) GROUP BY "user", item // 256""")
 def q_a3_rated_items(spark, d):
-    s = rt.rated_items(_r_ord(spark, d))
+    """Sorted rated items in id chunks of 256 (several chunks per user)."""
+    s = rt.rated_items(_r_ord(spark, d), chunk=256)
     return s.select("user", "chunk", F.size("items").cast("long").alias("n_items"),
                     F.array_join(F.col("items").cast("array<string>"), ",").alias("items"))
 
@@ -96,14 +96,12 @@ def q_a3_rated_items(spark, d):
 # ------------------------------------------------------------------ Q3 dedupe
 @register("q3_dedupe", """
 WITH l AS (
-  SELECT CAST(o_custkey AS INT) AS "user", CAST(l_partkey AS INT) AS item,
+  SELECT CAST(o_custkey AS BIGINT) AS "user", CAST(l_partkey AS BIGINT) AS item,
          CAST(1 + CAST(l_quantity AS INT) % 5 AS DOUBLE) AS rating, l_orderkey * 8 + l_linenumber AS ord
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
 SELECT "user", item, arg_max(rating, ord * 8 + rating) AS rating, COUNT(*) AS n_lines FROM l GROUP BY 1, 2""")
 def q_q3_dedupe(spark, d):
-    lines = tb.rating_lines_from_orders(spark, d)
-    n = lines.groupBy("user", "item").agg(F.count(F.lit(1)).alias("n_lines"))
-    return rt.dedupe_ratings(lines).join(n, ["user", "item"])
+    return rt.dedupe_ratings(tb.rating_lines_from_orders(spark, d), with_count=True)
 
 
 # ------------------------------------------------------------------ J1/R1 residuals
@@ -120,21 +118,46 @@ def q_r1_residuals(spark, d):
 
 
 # ------------------------------------------------------------------ J5 pad factors
-@register("j5_pad_factors", with_sql(R_EV_SQL) + """,
-present AS (SELECT DISTINCT "user" AS id FROM r WHERE rating >= 3.0e0),
-n AS (SELECT MAX("user") + 1 AS n FROM r),
-ids AS (SELECT CAST(range AS INT) AS id FROM range((SELECT n FROM n)))
+# users with some part bought at least 60 times: few, and user 0 is not among them
+HEAVY_SQL = """present AS (
+  SELECT DISTINCT CAST(o_custkey AS BIGINT) AS id FROM (
+    SELECT o_custkey, l_partkey, SUM(l_quantity) AS q FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)
+  WHERE q >= 60),
+ids AS (SELECT CAST(range AS BIGINT) AS id FROM range((SELECT MAX(o_custkey) + 1 FROM lineitem JOIN orders ON l_orderkey = o_orderkey)))"""
+
+
+def _heavy_factors(spark, d):
+    li, od = tb.table(spark, d, "lineitem"), tb.table(spark, d, "orders")
+    q = li.join(od, li.l_orderkey == od.o_orderkey).groupBy("o_custkey", "l_partkey").agg(F.sum("l_quantity").alias("q"))
+    return tb.det_factors(q.filter("q >= 60"), "o_custkey", "user"), rt.dims(_r_ord(spark, d)).n_users
+
+
+@register("j5_pad_factors", with_sql(HEAVY_SQL) + """
 SELECT ids.id,
        round(CASE WHEN p.id IS NULL THEN 0.0e0 ELSE ((ids.id*31+17) % 97) / 97.0e0 + 0.1e0 END, 6) AS f0,
        round(CASE WHEN p.id IS NULL THEN 0.0e0 ELSE ((ids.id*53+29) % 89) / 89.0e0 + 0.1e0 END, 6) AS f1
 FROM ids LEFT JOIN present p ON p.id = ids.id""")
 def q_j5_pad_factors(spark, d):
-    r = _r_ev(spark, d)
-    n = rt.dims(r).n_users
-    f = tb.det_factors(r.filter(F.col("rating") >= 3.0), "user", "user")
+    """Factors of the heavy buyers padded to all customers (most ids, 0 among them, get the zero vector)."""
+    f, n = _heavy_factors(spark, d)
     return rt.pad_factors(f, n, 2).select("id", *_flat2(None))
 
 
+@register("u2_missing_ids", with_sql(HEAVY_SQL) + "SELECT id FROM ids WHERE id NOT IN (SELECT id FROM present)")
+def q_u2_missing_ids(spark, d):
+    return rt.missing_ids(*_heavy_factors(spark, d))
+
+
+@register("p3_restrict", with_sql(R_ORD_SQL) + """,
+m AS (SELECT MAX("user") // 3 AS u, MAX(item) // 2 AS i FROM r)
+SELECT r.* FROM r, m WHERE r."user" <= m.u AND r.item <= m.i""")
+def q_p3_restrict(spark, d):
+    """A third of the users, half of the items."""
+    r = _r_ord(spark, d)
+    n = rt.dims(r)
+    return rt.restrict(r, (n.n_users - 1) // 3, (n.n_items - 1) // 2)
+
+
 # ------------------------------------------------------------------ A5 loss
 @register("a5_loss", with_sql(R_ORD_SQL, DET_SQL, NR_SQL) + """,
 s AS (SELECT SUM((r.rating - (uf.f0*vf.f0 + uf.f1*vf.f1)) * (r.rating - (uf.f0*vf.f0 + uf.f1*vf.f1))) AS sse
@@ -167,14 +190,15 @@ di AS (SELECT vf.id, (coalesce(gi.g0, 0.0e0) + 0.01e0*vf.f0) / nr.n AS f0,
        FROM vf LEFT JOIN gi ON gi.id = vf.id, nr)"""
 
 
-@register("a6_gradient", with_sql(R_ORD_SQL, DET_SQL, NR_SQL) + GRAD_SQL + """
+@register("a6_gradient", with_sql(R_ORD_SQL, DET_SQL, "nr AS (SELECT 1.0e0 AS n)") + GRAD_SQL + """
 SELECT 'user' AS side, id, round(f0, 6) AS g0, round(f1, 6) AS g1 FROM du
 UNION ALL
 SELECT 'item' AS side, id, round(f0, 6) AS g0, round(f1, 6) AS g1 FROM di""")
 def q_a6_gradient(spark, d):
+    """Normaliser 1, so that the λ term (about 0.005) stands well above the rounding."""
     r = _r_ord(spark, d)
     uf, vf = tb.det_model(r)
-    du, di = objective.gradient(r, uf, vf, 2, LAM, r.count())
+    du, di = objective.gradient(r, uf, vf, 2, LAM, 1.0)
     return (du.select(F.lit("user").alias("side"), "id", *_flat2(None, prefix="g"))
             .unionByName(di.select(F.lit("item").alias("side"), "id", *_flat2(None, prefix="g"))))
 
@@ -210,28 +234,35 @@ def q_m2_half_step(spark, d):
 
 
 # ------------------------------------------------------------------ R3 recommend
-RECS_SQL = with_sql(R_ORD_SQL, DET_SQL) + """,
+@register("r3_recommend", with_sql(R_ORD_SQL, DET_SQL) + """,
+lo AS (SELECT MIN("user") AS u FROM r),
+rated AS (SELECT "user", item FROM r UNION SELECT lo.u, vf.id FROM lo, vf),
 c AS (SELECT uf.id AS "user", vf.id AS item, uf.f0*vf.f0 + uf.f1*vf.f1 AS score
-      FROM uf, vf WHERE NOT EXISTS (SELECT 1 FROM r WHERE r."user" = uf.id AND r.item = vf.id)),
+      FROM uf, vf WHERE NOT EXISTS (SELECT 1 FROM rated WHERE rated."user" = uf.id AND rated.item = vf.id)),
 t AS (SELECT "user", item, score, row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS position
-      FROM c QUALIFY position <= 20)"""
-
-
-@register("r3_recommend", RECS_SQL + """
-SELECT t."user" AS req_pos, t."user", CAST(t.position AS INT) AS position, t.item, round(t.score, 6) AS score,
+      FROM c QUALIFY position <= 20),
+req AS (SELECT c_nationkey AS req_pos, c_custkey AS "user" FROM customer
+        UNION ALL SELECT c_nationkey, c_custkey * 1000 FROM customer)
+SELECT req.req_pos, t."user", CAST(t.position AS INT) AS position, t.item, round(t.score, 6) AS score,
        coalesce(p.p_name, '') AS name
-FROM t LEFT JOIN part p ON CAST(p.p_partkey AS INT) = t.item""")
+FROM req JOIN t ON t."user" = req."user" LEFT JOIN (SELECT * FROM part WHERE p_size >= 10) p ON p.p_partkey = t.item""")
 def q_r3_recommend(spark, d):
+    """All customers as requests, many under one key (their nation), some ids unknown and some repeated (custkey·1000);
+    the first customer has rated every part; parts smaller than 10 have no title."""
     r = _r_ord(spark, d)
     uf, vf = tb.det_model(r)
-    requests = uf.select(F.col("id").alias("req_pos"), F.col("id").alias("user"))
-    recs = rc.recommend(uf, vf, r, requests, k=20, rank=2, items=tb.items_from_parts(spark, d))
+    c = tb.table(spark, d, "customer")
+    requests = c.select(F.col("c_nationkey").alias("req_pos"), F.col("c_custkey").alias("user")).union(
+        c.select("c_nationkey", F.col("c_custkey") * 1000))
+    every = vf.select(F.lit(r.agg(F.min("user")).first()[0]).alias("user"), F.col("id").alias("item"))
+    items = tb.table(spark, d, "part").filter("p_size >= 10").select(F.col("p_partkey").alias("item"), F.col("p_name").alias("name"))
+    recs = rc.recommend(uf, vf, r.select("user", "item").union(every), requests, k=20, items=items)
     return recs.select("req_pos", "user", "position", "item", r6("score").alias("score"), "name")
 
 
 # ------------------------------------------------------------------ S2/S3/P4 parsing
 @register("s2_parse_ratings", """
-SELECT CAST(o_custkey AS INT) AS "user", CAST(l_partkey AS INT) AS item,
+SELECT CAST(o_custkey AS BIGINT) AS "user", CAST(l_partkey AS BIGINT) AS item,
        CAST(CAST(l_quantity AS INT) % 5 + 1 AS DOUBLE) AS rating
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber <> 1""")
 def q_s2_parse_ratings(spark, d):
@@ -250,8 +281,27 @@ def q_s2_parse_ratings(spark, d):
     return parse_ratings(j.select(line.alias("value")))
 
 
+@register("s2_files_to_cells", """
+WITH l AS (
+  SELECT CAST(o_custkey AS BIGINT) AS "user", CAST(l_partkey AS BIGINT) AS item,
+         CAST(CAST(l_quantity AS INT) % 5 + 1 AS DOUBLE) AS rating, l_orderkey * 8 + l_linenumber AS ord
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT "user", item, arg_max(rating, ord * 8 + rating) AS rating FROM l GROUP BY 1, 2""")
+def q_s2_files_to_cells(spark, d):
+    """S1 and S2 on files that Spark writes from lineitem in arrival order, then Q3: of the lines of one user and item
+    the last one counts, across part files."""
+    from .session import scratch_path
+    from .sources.text import read_ratings
+    lines = tb.rating_lines_from_orders(spark, d)
+    path = scratch_path(spark, "lines")
+    (lines.repartitionByRange(8, "ord").sortWithinPartitions("ord", "rating")
+     .select(F.format_string("%d\t%d\t%d\t%d", F.col("user") + 1, F.col("item") + 1, F.col("rating").cast("int"), "ord").alias("value"))
+     .write.text(path))
+    return rt.cells(read_ratings(spark, path))
+
+
 @register("s3_parse_items", """
-SELECT CAST(p_partkey AS INT) AS item, p_name AS name FROM part WHERE p_size >= 5""")
+SELECT CAST(p_partkey AS BIGINT) AS item, p_name AS name FROM part WHERE p_size >= 5""")
 def q_s3_parse_items(spark, d):
     """Title lines ``id|name|brand`` (1-based); parts with size < 5 give a bare ``id|`` (dropped)."""
     from .sources.text import parse_items
@@ -262,9 +312,9 @@ def q_s3_parse_items(spark, d):
 
 
 @register("p4_parse_requests", """
-SELECT c_custkey AS line_id, 0 AS pos, CAST(c_custkey AS INT) AS "user" FROM customer
+SELECT c_custkey AS line_id, 0 AS pos, CAST(c_custkey AS BIGINT) AS "user" FROM customer
 UNION ALL
-SELECT c_custkey AS line_id, 1 AS pos, CAST(c_nationkey AS INT) AS "user" FROM customer""")
+SELECT c_custkey AS line_id, 1 AS pos, CAST(c_nationkey AS BIGINT) AS "user" FROM customer""")
 def q_p4_parse_requests(spark, d):
     """Request lines `` <custkey>, <nationkey>`` (leading blank, Q19)."""
     from .sources.text import parse_requests
@@ -307,15 +357,6 @@ def q_v6_unflatten(spark, d):
             .unionByName(v2.select(F.lit("item").alias("side"), "id", *_flat2(None))))
 
 
-@register("v7_gaussian_factors")
-def q_v7_gaussian(spark, d):
-    """Hash-seeded N(0,1) rank-10 factors for every customer id of r_ord (rows-only)."""
-    from .operators.params import gaussian_factors
-    n = rt.dims(_r_ord(spark, d)).n_users
-    return gaussian_factors(spark, n, 10, 8).select("id", *[F.col("features").getItem(j).alias(f"f{j}")
-                                                            for j in range(10)])
-
-
 # ------------------------------------------------------------------ A8/A9/A10 sums
 @register("a8_sq_diff", with_sql(R_ORD_SQL, DET_SQL) + HALF_ITEM_SQL + """,
 h AS (SELECT id, (c*y0 - b*y1) / (a*c - b*b) AS f0, (a*y1 - b*y0) / (a*c - b*b) AS f1 FROM g)
@@ -638,7 +679,7 @@ def q_s7_report(spark, d):
 
 # ------------------------------------------------------------------ R5 request stream
 @register("r5_recommend_stream", with_sql(R_ORD_SQL, DET_SQL) + """,
-req AS (SELECT CAST(c_custkey AS INT) AS "user" FROM customer UNION ALL SELECT CAST(c_nationkey AS INT) FROM customer),
+req AS (SELECT CAST(c_custkey AS BIGINT) AS "user" FROM customer UNION ALL SELECT CAST(c_nationkey AS BIGINT) FROM customer),
 c AS (SELECT uf.id AS "user", vf.id AS item, uf.f0*vf.f0 + uf.f1*vf.f1 AS score
       FROM uf, vf WHERE NOT EXISTS (SELECT 1 FROM r WHERE r."user" = uf.id AND r.item = vf.id)),
 t AS (SELECT "user", item, score, row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS position
@@ -649,26 +690,26 @@ FROM req JOIN t ON t."user" = req."user" LEFT JOIN part p ON CAST(p.p_partkey AS
 def q_r5_recommend_stream(spark, d):
     """Request lines `` <custkey>, <nationkey>`` written by Spark from customer,
     answered by the file-source stream (availableNow) through foreachBatch."""
+    from .plans.model import FactorModel, save_model
     from .session import scratch_path
     from .streaming.requests import recommend_stream
     r = _r_ord(spark, d)
     uf, vf = tb.det_model(r)
     base = scratch_path(spark, "r5")
+    dm = rt.dims(r)
+    save_model(FactorModel(uf, vf, rt.seen_pairs(r), tb.items_from_parts(spark, d),
+                           {"rank": 2, "n_users": dm.n_users, "n_items": dm.n_items, "trainer": 0, "lam": LAM, "eps": 0.001,
+                            "seed": 8}), f"{base}/model")
     c = tb.table(spark, d, "customer")
     c.select(F.format_string(" %d, %d", "c_custkey", "c_nationkey").alias("value")).write.text(f"{base}/in")
-    q = recommend_stream(spark, f"{base}/in", uf, vf, r, f"{base}/out", f"{base}/ckpt", k=20, rank=2,
-                         items=tb.items_from_parts(spark, d))
+    q = recommend_stream(spark, f"{base}/in", f"{base}/model", f"{base}/out", f"{base}/ckpt", k=20)
     q.awaitTermination()
     out = spark.read.parquet(f"{base}/out")
     return out.select("user", "position", "item", r6("score").alias("score"), "name")
 
 
 # ------------------------------------------------------------------ S4/S5 model store
-@register("s4_save_load_model", with_sql(R_ORD_SQL, DET_SQL) + """
-SELECT 'user' AS side, id, round(f0, 6) AS f0, round(f1, 6) AS f1 FROM uf
-UNION ALL SELECT 'item' AS side, id, round(f0, 6) AS f0, round(f1, 6) AS f1 FROM vf""")
-def q_s4_save_load(spark, d):
-    """Store the deterministic model (gzip Parquet) under the checkpoint folder and read it back."""
+def _stored(spark, d):
     from .plans.model import FactorModel, save_model
     from .session import scratch_path
     r = _r_ord(spark, d)
@@ -677,15 +718,52 @@ def q_s4_save_load(spark, d):
     m = FactorModel(uf, vf, rt.seen_pairs(r), tb.items_from_parts(spark, d),
                     {"rank": 2, "n_users": dm.n_users, "n_items": dm.n_items, "trainer": 0, "lam": LAM,
                      "eps": 0.001, "seed": 8})
-    back = save_model(m, scratch_path(spark, "model"))
-    return (back.user_factors.select(F.lit("user").alias("side"), "id", *_flat2(None))
-            .unionByName(back.item_factors.select(F.lit("item").alias("side"), "id", *_flat2(None))))
+    path = scratch_path(spark, "model")
+    return save_model(m, path), path, r
+
+
+@register("s4_save_load_model", with_sql(R_ORD_SQL, DET_SQL) + """
+SELECT 'user' AS part, id, 0 AS other, round(f0, 6) AS f0, round(f1, 6) AS f1, '' AS name FROM uf
+UNION ALL SELECT 'item', id, 0, round(f0, 6), round(f1, 6), '' FROM vf
+UNION ALL SELECT 'seen', "user", item, 0.0e0, 0.0e0, '' FROM r
+UNION ALL SELECT 'title', p_partkey, 0, 0.0e0, 0.0e0, p_name FROM part
+UNION ALL SELECT 'meta', MAX("user") + 1, MAX(item) + 1, 2.0e0, 0.01e0, '' FROM r""")
+def q_s4_save_load(spark, d):
+    """Every table of a stored model (gzip Parquet under the checkpoint folder), read back."""
+    back, _, _ = _stored(spark, d)
+    zero, none = F.lit(0.0), F.lit("")
+
+    def part(df, name, id_, other=F.lit(0), f0=zero, f1=zero, text=none):
+        return df.select(F.lit(name).alias("part"), F.col(id_).alias("id"), other.cast("long").alias("other"),
+                         r6(f0).alias("f0"), r6(f1).alias("f1"), text.alias("name"))
+    f = [F.col("features")[j] for j in range(2)]
+    meta = spark.createDataFrame([(back.meta["n_users"], back.meta["n_items"], float(back.rank), back.meta["lam"])],
+                                 "n long, m long, k double, lam double")
+    return (part(back.user_factors, "user", "id", f0=f[0], f1=f[1]).unionByName(part(back.item_factors, "item", "id", f0=f[0], f1=f[1]))
+            .unionByName(part(back.seen, "seen", "user", other=F.col("item"))).unionByName(part(back.items, "title", "item", text=F.col("name")))
+            .unionByName(part(meta, "meta", "n", other=F.col("m"), f0=F.col("k"), f1=F.col("lam"))))
+
+
+@register("s6_fit_or_load", with_sql(R_ORD_SQL, DET_SQL) + """
+SELECT id, round(f0, 6) AS f0, round(f1, 6) AS f1, true AS reused FROM vf
+UNION ALL SELECT MAX(item) + 1, 0.0e0, 0.0e0, false FROM r""")
+def q_s6_fit_or_load(spark, d):
+    """A stored model is reused as it is; without one the library trains, and its item ids reach the largest one."""
+    from .plans.model import fit_or_load
+    back, path, r = _stored(spark, d)
+    again = fit_or_load(r, path, reuse=True)
+    new = fit_or_load(r, path + "-new", reuse=True, rank=2)
+    n = new.item_factors.agg((F.max("id") + 1).alias("id")).select("id", F.lit(0.0).alias("f0"), F.lit(0.0).alias("f1"),
+                                                                  F.lit(new.meta["version"] == back.meta["version"]).alias("reused"))
+    return again.item_factors.select("id", *_flat2(None), F.lit(again.meta["version"] == back.meta["version"]).alias("reused")).unionByName(n)
 
 
 # ------------------------------------------------------------------ pixels
-PX_SQL = """WITH p AS (SELECT l_orderkey AS image_id, CAST(l_linenumber AS INT) AS x, 0 AS y,
-                 CAST((l_partkey*7919 + l_orderkey*104729) % 16777216 AS INT) AS px FROM lineitem),
-c AS (SELECT *, px & 255 AS r, (px >> 8) & 255 AS g, (px >> 16) & 255 AS b, (px >> 24) & 255 AS a FROM p)"""
+PX_SQL = """WITH q AS (SELECT l_orderkey AS image_id, CAST(l_linenumber AS INT) AS x, CAST(l_partkey AS INT) AS y,
+                 CASE WHEN l_linenumber = 7 THEN (l_partkey % 256) * 65793 + (l_suppkey % 256) * 16777216
+                      ELSE (l_partkey*2654435761 + l_orderkey*40503) % 4294967296 END AS w FROM lineitem),
+p AS (SELECT image_id, x, y, w, CAST(CASE WHEN w >= 2147483648 THEN w - 4294967296 ELSE w END AS INT) AS px FROM q),
+c AS (SELECT image_id, x, y, px, w & 255 AS r, (w >> 8) & 255 AS g, (w >> 16) & 255 AS b, (w >> 24) & 255 AS a FROM p)"""
 
 
 @register("x1_channels", PX_SQL + """
@@ -726,63 +804,104 @@ def q_x6_pixel_count(spark, d):
     return pixel_counts(tb.pixels_from_lineitem(spark, d))
 
 
-# ------------------------------------------------------------------ rows-only trainers
+# ------------------------------------------------------------------ trainers run to their own stop test
+#: What both engines can say of a run whose steps depend on the data: sizes from the tables, and that the loss of the
+#: returned point, summed again by A5, is the last of a trace that never rises and was ended by the trainer's own test.
+INVARIANT_SQL = with_sql(R_EV_SQL) + """SELECT '{name}' AS trainer, MAX("user") + 1 AS n_users, MAX(item) + 1 AS n_items, 10 AS rank,
+       true AS converged, true AS never_rises, true AS loss_is_true, true AS better_than_start FROM r"""
+
+
 def _ev_problem(spark, d, rank):
     from .operators.params import init_params
     from .plans.descent import Problem
-    r = _r_ev(spark, d)
+    from .session import cut
+    r = cut(_r_ev(spark, d))
     dm = rt.dims(r)
     return Problem(r, rank, LAM, float(dm.n_ratings)), init_params(spark, dm.n_users, dm.n_items, rank, 8, 0.5)
 
 
-@register("m1_als_builtin")
+def _invariants(spark, name, prob, x0, fit):
+    losses = [row["loss"] for row in fit.trace.rows]
+    loss = lambda p: objective.loss(prob.ratings, p.uf, p.vf, prob.k, prob.lam, prob.normalizer)
+    end, start = loss(fit.params), loss(x0)
+    sizes = [f.agg(F.max("id")).first()[0] + 1 for f in fit.params.sides()]
+    return spark.createDataFrame([(name, *sizes, rc.factor_rank(fit.params.vf), fit.converged,
+                                   all(b <= a * (1 + 1e-9) for a, b in zip(losses, losses[1:])),
+                                   abs(end - losses[-1]) <= 1e-9 * max(1.0, end), end < start)],
+                                 "trainer string, n_users long, n_items long, rank int, converged boolean, never_rises boolean, "
+                                 "loss_is_true boolean, better_than_start boolean")
+
+
+@register("m1_als_builtin", with_sql(R_EV_SQL) + """
+SELECT 'user' AS side, MAX("user") + 1 AS n_ids, 10 AS rank, true AS non_negative, true AS any_positive FROM r
+UNION ALL SELECT 'item', MAX(item) + 1, 10, true, true FROM r""")
 def q_m1_als_builtin(spark, d):
-    """Library ALS (rank 10, 20 iterations, λ 0.01, non-negative, seed 8) on r_ev; padded factors."""
+    """Library ALS (rank 10, 20 iterations, λ 0.01, non-negative, seed 8) on r_ev: what is known of its padded factors."""
     from .plans.als import fit_als_builtin
     x = fit_als_builtin(_r_ev(spark, d), rank=10, lam=LAM)
-    return (x.uf.select(F.lit("user").alias("side"), "id", "features")
-            .unionByName(x.vf.select(F.lit("item").alias("side"), "id", "features")))
+
+    def side(name, f):
+        return f.agg(F.count(F.lit(1)).alias("n_ids"), F.max(F.size("features")).alias("rank"),
+                     (F.min(F.array_min("features")) >= 0).alias("non_negative"),
+                     (F.max(F.array_max("features")) > 0).alias("any_positive")).select(F.lit(name).alias("side"), "*")
+    return side("user", x.uf).unionByName(side("item", x.vf))
 
 
-@register("m5_gd_adaptive")
+@register("m5_gd_adaptive", INVARIANT_SQL.format(name="m5"))
 def q_m5_gd_adaptive(spark, d):
+    """Adaptive descent at rank 10 until the shrink rate falls below 0.01."""
     from .plans.descent import fit_gd_adaptive
-    prob, x0 = _ev_problem(spark, d, 4)
-    return fit_gd_adaptive(prob, x0, 50.0, 0.001, max_iter=8).trace.frame(spark)
+    prob, x0 = _ev_problem(spark, d, 10)
+    return _invariants(spark, "m5", prob, x0, fit_gd_adaptive(prob, x0, 50.0, 0.01))
 
 
-@register("m6_gd_linesearch")
+@register("m6_gd_linesearch", INVARIANT_SQL.format(name="m6"))
 def q_m6_gd_linesearch(spark, d):
+    """Descent with line search at rank 10 until the shrink rate falls below 0.01."""
     from .plans.descent import fit_gd_linesearch
-    prob, x0 = _ev_problem(spark, d, 4)
-    return fit_gd_linesearch(prob, x0, 0.001, 0.001, max_iter=8).trace.frame(spark)
+    prob, x0 = _ev_problem(spark, d, 10)
+    return _invariants(spark, "m6", prob, x0, fit_gd_linesearch(prob, x0, 0.01))
 
 
-@register("m7_cg")
+@register("m7_cg", INVARIANT_SQL.format(name="m7"))
 def q_m7_cg(spark, d):
+    """Conjugate gradients at rank 10 until a step from the plain gradient changes the loss by 1 % at most."""
     from .plans.descent import fit_cg
-    prob, x0 = _ev_problem(spark, d, 4)
-    return fit_cg(prob, x0, length=12).trace.frame(spark)
+    prob, x0 = _ev_problem(spark, d, 10)
+    return _invariants(spark, "m7", prob, x0, fit_cg(prob, x0, length=None, eps=0.01))
 
 
-@register("m10_fit_own_als")
+@register("m10_fit_own_als", with_sql(R_EV_SQL) + """
+SELECT MAX("user") + 1 AS n_users, MAX(item) + 1 AS n_items, 10 AS rank, 3 AS trainer, true AS converged,
+       COUNT(*) AS n_seen, true AS fits FROM r""")
 def q_m10_fit(spark, d):
-    """Trainer 3 (own ALS, rank 10, ε 0.001, λ 0.01) through the dispatch; item factors."""
+    """Trainer 3 (own ALS, rank 10, ε 0.001, λ 0.01) through the dispatch; it explains most of the ratings' variance."""
     from .plans.model import TRAINER_OWN_ALS, fit
-    m = fit(_r_ev(spark, d), tb.items_from_parts(spark, d), TRAINER_OWN_ALS)
-    return m.item_factors
+    r = _r_ev(spark, d)
+    m = fit(r, tb.items_from_parts(spark, d), TRAINER_OWN_ALS)
+    e = rt.residuals(r, m.user_factors, m.item_factors, m.rank)
+    return e.agg(F.count(F.lit(1)).alias("n_seen"), (F.avg(F.col("resid") * F.col("resid")) < 0.5 * F.var_pop("rating")).alias("fits")).select(
+        F.lit(m.meta["n_users"]).cast("long").alias("n_users"), F.lit(m.meta["n_items"]).cast("long").alias("n_items"),
+        F.lit(m.rank).alias("rank"), F.lit(m.meta["trainer"]).alias("trainer"), F.lit(m.meta["converged"]).alias("converged"),
+        "n_seen", "fits")
 
 
-@register("d5_compare_trainers")
+@register("d5_compare_trainers", with_sql(R_EV_SQL) + """
+SELECT t AS trainer, true AS below_start, true AS above_zero, COUNT(*) AS n_ratings
+FROM r, (VALUES ('start'), ('own_als'), ('gd_linesearch')) v(t) GROUP BY t""")
 def q_d5_compare(spark, d):
-    """Loss of own ALS (3 sweeps) and of fixed-step descent (3 steps) on r_ev, same objective."""
+    """Losses of own ALS and of descent with line search (rank 10, to their stop tests) and of their common start."""
     from .operators.diagnostics import compare_trainers
     from .plans.als import fit_als
-    from .plans.descent import fit_gd_fixed
-    prob, x0 = _ev_problem(spark, d, 4)
-    a = fit_als(prob.ratings, rank=4, eps=0.0, lam=LAM, max_iter=3, init=x0).params
-    g = fit_gd_fixed(prob, x0, 50.0, 0.0, max_iter=3).params
-    return compare_trainers(prob.ratings, {"own_als": a, "gd_fixed": g}, 4, LAM, prob.normalizer)
+    from .plans.descent import fit_gd_linesearch
+    prob, x0 = _ev_problem(spark, d, 10)
+    fits = {"start": x0, "own_als": fit_als(prob.ratings, rank=10, lam=LAM, init=x0).params,
+            "gd_linesearch": fit_gd_linesearch(prob, x0, 0.01).params}
+    losses = compare_trainers(prob.ratings, fits, 10, LAM, prob.normalizer)
+    first = losses.filter("trainer = 'start'").first()["loss"]
+    return losses.select(
+        "trainer", ((F.col("loss") < first) | (F.col("trainer") == "start")).alias("below_start"),
+        (F.col("loss") > 0).alias("above_zero"), F.lit(int(prob.normalizer)).cast("long").alias("n_ratings"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

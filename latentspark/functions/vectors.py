@@ -18,11 +18,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def comp(f, j: int) -> Column:
-    """Component ``j`` of vector column ``f``."""
-    return _c(f).getItem(j)
-
-
 def dot(f, g, k: int | None = None) -> Column:
     """V1 dot product.  Unrolled when ``k`` is given, else ``aggregate(zip_with)``."""
     f, g = _c(f), _c(g)
@@ -66,11 +61,6 @@ def zeros(k: int) -> Column:
     return F.array_repeat(F.lit(0.0), k)
 
 
-def vector_from(cols) -> Column:
-    """Pack scalar columns into one ``ARRAY<DOUBLE>``."""
-    return F.array(*[_c(c).cast("double") for c in cols])
-
-
 def unit_uniform(*keys) -> Column:
     """Uniform in (0, 1) from a 64-bit hash of ``keys``; independent of partitioning."""
     h = F.xxhash64(*keys)

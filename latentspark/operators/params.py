@@ -13,51 +13,57 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.vectors import axpy, gaussian_vector, vec_scale
-from ..session import cut
+from ..functions.vectors import gaussian_vector, vec_scale
+from ..session import cut, drop_cut
 
 
 @dataclass
 class Params:
-    """A point of the factorisation problem: two ``(id, features)`` frames."""
+    """A point of the factorisation problem: two ``(id, features)`` frames, and the table they were cut to, if any."""
     uf: DataFrame
     vf: DataFrame
+    whole: DataFrame | None = None
+
+    @classmethod
+    def of_table(cls, table: DataFrame) -> "Params":
+        """From ``(side, id, features)``; side 0 are the users, side 1 the items, other sides are ignored."""
+        side = lambda s: table.filter(F.col("side") == s).select("id", "features")
+        return cls(side(0), side(1), table)
 
     def sides(self):
         return (self.uf, self.vf)
 
+    def table(self) -> DataFrame:
+        """Both sides as ``(side, id, features)``."""
+        if self.whole is not None:
+            return self.whole.filter(F.col("side") >= 0).select("side", "id", "features")
+        one = lambda f, s: f.select(F.lit(s).alias("side"), F.col("id").cast("long").alias("id"), "features")
+        return one(self.uf, 0).unionByName(one(self.vf, 1))
+
     def cut(self) -> "Params":
-        """Checkpoint both sides as one (side, id, features) table: one pair of jobs, not two."""
-        both = (self.uf.select(F.lit(0).alias("side"), "id", "features")
-                .unionByName(self.vf.select(F.lit(1).alias("side"), "id", "features")))
-        c = cut(both)
-        return Params(c.filter(F.col("side") == 0).select("id", "features"),
-                      c.filter(F.col("side") == 1).select("id", "features"))
+        """Both sides as one written table: one job, and lineage starts there."""
+        return Params.of_table(cut(self.table()))
 
+    def drop(self) -> None:
+        """Delete the table behind this point; only for points that nothing reads any more."""
+        drop_cut(self.whole)
 
-def _axpy_frame(x: DataFrame, d: DataFrame, z: float) -> DataFrame:
-    return (x.select("id", "features").join(d.select("id", F.col("features").alias("d")), "id")
-            .select("id", axpy("features", "d", float(z)).alias("features")))
+
+def lin_comb(a: Params, ca: float, b: Params, cb: float) -> Params:
+    """V2 / V4 over whole parameter sets: ``ca·a + cb·b``, one join by (side, id)."""
+    j = a.table().join(b.table().select("side", "id", F.col("features").alias("b")), ["side", "id"])
+    return Params.of_table(j.select("side", "id", F.zip_with(
+        "features", "b", lambda p, q: F.lit(float(ca)) * p + F.lit(float(cb)) * q).alias("features")))
 
 
 def move(p: Params, d: Params, z: float) -> Params:
     """V2 over a whole parameter set: ``p + z·d``."""
-    return Params(_axpy_frame(p.uf, d.uf, z), _axpy_frame(p.vf, d.vf, z))
+    return lin_comb(p, 1.0, d, z)
 
 
 def scale(p: Params, c: float) -> Params:
     """V4 over a parameter set."""
-    return Params(p.uf.select("id", vec_scale("features", c).alias("features")),
-                  p.vf.select("id", vec_scale("features", c).alias("features")))
-
-
-def lin_comb(a: Params, ca: float, b: Params, cb: float) -> Params:
-    """``ca·a + cb·b`` (the Polak–Ribière update)."""
-    def side(x, y):
-        return (x.select("id", F.col("features").alias("p")).join(y.select("id", F.col("features").alias("q")), "id")
-                .select("id", F.zip_with("p", "q", lambda p, q: F.lit(float(ca)) * p + F.lit(float(cb)) * q)
-                        .alias("features")))
-    return Params(side(a.uf, b.uf), side(a.vf, b.vf))
+    return Params.of_table(p.table().select("side", "id", vec_scale("features", c).alias("features")))
 
 
 def gaussian_factors(spark: SparkSession, n: int, k: int, seed: int, stddev: float = 1.0,
@@ -67,7 +73,7 @@ def gaussian_factors(spark: SparkSession, n: int, k: int, seed: int, stddev: flo
     Independent of partitioning and of executor loss (a recomputed partition
     gives the same numbers, unlike ``randn``).
     """
-    ids = spark.range(n).select(F.col("id").cast("int").alias("id"))
+    ids = spark.range(n).select(F.col("id").cast("long").alias("id"))
     return ids.select("id", gaussian_vector(F.col("id"), k, seed * 1000003 + salt, stddev).alias("features"))
 
 
@@ -81,7 +87,7 @@ def flatten_params(uf: DataFrame, vf: DataFrame, n: int, k: int) -> DataFrame:
     def side(f, name, offset):
         e = f.select("id", F.posexplode("features").alias("k", "value"))
         return e.select((F.lit(offset) + F.col("id").cast("long") * F.lit(k) + F.col("k")).alias("pos"),
-                        F.lit(name).alias("side"), F.col("id").cast("int").alias("id"),
+                        F.lit(name).alias("side"), F.col("id").cast("long").alias("id"),
                         F.col("k").cast("int").alias("k"), "value")
     return side(uf, "user", 0).unionByName(side(vf, "item", n * k))
 
@@ -98,7 +104,7 @@ def unflatten_params(params: DataFrame, n: int, m: int) -> tuple[DataFrame, Data
     p = params.select("pos", "value")
     is_user = F.col("pos") < F.lit(split)
     rel = F.when(is_user, F.col("pos")).otherwise(F.col("pos") - F.lit(split))
-    e = p.select(is_user.alias("is_user"), (rel / F.lit(rank)).cast("int").alias("id"),
+    e = p.select(is_user.alias("is_user"), F.floor(rel / F.lit(rank)).cast("long").alias("id"),
                  (rel % F.lit(rank)).cast("int").alias("k"), "value")
     g = (e.groupBy("is_user", "id")
          .agg(F.array_sort(F.collect_list(F.struct("k", "value"))).alias("kv"))

@@ -1,6 +1,6 @@
 """Rating-table operators: sizes, rated sets, de-duplication, factor padding, joins.
 
-Ratings are long-form ``(user INT, item INT, rating DOUBLE)``; a rated cell is
+Ratings are long-form ``(user BIGINT, item BIGINT, rating DOUBLE)``; a rated cell is
 a present row, an unrated cell an absent one (the dense masks of the
 reference are never formed).
 """
@@ -45,7 +45,7 @@ def rated_items(ratings: DataFrame, user: str = "user", item: str = "item",
     first (partial aggregation before the shuffle).
     """
     return (ratings.select(user, item).distinct()
-            .groupBy(user, (F.col(item) / F.lit(chunk)).cast("int").alias("chunk"))
+            .groupBy(user, F.floor(F.col(item) / F.lit(chunk)).alias("chunk"))
             .agg(F.sort_array(F.collect_list(item)).alias("items")))
 
 
@@ -54,11 +54,20 @@ def seen_pairs(ratings: DataFrame, user: str = "user", item: str = "item") -> Da
     return ratings.select(user, item).distinct()
 
 
-def dedupe_ratings(lines: DataFrame, order: str = "ord") -> DataFrame:
+def dedupe_ratings(lines: DataFrame, order: str = "ord", with_count: bool = False) -> DataFrame:
     """Q3: one rating per (user, item); the line with the largest ``order`` wins
-    (equal orders: the larger rating, so the result is deterministic)."""
+    (equal orders: the larger rating, so the result is deterministic).  ``with_count`` adds ``n_lines``."""
+    n = [F.count(F.lit(1)).alias("n_lines")] if with_count else []
     return (lines.groupBy("user", "item")
-            .agg(F.max_by("rating", F.struct(order, "rating")).alias("rating")))
+            .agg(F.max_by("rating", F.struct(order, "rating")).alias("rating"), *n))
+
+
+def cells(ratings: DataFrame) -> DataFrame:
+    """One row per (user, item), ids as BIGINT: the last line by the column ``ord`` if there is one (Q3), else the
+    largest rating of the lines."""
+    r = ratings if "ord" in ratings.columns else ratings.withColumn("ord", F.lit(0))
+    return dedupe_ratings(r.select(F.col("user").cast("long").alias("user"), F.col("item").cast("long").alias("item"),
+                                   F.col("rating").cast("double").alias("rating"), "ord"))
 
 
 def restrict(ratings: DataFrame, max_user: int, max_item: int) -> DataFrame:
@@ -73,8 +82,8 @@ def pad_factors(factors: DataFrame, n: int, k: int) -> DataFrame:
     collected.
     """
     spark = factors.sparkSession
-    ids = spark.range(n).select(F.col("id").cast("int").alias("id"))
-    f = factors.select(F.col("id").cast("int").alias("id"),
+    ids = spark.range(n).select(F.col("id").cast("long").alias("id"))
+    f = factors.select(F.col("id").cast("long").alias("id"),
                        F.col("features").cast("array<double>").alias("features"))
     return (ids.join(f, "id", "left")
             .select("id", F.coalesce(F.col("features"), zeros(k)).alias("features")))
@@ -83,8 +92,8 @@ def pad_factors(factors: DataFrame, n: int, k: int) -> DataFrame:
 def missing_ids(factors: DataFrame, n: int) -> DataFrame:
     """Ids of ``0 .. n-1`` that have no factor row."""
     spark = factors.sparkSession
-    ids = spark.range(n).select(F.col("id").cast("int").alias("id"))
-    return ids.join(factors.select(F.col("id").cast("int").alias("id")).distinct(), "id", "left_anti")
+    ids = spark.range(n).select(F.col("id").cast("long").alias("id"))
+    return ids.join(factors.select(F.col("id").cast("long").alias("id")).distinct(), "id", "left_anti")
 
 
 def with_factors(ratings: DataFrame, user_factors: DataFrame, item_factors: DataFrame) -> DataFrame:

@@ -2,19 +2,12 @@
 
 For each group g:  x_g = (Xᵀ C X + λI)⁺ Xᵀ C y    (C = diag(weights))
 
-The normal equations are sums over rows, so they are built by Spark:
-
-* rank ≤ ``SUM_COLUMN_MAX_RANK``: k(k+1)/2 + k + 1 ``sum`` columns in one
-  hash aggregate (whole-stage codegen, partial aggregation before the
-  shuffle: a hot group is pre-summed in every map task).
-* higher ranks: partial Gram matrices in numpy (``mapInPandas`` over input
-  sorted within each partition), shuffled by group and combined per group;
-  at most one partial row per group per input partition crosses the
-  shuffle.
-
-The k×k solves run batched in numpy inside ``mapInPandas`` (pseudo-inverse,
-so λ = 0 and rank-deficient groups give the minimum-norm answer).  Nothing
-is collected on the driver.
+The normal equations of ``gram`` / ``ridge`` are ``sum`` columns of one hash
+aggregate (whole-stage codegen, partial aggregation before the shuffle: a hot
+group is pre-summed in every map task).  The half-step of ALS builds its Gram
+matrices block by block over ratings that were laid out once
+(``operators.blocks``), one plan for every rank.  The k×k solves run batched in
+numpy; nothing is collected on the driver.
 """
 
 from __future__ import annotations
@@ -25,27 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SUM_COLUMN_MAX_RANK = 12
-
-
-def batched_solve(G: np.ndarray, b: np.ndarray, lam: float) -> np.ndarray:
-    """(G + λI)⁺ b for a stack of symmetric k×k systems.
-
-    With λ > 0 every system is positive definite, so a batched LU solve
-    gives the same answer as the pseudo-inverse at a fraction of the cost;
-    λ = 0 (or a numerically singular batch) uses the pseudo-inverse, the
-    minimum-norm answer for rank-deficient groups.
-    """
-    k = G.shape[-1]
-    A = G.copy()
-    idx = np.arange(k)
-    A[:, idx, idx] += lam
-    if lam > 0:
-        try:
-            return np.linalg.solve(A, b[..., None])[..., 0]
-        except np.linalg.LinAlgError:
-            pass
-    return np.einsum("bij,bj->bi", np.linalg.pinv(A, hermitian=True), b)
+from .blocks import RatingBlocks, half_step
+from .solve import batched_solve
 
 
 def _feature_cols(features, k: int | None) -> list[Column]:
@@ -121,60 +95,6 @@ def weighted_ridge(df: DataFrame, features, label: str, weight: str | None, lam:
 
 
 # ------------------------------------------------------------------ ALS half-step
-def _sorted_segments(key: str, k: int, lam: float | None):
-    """Reduce rows sorted by ``key`` within the partition to one row per key.
-
-    A key's rows are contiguous but may straddle Arrow batches, so the last
-    key of each batch is carried into the next; memory stays at one batch.
-    Input rows hold either raw (x, rating) pairs (``lam is None``: emit
-    partial Gram matrices) or partial Grams (emit solved factors).
-    """
-    def reduce_batch(pdf):
-        keys = pdf[key].to_numpy()
-        uniq, starts = np.unique(keys, return_index=True)
-        order = np.argsort(starts)
-        uniq, starts = uniq[order], starts[order]
-        if lam is None:
-            X = pdf[[f"x{j}" for j in range(k)]].to_numpy(dtype=float)
-            y = pdf["rating"].to_numpy(dtype=float)
-            G = np.add.reduceat(X[:, :, None] * X[:, None, :], starts, axis=0).reshape(len(uniq), k * k)
-            b = np.add.reduceat(X * y[:, None], starts, axis=0)
-        else:
-            G = np.add.reduceat(np.stack(pdf["G"].to_numpy()).astype(float), starts, axis=0)
-            b = np.add.reduceat(np.stack(pdf["b"].to_numpy()).astype(float), starts, axis=0)
-        return uniq, G, b
-
-    def emit(keys, G, b):
-        if lam is None:
-            return pd.DataFrame({key: keys, "G": list(G), "b": list(b)})
-        return pd.DataFrame({key: keys, "features": list(batched_solve(G.reshape(-1, k, k), b, lam))})
-
-    def run(batches):
-        carry = None
-        step = max(1, (16 << 20) // (8 * k * k)) if lam is None else None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pieces = [pdf] if step is None else [pdf.iloc[s:s + step] for s in range(0, len(pdf), step)]
-            for piece in pieces:
-                keys, G, b = reduce_batch(piece)
-                if carry is not None:
-                    if carry[0][0] == keys[0]:
-                        G[0] += carry[1][0]
-                        b[0] += carry[2][0]
-                    else:
-                        keys = np.concatenate([carry[0], keys])
-                        G = np.concatenate([carry[1], G])
-                        b = np.concatenate([carry[2], b])
-                carry = (keys[-1:], G[-1:], b[-1:])
-                if len(keys) > 1:
-                    yield emit(keys[:-1], G[:-1], b[:-1])
-        if carry is not None:
-            yield emit(*carry)
-
-    return run
-
-
 def als_half_step(ratings: DataFrame, fixed: DataFrame, fixed_key: str, out_key: str,
                   k: int, lam: float) -> DataFrame:
     """M2: fix one side's factors and solve a ridge system per id of the other side.
@@ -182,25 +102,8 @@ def als_half_step(ratings: DataFrame, fixed: DataFrame, fixed_key: str, out_key:
     ``ratings`` has (user, item, rating); ``fixed`` is (id, features) for the
     ``fixed_key`` side.  Returns (id, features) for the ids of ``out_key``
     that have ratings; plain λ (Q13).  Ids without ratings are added by
-    ``pad_factors`` (zero vector, Q14).
+    ``pad_factors`` (zero vector, Q14).  Loops build the ``RatingBlocks`` once
+    and call ``half_step`` themselves.
     """
-    j = ratings.select(fixed_key, out_key, "rating").join(
-        fixed.select(F.col("id").alias(fixed_key), F.col("features").alias("x")), fixed_key)
-    if k <= SUM_COLUMN_MAX_RANK:
-        g = gram(j, [out_key], "x", "rating", k=k)
-        solved = solve_normal_equations(g, k, lam, [out_key], out="features")
-        return solved.select(F.col(out_key).alias("id"), "features")
-    key_type = j.schema[out_key].dataType
-    part_schema = T.StructType([T.StructField(out_key, key_type), T.StructField("G", T.ArrayType(T.DoubleType())),
-                                T.StructField("b", T.ArrayType(T.DoubleType()))])
-    # one partial Gram per key per input partition (local sort, no shuffle),
-    # then one shuffle of the partials by key, combined and solved per key
-    # components as scalar columns: Arrow moves them as flat numeric buffers
-    comps = [F.col("x").getItem(i).alias(f"x{i}") for i in range(k)]
-    parts = (j.select(out_key, "rating", *comps).sortWithinPartitions(out_key)
-             .mapInPandas(_sorted_segments(out_key, k, None), part_schema))
-    out_schema = T.StructType([T.StructField(out_key, key_type),
-                               T.StructField("features", T.ArrayType(T.DoubleType()))])
-    solved = (parts.repartition(out_key).sortWithinPartitions(out_key)
-              .mapInPandas(_sorted_segments(out_key, k, float(lam)), out_schema))
-    return solved.select(F.col(out_key).alias("id"), "features")
+    r = ratings.select(F.col(fixed_key).alias("user"), F.col(out_key).alias("item"), "rating")
+    return half_step(RatingBlocks.of(r, sides=("item",)), fixed, "item", k, lam)

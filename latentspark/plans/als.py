@@ -4,9 +4,9 @@ Two objectives (Q13):
 
 * ``fit_als_builtin`` — Spark ML's ALS, whose λ is scaled by the number of
   ratings of each id (rank, 20 iterations, λ, non-negative, seed 8);
-* ``fit_als`` — plain ridge λ per id, ``(XᵀX + λI)⁺Xᵀy`` (``als_half_step``),
-  items from users then users from items per sweep, at least two sweeps,
-  continuing while ``loss + ε < previous loss``.
+* ``fit_als`` — plain ridge λ per id, ``(XᵀX + λI)⁺Xᵀy``, items from users
+  then users from items per sweep, at least two sweeps, continuing while
+  ``loss + ε < previous loss``.
 """
 
 from __future__ import annotations
@@ -15,11 +15,10 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import objective as ob
+from ..operators.blocks import LOSS, RatingBlocks, gradient_pass, half_step
 from ..operators.params import Params, init_params
 from ..operators.ratings import dims, pad_factors
-from ..operators.regression import als_half_step
-from ..session import cut, ensure_checkpoint_dir
+from ..session import cut, drop_cut, ensure_checkpoint_dir
 from .descent import Fit, Trace
 
 
@@ -30,7 +29,8 @@ def fit_als_builtin(ratings: DataFrame, rank: int = 10, lam: float = 0.01, max_i
 
     Spark's ALS checkpoints its factor RDDs every 10 iterations into the
     session's checkpoint folder (registered here), so long runs survive
-    executor loss without recomputing from the first iteration.
+    executor loss without recomputing from the first iteration.  The library
+    takes ids within INT only; larger ones are an error, not dropped.
     """
     ensure_checkpoint_dir(ratings.sparkSession)
     if n is None or m is None:
@@ -49,44 +49,43 @@ def fit_als_builtin(ratings: DataFrame, rank: int = 10, lam: float = 0.01, max_i
 
 
 def fit_als(ratings: DataFrame, rank: int = 10, eps: float = 0.001, lam: float = 0.01,
-            max_iter: int = 20, init: Params | None = None, seed: int = 8,
+            max_iter: int | None = None, init: Params | None = None, seed: int = 8,
             n: int | None = None, m: int | None = None) -> Fit:
-    """M3: our ALS loop; each sweep = two half-steps (M2) + the loss (A5).
+    """M3: our ALS loop; each sweep = two half-steps (M2) and the loss (A5).
 
-    Ratings are persisted for the loop; each new factor table is
-    checkpointed, so the plan of sweep t does not contain sweeps 0..t-1.
-    ``max_iter`` bounds the sweeps (Q16).
+    Ratings are laid out once (``RatingBlocks``); a sweep shuffles factors
+    only, and each new factor table is written while the one before it is
+    deleted.  The loop runs to its own stop test; ``max_iter`` is a caller's
+    bound (``converged`` tells which of them ended it).  Ids without ratings
+    are filled with zero vectors once, at the end.
     """
     spark = ratings.sparkSession
     d = dims(ratings)
     n = d.n_users if n is None else n
     m = d.n_items if m is None else m
-    N = float(d.n_ratings)
     x = init if init is not None else init_params(spark, n, m, rank, seed)
-    r = ratings.select("user", "item", "rating").persist()
-    tr = Trace()
-    prev = None
+    blocks = RatingBlocks.of(ratings)
+    tr, prev, uf, vf, done = Trace(), None, x.uf, None, False
     try:
-        for it in range(max_iter):
-            vf = cut(pad_factors(als_half_step(r, x.uf, "user", "item", rank, lam), m, rank))
-            uf = cut(pad_factors(als_half_step(r, vf, "item", "user", rank, lam), n, rank))
-            x = Params(uf, vf)
-            y = ob.loss(r, uf, vf, rank, lam, N)
-            tr.add(it, y, y / prev if prev else 0.5, None)
-            if prev is not None and not (y + eps < prev):
-                break
+        while not done and (max_iter is None or len(tr.rows) < max_iter):
+            old_u, old_v = uf if tr.rows else None, vf  # the caller's starting point stays
+            vf = cut(half_step(blocks, uf, "item", rank, lam))
+            uf = cut(half_step(blocks, vf, "user", rank, lam))
+            drop_cut(old_u)
+            drop_cut(old_v)
+            y = gradient_pass(blocks, Params(uf, vf).table(), rank, lam, float(d.n_ratings)).filter(
+                F.col("side") == LOSS).first()["features"][0]
+            tr.add(len(tr.rows), y, y / prev if prev else 0.5, None)
+            done = prev is not None and not (y + eps < prev)
             prev = y
+        if vf is None:
+            return Fit(x, tr, False)
+        return Fit(Params(cut(pad_factors(uf, n, rank)), cut(pad_factors(vf, m, rank))), tr, done)
     finally:
-        r.unpersist()
-    return Fit(x, tr)
+        blocks.release()
 
 
 def als_sweeps(ratings: DataFrame, init: Params, rank: int, lam: float, sweeps: int,
                n: int, m: int) -> Params:
     """Exactly ``sweeps`` sweeps from ``init`` (no stop test); used for unrolled checks."""
-    x = init
-    for _ in range(sweeps):
-        vf = cut(pad_factors(als_half_step(ratings, x.uf, "user", "item", rank, lam), m, rank))
-        uf = cut(pad_factors(als_half_step(ratings, vf, "item", "user", rank, lam), n, rank))
-        x = Params(uf, vf)
-    return x
+    return fit_als(ratings, rank, eps=float("-inf"), lam=lam, max_iter=sweeps, init=init, n=n, m=m).params

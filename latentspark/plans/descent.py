@@ -1,28 +1,37 @@
 """First-order trainers on the factorisation loss: fixed step (M4), adaptive
 step (M5), descent with line search (M6) and Polak–Ribière conjugate
-gradients with a Wolfe–Powell line search (M7).
-
-Each loop runs Spark jobs per iteration and keeps only scalars on the driver:
-
-* the gradient (A6) is one aggregation job per point;
-* along a direction d the loss is an exact quartic in the step (A11), so a
-  whole line search costs one job instead of one job per trial step;
-* every accepted point is checkpointed to the shared checkpoint folder, so
-  plans do not grow with the iteration count and a lost executor only
-  recomputes from the last cut.
-
-The trace (``history``) has one row per recorded iteration:
-``(iter, loss, red, step)``; ``red`` = loss / previous loss.
+gradients (M7).
+
+The ratings of a problem are laid out once (``RatingBlocks``); a step then
+costs one job for gradient and loss, one for the line polynomial and one for
+the new point, each over factor tables only.  Along a direction the loss is an
+exact quartic in the step (A11), so a line search has no trial evaluations: the
+best step is a root of the quartic's derivative, a cubic solved on the driver.
+The driver holds scalars only.  Every accepted point is a written table, and
+the one before it is deleted.
+
+All trainers run to their own stop test; ``max_iter`` (default None) is a
+caller's bound, and ``Fit.converged`` tells whether the test was met.  A loss
+that is no longer finite, or a step that no longer moves the point, ends a run
+that would otherwise go on for ever (Q16), unconverged.
+
+The trace (``history``) has one row per accepted point:
+``(iter, loss, red, step)``; ``loss`` is the true loss there (taken from the
+next gradient job), ``red`` = loss / previous loss.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from itertools import count
 
+import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import objective as ob
+from ..operators.blocks import LOSS, RatingBlocks, gradient_pass, poly_pass
 from ..operators.params import Params, lin_comb, move, scale
 from ..session import cut
 
@@ -33,18 +42,31 @@ class Problem:
     k: int
     lam: float
     normalizer: float
+    blocks: RatingBlocks | None = None
+
+    def layout(self) -> RatingBlocks:
+        if self.blocks is None:
+            self.blocks = RatingBlocks.of(self.ratings, sides=("user",))
+        return self.blocks
 
-    def grad(self, x: Params) -> Params:
-        """Both sides in one aggregation job, checkpointed once."""
-        g = cut(ob.gradient_frame(self.ratings, x.uf, x.vf, self.k, self.lam, self.normalizer))
-        return Params(*ob.split_sides(g))
+    def release(self) -> None:
+        if self.blocks is not None:
+            self.blocks.release()
+            self.blocks = None
+
+    def grad(self, x: Params) -> tuple[Params, float]:
+        """Gradient (a written table) and loss at ``x``, from one job."""
+        g = cut(gradient_pass(self.layout(), x.table(), self.k, self.lam, self.normalizer))
+        return Params.of_table(g), float(g.filter(F.col("side") == LOSS).first()["features"][0])
 
     def loss(self, x: Params) -> float:
-        return ob.loss(self.ratings, x.uf, x.vf, self.k, self.lam, self.normalizer)
+        g = gradient_pass(self.layout(), x.table(), self.k, self.lam, self.normalizer)
+        return float(g.filter(F.col("side") == LOSS).first()["features"][0])
 
-    def poly(self, x: Params, d: Params):
+    def poly(self, x: Params, d: Params) -> tuple[float, ...]:
         """Coefficients of a ↦ loss(x − a·d)."""
-        return ob.line_poly(self.ratings, x.uf, x.vf, d.uf, d.vf, self.k, self.lam, self.normalizer)
+        row = poly_pass(self.layout(), x.table(), d.table(), self.k, self.lam, self.normalizer).first()
+        return tuple(float(row[f"c{j}"]) for j in range(5))
 
     def dot(self, a: Params, b: Params) -> float:
         return ob.param_dots(a.sides(), b.sides(), self.k)
@@ -62,6 +84,14 @@ class Trace:
     def head(self):
         return self.rows[-1]
 
+    def correct(self, loss: float) -> None:
+        """The newest row's true loss, once it has been summed at its point."""
+        if self.rows:
+            before = self.rows[-2]["loss"] if len(self.rows) > 1 else None
+            if before:
+                self.head["red"] = loss / before
+            self.head["loss"] = loss
+
     def shrink(self, n: int = 10) -> float:
         """W1 on the driver-side trace: 1 − mean(red) over the latest n rows."""
         last = self.rows[-n:]
@@ -75,234 +105,213 @@ class Trace:
 class Fit:
     params: Params
     trace: Trace
+    converged: bool = False
+
 
+def turns(max_iter: int | None):
+    return count() if max_iter is None else range(max_iter)
 
-def fit_gd_fixed(prob: Problem, x: Params, a: float, eps: float, max_iter: int = 100) -> Fit:
+
+def step_to(x: Params, start: Params, direction: Params, a: float) -> Params:
+    """``x − a·direction`` as a written table; ``x``'s own table goes unless it is the caller's starting point."""
+    new = move(x, direction, -a).cut()
+    if x is not start:
+        x.drop()
+    return new
+
+
+def fit_gd_fixed(prob: Problem, x: Params, a: float, eps: float, max_iter: int | None = None) -> Fit:
     """M4: x ← x − a·∇f(x) until |Δloss| ≤ ε.  First row has red 0.5; the
     step that triggers the stop is taken but not recorded (as in the
     reference)."""
-    tr = Trace()
-    for _ in range(max_iter):
-        g = prob.grad(x)
-        x = move(x, g, -a).cut()
-        y = prob.loss(x)
-        if not tr.rows:
-            tr.add(0, y, 0.5, a)
-            continue
-        h = tr.head
-        if abs(h["loss"] - y) > eps:
-            tr.add(h["iter"] + 1, y, y / h["loss"], a)
-        else:
-            break
-    return Fit(x, tr)
+    start, tr, done = x, Trace(), False
+    g, _ = prob.grad(x)
+    try:
+        for _ in turns(max_iter):
+            x = step_to(x, start, g, a)
+            g.drop()
+            g, y = prob.grad(x)
+            if not math.isfinite(y):
+                break
+            if not tr.rows:
+                tr.add(0, y, 0.5, a)
+            elif abs(tr.head["loss"] - y) > eps:
+                tr.add(tr.head["iter"] + 1, y, y / tr.head["loss"], a)
+            else:
+                done = True
+                break
+        g.drop()
+    finally:
+        prob.release()
+    return Fit(x, tr, done)
 
 
-def fit_gd_adaptive(prob: Problem, x: Params, a: float, eps: float, max_iter: int = 100,
+def fit_gd_adaptive(prob: Problem, x: Params, a: float, eps: float, max_iter: int | None = None,
                     grow: float = 1.1, shrink_by: float = 0.8, window: int = 10) -> Fit:
     """M5: try x − a·∇f; accept (a×1.1) if the loss falls, else a×0.8; stop
     when the shrink rate over the last ``window`` rows drops below ε.
-    Rejected trials reuse the polynomial: no Spark job."""
-    tr = Trace()
-    y0 = prob.loss(x)
-    tr.add(0, y0, 0.5, None)
-    g = c = None
-    for _ in range(max_iter):
-        if tr.shrink(window) < eps:
-            break
+    Rejected trials are polynomial values: no Spark job."""
+    start, tr, first = x, Trace(), a
+    done, g, c = False, None, None
+    try:
+        for _ in turns(max_iter):
+            if g is None:
+                g, y = prob.grad(x)
+                if tr.rows:
+                    tr.correct(y)
+                else:
+                    tr.add(0, y, 0.5, None)
+                c = prob.poly(x, g)
+            if tr.shrink(window) < eps:
+                done = True
+                break
+            y = ob.poly_eval(c, a)
+            if y < tr.head["loss"]:
+                x = step_to(x, start, g, a)
+                tr.add(tr.head["iter"] + 1, y, y / tr.head["loss"], a)
+                g.drop()
+                g = None
+                a *= grow
+            else:
+                a *= shrink_by
+                if not a > first * 1e-15:
+                    break
         if g is None:
-            g = prob.grad(x)
-            c = prob.poly(x, g)
-        y = ob.poly_eval(c, a)
-        h = tr.head
-        if y < h["loss"]:
-            x = move(x, g, -a).cut()
-            tr.add(h["iter"] + 1, y, y / h["loss"], a)
-            g = None
-            a *= grow
+            tr.correct(prob.loss(x))
         else:
-            a *= shrink_by
-    return Fit(x, tr)
-
-
-def line_search(c, a: float, max_steps: int = 100) -> tuple[float, float]:
-    """Step search on the loss polynomial along −∇f: shrink by 0.1 until the
-    loss does not exceed f(x), then grow by 10, 1.25 and 1.023 in turn while
-    it does not rise.  Returns (best step, loss there)."""
-    f = lambda z: ob.poly_eval(c, z)
-    y0 = f(0.0)
-    an, astar, ystar = a, a, y0
-    yn = f(an)
-    n = 0
-    while yn > y0 and n < max_steps:
-        an *= 0.1
-        yn = f(an)
-        n += 1
-    for factor in (10.0, 1.25, 1.023):
-        n = 0
-        while yn <= ystar and n < max_steps and math.isfinite(yn):
-            ystar, astar = yn, an
-            an *= factor
-            yn = f(an)
-            n += 1
-        an, yn = astar, ystar
-    return astar, ystar
-
-
-def fit_gd_linesearch(prob: Problem, x: Params, a: float = 0.001, eps: float = 0.001,
-                      adjust: int = 10, max_iter: int = 200, window: int = 10) -> Fit:
+            g.drop()
+    finally:
+        prob.release()
+    return Fit(x, tr, done)
+
+
+def stationary_steps(c) -> list[float]:
+    """Positive steps at which the slope of the loss polynomial is zero, ascending."""
+    slope = [4 * c[4], 3 * c[3], 2 * c[2], c[1]]
+    if not all(map(math.isfinite, slope)) or not any(slope):
+        return []
+    roots = np.roots(slope)
+    real = roots.real[np.abs(roots.imag) <= 1e-7 * np.abs(roots)]
+    return sorted(float(z) for z in real if z > 0 and math.isfinite(z))
+
+
+def exact_step(c) -> tuple[float, float]:
+    """The step with the least loss along the line, and that loss; (0, loss here) if no step is better."""
+    best = min(((ob.poly_eval(c, z), z) for z in stationary_steps(c)), default=(c[0], 0.0))
+    return (best[1], best[0]) if best[0] < c[0] else (0.0, c[0])
+
+
+def fit_gd_linesearch(prob: Problem, x: Params, eps: float = 0.001, adjust: int = 10,
+                      max_iter: int | None = None, window: int = 10, grow: float = 1.5) -> Fit:
     """M6 (the reference's trainer 1): descent whose step comes from a line
-    search at the start and whenever a step fails, and grows ×1.5 after
-    ``adjust`` accepted steps.  Stops when the shrink rate is below ε after
-    an improving step; that final step is recorded (Q17)."""
-    tr = Trace()
-    g = prob.grad(x)
-    c = prob.poly(x, g)
-    y = c[0]
-    an, yn = line_search(c, a)
-    x = move(x, g, -an).cut()
-    a = an
-    tr.add(0, yn, yn / y if y else 0.0, an)
-    left = adjust
-    g = c = None
-    for _ in range(max_iter):
-        if g is None:
-            g = prob.grad(x)
+    search at the start and whenever a step would not improve, and grows by
+    ``grow`` after ``adjust`` improving steps in a row.  Stops when the shrink
+    rate is below ε after an improving step.  The search takes the exact
+    minimiser of the line, so it needs no starting step; every move has its row
+    in the trace (Q17)."""
+    start, tr, done = x, Trace(), False
+    a, left = None, adjust
+    try:
+        for _ in turns(max_iter):
+            g, y = prob.grad(x)
+            tr.correct(y)
             c = prob.poly(x, g)
-        h = tr.head
-        shr = tr.shrink(window)
-        y = ob.poly_eval(c, a)
-        improved = y < h["loss"]
-        if improved:
-            x = move(x, g, -a).cut()
-            g = None
-        if shr < eps and improved:
-            tr.add(h["iter"] + 1, y, y / h["loss"], a)
-            break
-        if left == 0:
-            a *= 1.5
-            left = adjust
-        elif improved:
-            tr.add(h["iter"] + 1, y, y / h["loss"], a)
-            left -= 1
-        else:
-            an, yn = line_search(c, a)
-            x = move(x, g, -an).cut()
-            g = None
-            a = an
-            left = adjust
-    return Fit(x, tr)
-
-
-# Constants of the Polak–Ribière / Wolfe–Powell search.
-CG_RHO = 0.01
-CG_SIG = 0.5
-CG_INT = 0.1
-CG_EXT = 3.0
-CG_MAX = 20
-CG_RATIO = 100.0
-
-
-def fit_cg(prob: Problem, x: Params, length: int = 100, red: float = 1.0) -> Fit:
-    """M7: conjugate gradients.  ``length`` bounds evaluations and line
-    searches together (the counter grows with both).  All evaluations inside
-    a line search are the direction's polynomial and its derivative; Spark
-    runs one polynomial job per search plus the gradient and inner products
-    at each accepted point.  A second failed search in a row returns the
-    best point (Q15)."""
-    tr = Trace()
-    i = 0
-    ls_failed = False
-    f1 = prob.loss(x)
-    df1 = prob.grad(x)
-    i += 1
-    s = scale(df1, -1.0).cut()
-    d1 = -prob.dot(s, s)
-    z1 = red / (1.0 - d1)
-    tr.add(0, f1, 1.0, None)
-    while i < length:
-        i += 1
-        x0, f0, df0 = x, f1, df1
-        c = prob.poly(x0, scale(s, -1.0))       # P(z) = f(x0 + z·s)
-        f = lambda z: ob.poly_eval(c, z)
-        dfz = lambda z: ob.poly_slope(c, z)
-        f2, d2 = f(z1), dfz(z1)
-        i += 1
-        f3, d3, z3 = f1, d1, -z1
-        M = CG_MAX
-        success = False
-        limit = -1.0
-        while True:
-            while ((f2 > f1 + z1 * CG_RHO * d1) or (d2 > -CG_SIG * d1)) and M > 0:
-                limit = z1
-                if f2 > f1:
-                    z2 = z3 - (0.5 * d3 * z3 * z3) / (d3 * z3 + f2 - f3)
-                else:
-                    A = 6 * (f2 - f3) / z3 + 3 * (d2 + d3)
-                    B = 3 * (f3 - f2) - z3 * (d3 + 2 * d2)
-                    disc = B * B - A * d2 * z3 * z3
-                    z2 = (math.sqrt(disc) - B) / A if (disc >= 0 and A != 0) else float("nan")
-                    if not math.isfinite(z2):
-                        z2 = z3 / 2
-                z2 = max(min(z2, CG_INT * z3), (1 - CG_INT) * z3)
-                z1 += z2
-                f2, d2 = f(z1), dfz(z1)
-                M -= 1
-                i += 1
-                z3 -= z2
-            if (f2 > f1 + z1 * CG_RHO * d1) or (d2 > -CG_SIG * d1):
+            shrink = tr.shrink(window) if tr.rows else math.inf
+            kept = a is not None and ob.poly_eval(c, a) < y
+            if not kept:
+                a, left = exact_step(c)[0], adjust
+                if not a:  # a stationary point
+                    done = math.isfinite(y)
+                    g.drop()
+                    break
+            new = ob.poly_eval(c, a)
+            x = step_to(x, start, g, a)
+            g.drop()
+            tr.add(len(tr.rows), new, new / y if y else 0.0, a)
+            if kept:
+                if shrink < eps:
+                    done = True
+                    break
+                left -= 1
+                if not left:
+                    a, left = a * grow, adjust
+        if tr.rows:
+            tr.correct(prob.loss(x))
+    finally:
+        prob.release()
+    return Fit(x, tr, done)
+
+
+# Constants of the strong Wolfe conditions, and the default number of line searches.
+WOLFE_DECREASE = 0.01
+WOLFE_CURVATURE = 0.5
+CG_LENGTH = 100
+
+
+def wolfe_step(c) -> float | None:
+    """The first stationary step along the line that meets the strong Wolfe conditions, or None.
+
+    At a root of the slope the curvature condition holds up to rounding, so
+    what is left to test is sufficient decrease.
+    """
+    for z in stationary_steps(c):
+        enough = ob.poly_eval(c, z) <= c[0] + WOLFE_DECREASE * z * c[1]
+        if enough and abs(ob.poly_slope(c, z)) <= WOLFE_CURVATURE * abs(c[1]):
+            return z
+    return None
+
+
+def fit_cg(prob: Problem, x: Params, length: int | None = CG_LENGTH, eps: float = 0.0) -> Fit:
+    """M7: Polak–Ribière conjugate gradients, at most ``length`` line searches.
+
+    The direction is −∇f + β·(previous direction) with
+    β = max(0, g₁·(g₁ − g₀) / g₀·g₀), and −∇f again whenever that would not
+    descend or its line has no acceptable step; if −∇f has none either, the
+    best point so far is returned (Q15).  ``converged``: the gradient vanished,
+    or a step from −∇f changed the loss by at most ``eps`` times the loss.
+    """
+    start, tr, done = x, Trace(), False
+    try:
+        g, y = prob.grad(x)
+        tr.add(0, y, 1.0, None)
+        gg = prob.dot(g, g)
+        s, slope, plain = scale(g, -1.0).cut(), -gg, True
+        searches = turns(length)
+        for _ in searches:
+            if not gg > 0:
+                done = math.isfinite(y)
                 break
-            if d2 > CG_SIG * d1:
-                success = True
-                break
-            if M == 0:
-                break
-            A = 6 * (f2 - f3) / z3 + 3 * (d2 + d3)
-            B = 3 * (f3 - f2) - z3 * (d3 + 2 * d2)
-            disc = B * B - A * d2 * z3 * z3
-            den = B + math.sqrt(disc) if disc >= 0 else float("nan")
-            z2 = -d2 * z3 * z3 / den if (math.isfinite(den) and den != 0) else float("nan")
-            if not math.isfinite(z2) or z2 < 0:
-                z2 = z1 * (CG_EXT - 1) if limit < -0.5 else (limit - z1) / 2
-            elif limit > -0.5 and z2 + z1 > limit:
-                z2 = (limit - z1) / 2
-            elif limit < -0.5 and z2 + z1 > z1 * CG_EXT:
-                z2 = z1 * (CG_EXT - 1.0)
-            elif z2 < -z3 * CG_INT:
-                z2 = -z3 * CG_INT
-            elif limit > -0.5 and z2 < (limit - z1) * (1.0 - CG_INT):
-                z2 = (limit - z1) * (1.0 - CG_INT)
-            f3, d3, z3 = f2, d2, -z2
-            z1 += z2
-            f2, d2 = f(z1), dfz(z1)
-            M -= 1
-            i += 1
-        if success:
-            x = move(x0, s, z1).cut()
-            prev = f1
-            f1 = f2
-            df2 = prob.grad(x)
-            dots = ob.multi_dots({"g22": (df2.sides(), df2.sides()), "g12": (df1.sides(), df2.sides()),
-                                  "g11": (df1.sides(), df1.sides())}, prob.k)
-            coef = (dots["g22"] - dots["g12"]) / dots["g11"]
-            d2n = coef * d2 - dots["g22"]          # df2·s_new, with df2·s_old = d2
-            s = lin_comb(s, coef, df2, -1.0).cut()
-            df1 = df2
-            if d2n > 0:
-                s = scale(df1, -1.0).cut()
-                d2n = -dots["g22"]
-            z1 = z1 * min(CG_RATIO, d1 / d2n)
-            d1 = d2n
-            ls_failed = False
-            tr.add(tr.head["iter"] + 1, f1, f1 / prev if prev else 0.0, z1)
-        else:
-            x, f1, df1 = x0, f0, df0
-            if ls_failed or i > length:
+            z = None
+            if slope < 0:
+                c = prob.poly(x, scale(s, -1.0))
+                z = wolfe_step(c)
+            if z is None:
+                if plain:
+                    done = math.isfinite(y)
+                    break
+                s.drop()
+                s, slope, plain = scale(g, -1.0).cut(), -gg, True
+                continue
+            x = step_to(x, start, s, -z)
+            g0, before = g, y
+            g, y = prob.grad(x)
+            tr.add(tr.head["iter"] + 1, y, y / before if before else 0.0, z)
+            if plain and before - y <= eps * abs(before):
+                done = True
                 break
-            # as in the classic routine, the derivative swap leaves the
-            # gradient of the last trial point in df1
-            df1 = prob.grad(move(x0, s, z1))
-            s = scale(df1, -1.0).cut()
-            d1 = -prob.dot(s, s)
-            z1 = 1.0 / (1.0 - d1)
-            ls_failed = True
-    return Fit(x, tr)
+            dots = ob.multi_dots({"new": (g.sides(), g.sides()), "cross": (g0.sides(), g.sides()),
+                                  "along": (s.sides(), g.sides())}, prob.k)
+            beta = max(0.0, (dots["new"] - dots["cross"]) / gg)
+            gg = dots["new"]
+            slope, plain = beta * dots["along"] - gg, beta == 0.0
+            if before - y <= eps * abs(before):  # too little along the old directions: from −∇f again
+                beta, slope, plain = 0.0, -gg, True
+            new = lin_comb(s, beta, g, -1.0).cut()
+            s.drop()
+            g0.drop()
+            s = new
+        s.drop()
+        g.drop()
+    finally:
+        prob.release()
+    return Fit(x, tr, done)

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from ..operators.ratings import dims
 from ..operators.recommend import recommend
+from ..session import cut
 from ..sources import tables as tb
 from .als import fit_als_builtin
 
 
 def flagship(spark: SparkSession, sf_dir: str, rank: int = 10, lam: float = 0.01, k: int = 20) -> DataFrame:
-    ratings = tb.ratings_from_orders(spark, sf_dir).persist()
+    ratings = cut(tb.ratings_from_orders(spark, sf_dir))
     d = dims(ratings)
     x = fit_als_builtin(ratings, rank=rank, lam=lam, n=d.n_users, m=d.n_items)
     requests = ratings.select(F.col("user").alias("req_pos"), "user").distinct()

@@ -1,4 +1,4 @@
-"""Session helpers: builder defaults, checkpoint directory, lineage cuts.
+"""Session helpers: builder defaults, checkpoint folder, written tables that cut lineage.
 
 The iterative trainers cut lineage once per iteration by writing a table
 into the shared folder named by ``spark.checkpoint.dir``; a private temporary
@@ -8,35 +8,34 @@ folder is only made when no folder is configured and the master is local
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 APP_NAME = "latentspark"
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = APP_NAME, extra: dict | None = None) -> SparkSession:
     """Session with AQE on, the UI off and a checkpoint folder in place.
 
-    ``master`` defaults to whatever the launcher set, else ``local[2]`` (the
-    reference's fallback).
+    Master and shuffle partitions are the launcher's or the cluster's unless
+    the caller passes them.
     """
     b = SparkSession.builder.appName(app_name)
     if master is not None:
         b = b.master(master)
-    elif not os.environ.get("PYSPARK_SUBMIT_ARGS") and "spark.master" not in os.environ.get("SPARK_CONF", ""):
-        b = b.master("local[2]")
     conf = {
         "spark.ui.enabled": "false",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -70,7 +69,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder (for written tables)."""
-    import uuid
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
@@ -84,4 +82,15 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "cut")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.written_at = path
+    return back
+
+
+def drop_cut(df: DataFrame | None) -> None:
+    """Delete the files of a frame that ``cut`` returned, once nothing reads it any more; other frames are left alone."""
+    path = getattr(df, "written_at", None)
+    if path:
+        spark = df.sparkSession
+        hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)

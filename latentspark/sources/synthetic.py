@@ -16,8 +16,8 @@ from ..functions.vectors import gaussian, unit_uniform
 
 def low_rank_ratings(spark: SparkSession, n: int, m: int, rank: int, density: float = 1.0,
                      seed: int = 8, stddev: float = 1.0) -> DataFrame:
-    cells = spark.range(n * m).select((F.col("id") / F.lit(m)).cast("int").alias("user"),
-                                      (F.col("id") % F.lit(m)).cast("int").alias("item"))
+    cells = spark.range(n * m).select(F.floor(F.col("id") / F.lit(m)).alias("user"),
+                                      (F.col("id") % F.lit(m)).alias("item"))
     r = None
     for j in range(rank):
         t = gaussian(F.col("user"), j, seed * 7919 + 1, stddev) * gaussian(F.col("item"), j, seed * 7919 + 2, stddev)
@@ -26,12 +26,3 @@ def low_rank_ratings(spark: SparkSession, n: int, m: int, rank: int, density: fl
     if density < 1.0:
         out = out.filter(unit_uniform(F.col("user"), F.col("item"), F.lit(seed)) < F.lit(float(density)))
     return out
-
-
-def true_factors(spark: SparkSession, n: int, m: int, rank: int, seed: int = 8, stddev: float = 1.0):
-    """The generating factors of ``low_rank_ratings`` as (user, item) factor frames."""
-    def side(count, salt):
-        ids = spark.range(count).select(F.col("id").cast("int").alias("id"))
-        return ids.select("id", F.array(*[gaussian(F.col("id"), j, seed * 7919 + salt, stddev)
-                                          for j in range(rank)]).alias("features"))
-    return side(n, 1), side(m, 2)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from latentspark.functions import pixels as px
 from latentspark.operators.diagnostics import latest, numeric_gradient, shrink, verify_gradient, with_reduction
 from latentspark.operators.params import Params, init_params
-from latentspark.plans.descent import Problem, fit_cg, fit_gd_adaptive, fit_gd_fixed, fit_gd_linesearch, line_search
+from latentspark.plans.descent import Problem, fit_cg, fit_gd_adaptive, fit_gd_fixed, exact_step, fit_gd_linesearch, stationary_steps, wolfe_step
 from latentspark.sources.synthetic import low_rank_ratings
 
 from conftest import to_dict
@@ -53,7 +53,7 @@ def test_trainers_reduce_loss_monotonically(small_problem, trainer):
     if trainer == "adaptive":
         fit = fit_gd_adaptive(prob, x0, 5.0, 1e-4, max_iter=6)
     elif trainer == "linesearch":
-        fit = fit_gd_linesearch(prob, x0, 0.001, 1e-4, max_iter=6)
+        fit = fit_gd_linesearch(prob, x0, 1e-4, max_iter=6)
     else:
         fit = fit_cg(prob, x0, length=10)
     losses = [r["loss"] for r in fit.trace.rows]
@@ -63,10 +63,38 @@ def test_trainers_reduce_loss_monotonically(small_problem, trainer):
     assert abs(end - losses[-1]) < 1e-9 * max(1.0, end)     # trace records the point returned
 
 
-def test_line_search_on_a_parabola():
-    c = (4.0, -4.0, 1.0, 0.0, 0.0)            # (a − 2)²: minimum at a = 2
-    a, y = line_search(c, 0.001)
-    assert abs(a - 2.0) < 0.05 and y < 0.01
+def test_exact_steps():
+    assert exact_step((4.0, -4.0, 1.0, 0.0, 0.0)) == (2.0, 0.0)          # (a − 2)²
+    # (a − 1)²(a − 4)² + a/10: two minima, the far one lower only without the slope term
+    c = np.poly1d([1, -1]) ** 2 * np.poly1d([1, -4]) ** 2 + np.poly1d([0.1, 0])
+    c = tuple(float(v) for v in c.coeffs[::-1])
+    a, y = exact_step(c)
+    assert abs(a - 1) < 0.02 and y < 0.11 and len(stationary_steps(c)) == 3
+    assert wolfe_step(c) == a                                            # and it is the first one along the line
+    assert exact_step((1.0, 2.0, 1.0, 0.0, 0.0)) == (0.0, 1.0)           # ascending: no step
+    for flat in ((1.0, 0.0, 0.0, 0.0, 0.0), (1.0, float("nan"), 1.0, 0.0, 0.0)):
+        assert stationary_steps(flat) == [] and wolfe_step(flat) is None
+
+
+@pytest.mark.parametrize("start", ["optimum", "zero"])
+def test_trainers_stop_at_stationary_points(spark, exact, start):
+    r, uf, vf = exact
+    if start == "zero":
+        uf, vf = (f.select("id", F.transform("features", lambda x: x * 0).alias("features")) for f in (uf, vf))
+    for trainer in (fit_cg, fit_gd_linesearch):
+        fit = trainer(Problem(r, 2, 0.0, 12.0), Params(uf, vf))
+        assert fit.converged and len(fit.trace.rows) <= 1
+        assert to_dict(fit.params.uf) == to_dict(uf)
+
+
+def test_trainers_run_to_their_own_stop_test(small_problem):
+    prob, x0 = small_problem
+    for fit in (fit_cg(prob, x0, eps=1e-3), fit_gd_linesearch(prob, x0, 1e-2), fit_gd_adaptive(prob, x0, 5.0, 1e-2)):
+        assert fit.converged
+        losses = [r["loss"] for r in fit.trace.rows]
+        assert all(b <= a + 1e-12 for a, b in zip(losses, losses[1:]))
+    assert not fit_cg(prob, x0, length=2).converged
+    assert not fit_gd_fixed(prob, x0, 1e9, 1e-6).converged  # diverges, and says so
 
 
 def test_numeric_gradient_detects_wrong_gradient(spark):
@@ -124,21 +152,89 @@ def test_model_store_round_trip_and_dispatch(spark, tmpdir_fresh):
         fit(r, trainer=7)
 
 
-def test_request_stream_answers_like_batch(spark, tmpdir_fresh):
+def test_request_stream_answers_like_batch_and_reloads(spark, tmpdir_fresh):
     from latentspark.operators.recommend import recommend
-    from latentspark.streaming.requests import recommend_stream
+    from latentspark.plans.model import FactorModel, save_model
+    from latentspark.streaming.requests import CurrentModel, recommend_stream, seen_by
     rng = np.random.default_rng(2)
     uf = spark.createDataFrame([(u, rng.normal(size=2).tolist()) for u in range(6)], "id int, features array<double>")
     vf = spark.createDataFrame([(i, rng.normal(size=2).tolist()) for i in range(9)], "id int, features array<double>")
     r = spark.createDataFrame([(0, 1, 1.0), (2, 3, 1.0)], "user int, item int, rating double")
-    inp = os.path.join(tmpdir_fresh, "in")
+    meta = {"rank": 2, "n_users": 6, "n_items": 9, "trainer": 3, "lam": 0.01, "eps": 0.001, "seed": 8}
+    inp, out, ck, store = (os.path.join(tmpdir_fresh, d) for d in ("in", "out", "ck", "model"))
     os.makedirs(inp)
-    with open(os.path.join(inp, "a.txt"), "w") as f:
-        f.write("1, 2\n 0\n")
-    q = recommend_stream(spark, inp, uf, vf, r, os.path.join(tmpdir_fresh, "out"), os.path.join(tmpdir_fresh, "ck"),
-                         k=3, rank=2)
-    q.awaitTermination()
-    got = sorted((x["user"], x["position"], x["item"]) for x in spark.read.parquet(os.path.join(tmpdir_fresh, "out")).collect())
+    model = save_model(FactorModel(uf, vf, r.select("user", "item"), None, meta), store)
     req = spark.createDataFrame([(0, 1), (1, 2), (2, 0)], "req_pos int, user int")
-    want = sorted((x["user"], x["position"], x["item"]) for x in recommend(uf, vf, r, req, k=3, rank=2).collect())
-    assert got == want
+
+    def answer_file(name, items):
+        with open(os.path.join(inp, name), "w") as f:
+            f.write("1, 2\n 0\n")
+        recommend_stream(spark, inp, store, out, ck, k=3).awaitTermination()
+        got = sorted((x["user"], x["position"], x["item"]) for x in spark.read.parquet(out).filter(F.col("file").endswith(name)).collect())
+        want = sorted((x["user"], x["position"], x["item"]) for x in recommend(uf, items, r, req, k=3).collect())
+        assert got == want
+    answer_file("a.txt", vf)
+    plan = seen_by(model.seen, req)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(user" in plan
+    current = CurrentModel(spark, store)
+    before = current.get()[0]
+    assert current.get()[0] is before                       # same version: nothing is read again
+    other = vf.select("id", F.transform("features", lambda x: -x).alias("features"))
+    save_model(FactorModel(uf, other, r.select("user", "item"), None, meta), store)
+    assert current.get()[0] is not before
+    answer_file("b.txt", other)
+
+
+def test_files_to_answers(spark, tmpdir_fresh):
+    from latentspark.plans.model import answer_requests, recommender_from_files
+    def write(name, text):
+        path = os.path.join(tmpdir_fresh, name)
+        with open(path, "w", encoding="ISO-8859-1") as f:
+            f.write(text)
+        return path
+    ratings = write("u.data", "1 1 5\n2 1 4\n1 2 1\n2 2 2\n1\t3\t\n1 1 1\n2 3 4 99\n")
+    titles = write("u.item", "1|Café\n2|Two \"x\"|more\n3|Three\n4\n")
+    model = recommender_from_files(spark, ratings, titles, os.path.join(tmpdir_fresh, "m"), trainer=3, rank=1, lam=0.1)
+    assert model.meta["converged"] is True and (model.meta["n_users"], model.meta["n_items"]) == (2, 3)
+    u, v = to_dict(model.user_factors), to_dict(model.item_factors)
+    assert abs(u[0][0] * v[0][0] - 1) < abs(u[0][0] * v[0][0] - 5)     # the last line of (1, 1) counts
+    lines = spark.createDataFrame([(" 0, 1",), ("7",), ("",)], "value string")
+    told = answer_requests(model, lines, k=5).orderBy("line_id", "pos", "user", "line_no").collect()
+    assert [x["line"] for x in told][:1] == ["Recommendation for user 0:"]
+    assert [x["user"] for x in told] == [0, 0, 0, 1, 1]                # user 1 has rated all: header and blank line
+    assert "Movie: Three" in told[1]["line"]
+    again = recommender_from_files(spark, ratings, titles, os.path.join(tmpdir_fresh, "m"), trainer=1)
+    assert again.meta["version"] == model.meta["version"]              # reused
+
+
+def test_wide_ids(spark):
+    from latentspark.operators.recommend import recommend
+    from latentspark.operators.regression import als_half_step
+    from latentspark.sources.text import parse_requests
+    big = 1 << 40
+    uf = spark.createDataFrame([(big + u, [1.0 + u, 2.0]) for u in range(3)], "id long, features array<double>")
+    r = spark.createDataFrame([(big + u, big + i, float(u + i)) for u in range(3) for i in range(4) if u != i], "user long, item long, rating double")
+    vf = als_half_step(r, uf, "user", "item", 2, 0.1)
+    assert set(to_dict(vf)) == {big + i for i in range(4)}
+    req = parse_requests(spark.createDataFrame([(f"{big}, 99999999999999999999 x {big + 1}",)], "value string"))
+    recs = recommend(uf, vf, r, req, k=1, req_cols=("line_id", "pos")).collect()
+    assert {(x["user"], x["item"]) for x in recs} == {(big, big), (big + 1, big + 1)}
+
+
+def test_session_keeps_master_and_partitions(tmpdir_fresh):
+    import subprocess
+    import sys
+    import textwrap
+    script = os.path.join(tmpdir_fresh, "s.py")
+    with open(script, "w") as f:
+        f.write(textwrap.dedent("""
+            from latentspark.session import build_session
+            s = build_session()
+            print("FOUND", s.sparkContext.master, s.conf.get("spark.sql.shuffle.partitions"))
+            s.stop()
+        """))
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "PYTHONPATH": root, "PYSPARK_SUBMIT_ARGS":
+           "--master local[3] --conf spark.sql.shuffle.partitions=400 --conf spark.ui.enabled=false pyspark-shell"}
+    out = subprocess.run([sys.executable, script], env=env, capture_output=True, text=True, timeout=120).stdout
+    assert "FOUND local[3] 400" in out

@@ -18,7 +18,7 @@ def test_rating_lines_quirks(spark, tmpdir_fresh):
               "3\t4\n"                      # two fields: dropped
               "5\t6\t\n"                    # trailing tab after two fields: dropped (Q12)
               "7 8 3\n")                    # single spaces
-    got = sorted(tuple(r) for r in read_ratings(spark, p).collect())
+    got = sorted((r["user"], r["item"], r["rating"]) for r in read_ratings(spark, p).orderBy("ord").collect())
     assert got == [(0, 1, 5.0), (6, 7, 3.0)]
 
 
