@@ -28,6 +28,31 @@ def fresh_name(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Arrow batches hold at most this many bytes unless the session sets another bound than Spark's 64 MB: whole texts
+#: can be long, and a task holds a batch several times over (JVM buffers, Arrow, Python).
+BATCH_BYTES = 4 << 20
+BATCH_KEY, SPARK_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864"
+
+
+def by_batch(df: DataFrame, fn, schema) -> DataFrame:
+    """``mapInArrow`` with batches bounded by bytes (a session setting, left alone where the user has chosen one)."""
+    conf = df.sparkSession.conf
+    if str(conf.get(BATCH_KEY, SPARK_DEFAULT)).rstrip("b") == SPARK_DEFAULT:
+        conf.set(BATCH_KEY, str(BATCH_BYTES))
+    return df.mapInArrow(fn, schema)
+
+
+def hash_sample(df: DataFrame, key: str, limit: int, seed: int = 0) -> DataFrame:
+    """At most ``limit`` rows of ``df``, those with the smallest hash of ``key`` (column ``deal``); narrow rows only.
+
+    A first cut by the expected share keeps what meets in the last task near ``limit`` whatever the input.
+    """
+    share = min(1.0, (1.2 * limit + 1000) / max(df.count(), 1))
+    deal = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 40))
+    found = df.withColumn("deal", deal).filter(F.col("deal") < F.lit(int(share * (1 << 40))))
+    return found.orderBy("deal", *[c for c in df.columns]).limit(limit)
+
+
 def text_bytes(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 

@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from latentspark.llm.common import batched, mix64
+from latentspark.llm.common import batched, hash_sample
 from latentspark.session import cut
 
 
@@ -165,8 +165,9 @@ def nearest(rows: DataFrame, every: int = 50, k: int = 5, *, n_trees: int = 12,
     # equal query vectors are searched once, under the smallest of their ids
     asked = x.filter(F.pmod("vec_id", F.lit(every)) == 0).distinct()
     keys = cut(asked.groupBy("v").agg(F.min("vec_id").alias("qkey")))
-    sample = (filed.withColumn("deal", F.xxhash64("vec_id", F.lit(seed))).orderBy("deal", "vec_id").limit(sample_rows)
-              .select("v").toPandas()["v"])
+    picked = hash_sample(filed.select("vec_id"), "vec_id", sample_rows, seed)
+    sample = (filed.join(F.broadcast(picked), "vec_id").select("deal", "vec_id", "v").toPandas()
+              .sort_values(["deal", "vec_id"], kind="stable")["v"])
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     points = _unit(np.stack(sample.to_numpy()))

@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from latentspark.llm.common import fresh_name, hash_words, word_list
+from latentspark.llm.common import by_batch, fresh_name, hash_sample, hash_words, word_list
 from latentspark.session import cut
 
 GRID = 1000
@@ -70,10 +70,9 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 def fit_domains(docs: DataFrame, labels: DataFrame, *, max_fit_rows: int = 10_000, max_words: int = 256,
                 min_docs: int = 5, ridge: float = 1e-4, steps: int = 300) -> Domains:
     """The domain classifier.  Sample: the labelled ids with the smallest hash, at most ``max_fit_rows``, broadcast."""
-    picked = (labels.select(F.col("doc_id").cast("long").alias("label_id"),
-                            domain_of(F.col("quality"), F.col("toxic")).alias("domain"))
-              .filter("label_id IS NOT NULL AND domain IS NOT NULL")
-              .withColumn("deal", F.xxhash64("label_id")).orderBy("deal", "label_id", "domain").limit(max_fit_rows))
+    picked = hash_sample(labels.select(F.col("doc_id").cast("long").alias("label_id"),
+                                       domain_of(F.col("quality"), F.col("toxic")).alias("domain"))
+                         .filter("label_id IS NOT NULL AND domain IS NOT NULL"), "label_id", max_fit_rows).drop("deal")
     pairs = docs.select(F.col("doc_id").cast("long").alias("label_id"), "text").join(F.broadcast(picked), "label_id")
 
     def run(batches):
@@ -82,7 +81,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, *, max_fit_rows: int = 10_00
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(sets, type=pa.list_(pa.int64()))],
                                              names=["label_id", "domain", "words"])
 
-    sample = cut(pairs.select("label_id", "text", "domain").mapInArrow(run, "label_id long, domain int, words array<long>"))
+    sample = cut(by_batch(pairs.select("label_id", "text", "domain"), run, "label_id long, domain int, words array<long>"))
     sizes = {r["domain"]: r["n"] for r in sample.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     present = sorted(sizes)
     if not present:
@@ -157,7 +156,7 @@ def memberships(docs: DataFrame, model: Domains, domains: tuple[str, ...] = DOMA
             rows = [{"n_tokens": n, "q": r} for (n, _), r in zip(counted, q.tolist())]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, type=kind)], names=[*b.schema.names, into])
 
-    return docs.mapInArrow(run, out)
+    return by_batch(docs, run, out)
 
 
 def points_of(p: np.ndarray, history: list[list[float]]) -> tuple[np.ndarray, np.ndarray]:

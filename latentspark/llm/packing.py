@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from latentspark.llm.common import batched, rows_of
+from latentspark.llm.common import batched, by_batch, rows_of
 
 LENGTH = 1024
 END_ID = 2
@@ -46,17 +46,20 @@ def encoder(name: str = TOKENIZER):
 
         import public_tokenizers as files
         import tiktoken
-        from tokenizers import Tokenizer
         with open(files.path(f"{name}.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         fast = tiktoken.Encoding(name, pat_str=files.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
-        slow = Tokenizer.from_file(files.path(f"{name}.json"))
+        del ranks
         other = re.compile("[^\u0000-ɏ]")
+        slow: list = []
 
         def encode(text: str) -> list[int]:
-            if other.search(text):
-                return slow.encode(text, add_special_tokens=False).ids
-            return fast.encode(text, allowed_special="all")
+            if not other.search(text):
+                return fast.encode(text, allowed_special="all")
+            if not slow:  # most workers never need it
+                from tokenizers import Tokenizer
+                slow.append(Tokenizer.from_file(files.path(f"{name}.json")))
+            return slow[0].encode(text, add_special_tokens=False).ids
         _encoders[name] = encode
     return _encoders[name]
 
@@ -86,7 +89,7 @@ def pieces(docs: DataFrame, *, length: int = LENGTH, end_id: int = END_ID, token
         yield from batched(out(), schema, 1024 if with_ids else 8192)
 
     ddl = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ddl)
+    return by_batch(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, ddl)
 
 
 class OpenSequences:

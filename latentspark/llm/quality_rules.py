@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from latentspark.llm.common import fresh_name, hash_words, text_bytes, window_hash
+from latentspark.llm.common import by_batch, fresh_name, hash_sample, hash_words, text_bytes, window_hash
 
 # Fixed values of the base rule.
 SYMBOLS = b"#*$%&|<>"
@@ -85,7 +85,7 @@ def text_statistics(docs: DataFrame, text: str = "text", into: str = "quality_st
             names = [*batch.schema.names, into]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, type=kind)], names=names)
 
-    return docs.mapInArrow(run, out)
+    return by_batch(docs, run, out)
 
 
 def base_failed(s: str) -> Column:
@@ -151,7 +151,7 @@ def cover(x: np.ndarray, bad: np.ndarray, names: list[str], *, max_rules: int =
           min_precision: float = 0.95, min_cover: int = 3, n_cuts: int = 64) -> list[Rule]:
     """Sequential covering of the bad rows: grow on two of three rows, prune on the third, drop what is covered.
 
-    Rows are dealt to the two parts by position, so callers fix their order.
+    Rows of each class are dealt to the two parts by position, so callers fix their order.
     Covering ends when a pruned rule is less precise than ``min_precision`` on
     the pruning rows, or covers fewer than ``min_cover`` bad ones of all.
     """
@@ -159,7 +159,7 @@ def cover(x: np.ndarray, bad: np.ndarray, names: list[str], *, max_rules: int =
     for f in range(len(names)):
         edges = np.unique(np.quantile(x[:, f], np.linspace(0, 1, n_cuts + 1))) if len(x) else np.zeros(0)
         cuts.append((edges[1:] + edges[:-1]) / 2)
-    grow_part = np.arange(len(x)) % 3 != 2
+    grow_part = np.where(bad, np.cumsum(bad), np.cumsum(~bad)) % 3 != 0
     left, rules = np.ones(len(x), dtype=bool), []
     while len(rules) < max_rules and (left & bad).any():
         g, p = left & grow_part, left & ~grow_part
@@ -189,9 +189,8 @@ def learn_rules(docs: DataFrame, labels: DataFrame, *, max_fit_rows: int = 20_00
     taken (top-k, no full sort), broadcast (at most ``max_fit_rows`` of them)
     against the documents, and their counts, a few numbers a row, are fitted on the driver.
     """
-    picked = (labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("quality").cast("int").alias("quality"))
-              .filter("label_id IS NOT NULL AND quality IS NOT NULL")
-              .withColumn("deal", F.xxhash64("label_id")).orderBy("deal", "label_id", "quality").limit(max_fit_rows))
+    picked = hash_sample(labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("quality").cast("int").alias("quality"))
+                         .filter("label_id IS NOT NULL AND quality IS NOT NULL"), "label_id", max_fit_rows)
     pairs = docs.select(F.col("doc_id").alias("label_id"), "text").join(F.broadcast(picked), "label_id")
     stats = text_statistics(pairs, into="s").filter(~base_failed("s"))
     names = sorted(RATIOS)

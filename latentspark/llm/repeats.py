@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from latentspark.llm.common import GOLDEN, batched, mix64, numbered, rows_of, text_bytes
+from latentspark.llm.common import GOLDEN, batched, by_batch, mix64, numbered, rows_of, text_bytes
 from latentspark.llm.suffix import common_prefixes, suffix_array
 from latentspark.session import cut
 
@@ -160,26 +160,39 @@ def _slices(schema: pa.Schema, columns, size: int = 65536):
         yield pa.RecordBatch.from_arrays([pa.array(c[a:a + size]) for c in columns], schema=schema)
 
 
+def gathered(batches, rows: int = 8192, size: int = 16 << 20):
+    """Consecutive Arrow batches joined to about ``rows`` rows or ``size`` bytes, the same way on every reading."""
+    held, n, used = [], 0, 0
+    for b in batches:
+        held.append(b)
+        n, used = n + b.num_rows, used + b.nbytes
+        if n >= rows or used >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n, used = [], 0, 0
+    if n:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def first_segments(docs: DataFrame, length: int, gram: int) -> DataFrame:
     """Segments of every text, without those that repeat an earlier one of their batch."""
     def run(batches):
-        for batch in batches:
+        for batch in gathered(batches):
             cols, again = batch_segments(batch, length, gram)
             if cols is not None:
                 yield from _slices(SEGMENT, [c[~again] for c in cols])
 
-    return docs.mapInArrow(run, "key long, content long, doc_id long, start long, size long")
+    return by_batch(docs, run, "key long, content long, doc_id long, start long, size long")
 
 
 def repeated_in_batch(docs: DataFrame, length: int, gram: int) -> DataFrame:
     """The spans that ``first_segments`` leaves out, joined where they touch."""
     def run(batches):
-        for batch in batches:
+        for batch in gathered(batches):
             cols, again = batch_segments(batch, length, gram)
             if cols is not None:
                 yield from _slices(SPANS, joined_spans(cols[2][again], cols[3][again], cols[3][again] + cols[4][again]))
 
-    return docs.mapInArrow(run, "doc_id long, s long, e long")
+    return by_batch(docs, run, "doc_id long, s long, e long")
 
 
 def joined_spans(doc: np.ndarray, s: np.ndarray, e: np.ndarray):
@@ -284,7 +297,7 @@ def repeated_in_shards(bytes_of: DataFrame, length: int, chunk_bytes: int) -> Da
             yield from flush(held)
 
     dealt = bytes_of.repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(run, "doc_id long, s long, e long")
+    return by_batch(dealt, run, "doc_id long, s long, e long")
 
 
 def cut_out(docs: DataFrame, listed: DataFrame) -> DataFrame:
@@ -303,7 +316,7 @@ def cut_out(docs: DataFrame, listed: DataFrame) -> DataFrame:
         yield from batched(out(), schema, 4096)
 
     beside = docs.join(wanted.hint("merge"), F.col("doc_id") == F.col("d")).select("doc_id", "text", "cuts")
-    return beside.mapInArrow(run, "key long, doc_id long, start long, bytes binary")
+    return by_batch(beside, run, "key long, doc_id long, start long, bytes binary")
 
 
 def repeated_strings(bytes_of: DataFrame, length: int) -> DataFrame:
@@ -360,7 +373,7 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, m
                 yield d, len(b), sum(e - s for s, e in gone), len(gone), digest.hexdigest(), [{"s": s, "e": e} for s, e in gone]
         yield from batched(out(), schema, 1024)
 
-    result = beside.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
+    result = by_batch(beside, run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
                                     "removed array<struct<s:long,e:long>>")
     if own:
         result = result.join(docs.select(F.col("doc_id").alias("d"), own), F.col("doc_id") == F.col("d")).select(

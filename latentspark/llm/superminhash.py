@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from latentspark.llm.common import (GOLDEN, batched, components, fresh_name, hash_words, mix64, rows_of, runs,
+from latentspark.llm.common import (GOLDEN, batched, by_batch, components, fresh_name, hash_words, mix64, rows_of, runs,
                                     window_hash, word_list)
 from latentspark.session import cut
 
@@ -110,8 +110,7 @@ def sign(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, chunk: int = 50_
             yield from finish(held)
         yield from batched(out(), SIGNED, 1024)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(
-        run, "doc_id long, n_shingles long, set_hi long, set_lo long, bands array<long>")
+    return by_batch(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")), run, "doc_id long, n_shingles long, set_hi long, set_lo long, bands array<long>")
 
 
 def linked_within(sets: list[np.ndarray]) -> list[int]:
@@ -188,7 +187,7 @@ def confirm(members: DataFrame, block: int) -> DataFrame:
                             yield row[3], group[first][3]
         yield from batched(out(), pa.schema([("u", pa.int64()), ("v", pa.int64())]))
 
-    return units.mapInArrow(run, "u long, v long")
+    return by_batch(units, run, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, *, bands: int = BANDS, rows: int = ROWS, block: int = 3000) -> DataFrame:

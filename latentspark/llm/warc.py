@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from latentspark.llm.common import batched, rows_of
+from latentspark.llm.common import batched, by_batch, rows_of
 from latentspark.session import cut, scratch_path
 
 # The skippable frame that holds the dictionary, the record heads, the revisit profile.
@@ -157,7 +157,7 @@ def write_archives(pages: DataFrame, folder: str, *, min_bytes: int = 0, archive
                 yield save(held)
         yield from batched(out(), MANIFEST, 1)
 
-    return cut(with_references(pages, min_bytes).mapInArrow(run, "path string, n_records long, n_bytes long"))
+    return cut(by_batch(with_references(pages, min_bytes), run, "path string, n_records long, n_bytes long"))
 
 
 READ = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
