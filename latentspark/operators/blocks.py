@@ -61,11 +61,12 @@ class RatingBlocks:
         for df in self.held:
             df.unpersist()
 
-    def messages(self, layout: str, side: str, vectors: DataFrame) -> DataFrame:
-        """``vectors(id, v)`` of one side, once per block that needs them: ``block, side, id, v``."""
+    def messages(self, layout: str, side: str, vectors: DataFrame, n: int) -> DataFrame:
+        """``vectors(id, v)`` of one side, once per block that needs them: ``block, side, id, v0 …`` (``n`` numbers, as
+        flat columns, which Arrow moves as plain buffers)."""
         at = self.routes[layout, side]
-        return vectors.select(F.col("id").cast("long").alias("id"), "v").join(at, "id").select(
-            "block", F.lit(SIDE[side]).alias("side"), "id", "v")
+        flat = vectors.select(F.col("id").cast("long").alias("id"), *[F.col("v").getItem(j).alias(f"v{j}") for j in range(n)])
+        return flat.join(at, "id").select("block", F.lit(SIDE[side]).alias("side"), "id", *[f"v{j}" for j in range(n)])
 
     def meet(self, layout: str, messages: DataFrame, fn, schema: str) -> DataFrame:
         """``fn(ratings, messages)`` per block; only the messages are shuffled."""
@@ -89,8 +90,8 @@ def _vectors(messages: pd.DataFrame, side: int) -> tuple[np.ndarray, np.ndarray]
     m = messages[messages["side"] == side]
     ids = m["id"].to_numpy()
     order = np.argsort(ids, kind="stable")
-    v = np.stack(m["v"].to_numpy()).astype(float)[order] if len(m) else np.zeros((0, 0))
-    return ids[order], v
+    v = m[[c for c in m.columns if c.startswith("v")]].to_numpy(dtype=float)
+    return ids[order], v[order]
 
 
 def _rows_at(ids: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -142,7 +143,7 @@ def half_step(blocks: RatingBlocks, fixed: DataFrame, out_side: str, k: int, lam
         return pd.DataFrame({"id": own[starts], "features": features, "gram": gram})
 
     schema = "id long, features array<double>, gram array<double>"
-    messages = blocks.messages(out_side, OTHER[out_side], fixed.select("id", F.col("features").alias("v")))
+    messages = blocks.messages(out_side, OTHER[out_side], fixed.select("id", F.col("features").alias("v")), k)
     solved = blocks.meet(out_side, messages, solve, schema)
     if not blocks.split[out_side]:
         return solved.select("id", "features")
@@ -178,9 +179,9 @@ def square(upper: np.ndarray, k: int) -> np.ndarray:
 
 
 # ------------------------------------------------------------------ passes over both sides
-def _both(blocks: RatingBlocks, table: DataFrame) -> DataFrame:
+def _both(blocks: RatingBlocks, table: DataFrame, n: int) -> DataFrame:
     """Messages of ``table(side, id, v)`` for the layout by user."""
-    one = lambda s: blocks.messages("user", s, table.filter(F.col("side") == SIDE[s]))
+    one = lambda s: blocks.messages("user", s, table.filter(F.col("side") == SIDE[s]), n)
     return one("user").unionByName(one("item"))
 
 
@@ -200,10 +201,12 @@ LOSS = -1
 def gradient_pass(blocks: RatingBlocks, x: DataFrame, k: int, lam: float, normalizer: float) -> DataFrame:
     """A5 and A6 in one job over ``x(side, id, features)``: the gradient in the same shape, and a row of side -1 whose
     only feature is the loss at ``x``."""
+    names = [f"g{j}" for j in range(k)]
+
     def sums(rows: pd.DataFrame, messages: pd.DataFrame) -> pd.DataFrame:
         uid, u, iid, v, a, b, rating = _pairs(rows, messages)
         if not len(a):
-            return pd.DataFrame({"side": np.zeros(0, np.int32), "id": np.zeros(0, np.int64), "v": []})
+            return pd.DataFrame({"side": np.zeros(0, np.int32), "id": np.zeros(0, np.int64), **{g: np.zeros(0) for g in names}})
         delta = np.einsum("ij,ij->i", u[a], v[b]) - rating
         du, dv = np.zeros_like(u), np.zeros_like(v)
         for j in range(k):
@@ -211,17 +214,18 @@ def gradient_pass(blocks: RatingBlocks, x: DataFrame, k: int, lam: float, normal
             dv[:, j] = np.bincount(b, weights=delta * u[a, j], minlength=len(v))
         sse = np.zeros((1, k))
         sse[0, 0] = delta @ delta
+        sums = np.concatenate([du, dv, sse])
         return pd.DataFrame({"side": np.concatenate([np.zeros(len(uid)), np.ones(len(iid)), [LOSS]]).astype(np.int32),
-                             "id": np.concatenate([uid, iid, [0]]), "v": list(np.concatenate([du, dv, sse]))})
+                             "id": np.concatenate([uid, iid, [0]]), **{g: sums[:, j] for j, g in enumerate(names)}})
 
     table = x.select("side", "id", F.col("features").alias("v"))
-    parts = blocks.meet("user", _both(blocks, table), sums, "side int, id long, v array<double>")
+    parts = blocks.meet("user", _both(blocks, table, k), sums, "side int, id long, " + ", ".join(f"{g} double" for g in names))
     # the squared norms of x join the loss row
-    norms = x.select(F.lit(LOSS).alias("side"), F.lit(0).cast("long").alias("id"), F.array(
-        F.lit(float(lam)) * sum((F.col("features").getItem(j) * F.col("features").getItem(j) for j in range(1, k)),
-                                F.col("features").getItem(0) * F.col("features").getItem(0)),
-        *[F.lit(0.0)] * (k - 1)).alias("v"))
-    summed = parts.unionByName(norms).groupBy("side", "id").agg(*[F.sum(F.col("v").getItem(j)).alias(f"g{j}") for j in range(k)])
+    square_ = sum((F.col("features").getItem(j) * F.col("features").getItem(j) for j in range(1, k)),
+                  F.col("features").getItem(0) * F.col("features").getItem(0))
+    norms = x.select(F.lit(LOSS).alias("side"), F.lit(0).cast("long").alias("id"), (F.lit(float(lam)) * square_).alias("g0"),
+                     *[F.lit(0.0).alias(g) for g in names[1:]])
+    summed = parts.unionByName(norms).groupBy("side", "id").agg(*[F.sum(g).alias(g) for g in names])
     n = F.lit(float(normalizer))
     g = x.select("side", F.col("id").cast("long").alias("id"), "features").join(summed, ["side", "id"], "full")
     comps = [F.when(F.col("side") == LOSS, F.lit(0.5) * F.col(f"g{j}")).otherwise(
@@ -243,7 +247,7 @@ def poly_pass(blocks: RatingBlocks, x: DataFrame, d: DataFrame, k: int, lam: flo
 
     both = x.select("side", "id", "features").join(d.select("side", "id", F.col("features").alias("d")), ["side", "id"])
     schema = ", ".join(f"{c} double" for c in ("ee", "ep", "pp2eq", "pq", "qq"))
-    rows = blocks.meet("user", _both(blocks, both.select("side", "id", F.concat("features", "d").alias("v"))), sums, schema)
+    rows = blocks.meet("user", _both(blocks, both.select("side", "id", F.concat("features", "d").alias("v")), 2 * k), sums, schema)
     fold = lambda p, q: sum((F.col(p).getItem(j) * F.col(q).getItem(j) for j in range(1, k)),
                             F.col(p).getItem(0) * F.col(q).getItem(0))
     norms = both.select(fold("features", "features").alias("xx"), fold("features", "d").alias("xd"), fold("d", "d").alias("dd"))
