@@ -357,6 +357,20 @@ def q_v6_unflatten(spark, d):
             .unionByName(v2.select(F.lit("item").alias("side"), "id", *_flat2(None))))
 
 
+# ------------------------------------------------------------------ V3/V4 elementwise
+@register("v3_elementwise", with_sql(R_EV_SQL, DET_SQL) + """
+SELECT u.id, round(u.f0 - v.f0, 6) AS d0, round(u.f1 - v.f1, 6) AS d1, round(u.f0 * v.f0, 6) AS p0, round(u.f1 * v.f1, 6) AS p1,
+       round(u.f0 / 4.0e0, 6) AS s0, round(u.f1 / 4.0e0, 6) AS s1
+FROM uf u JOIN vf v ON v.id = u.id""")
+def q_v3_elementwise(spark, d):
+    """Difference, product and quotient by a number of the user and item vectors that share an id."""
+    from .functions.vectors import vec_mul, vec_scale, vec_sub
+    uf, vf = tb.det_model(_r_ev(spark, d))
+    j = uf.select("id", F.col("features").alias("u")).join(vf.select("id", F.col("features").alias("v")), "id").select(
+        "id", vec_sub("u", "v").alias("d"), vec_mul("u", "v").alias("p"), vec_scale("u", 0.25).alias("s"))
+    return j.select("id", *[c for name in "dps" for c in _flat2(None, name, name)])
+
+
 # ------------------------------------------------------------------ A8/A9/A10 sums
 @register("a8_sq_diff", with_sql(R_ORD_SQL, DET_SQL) + HALF_ITEM_SQL + """,
 h AS (SELECT id, (c*y0 - b*y1) / (a*c - b*b) AS f0, (a*y1 - b*y0) / (a*c - b*b) AS f1 FROM g)
