@@ -376,6 +376,22 @@ def test_scores_and_baseline(spark):
     assert sum(r["score"] for r in unseen) > sum(r["base_score"] for r in unseen)
 
 
+def test_training_reads_every_document_not_held_out_once(spark, monkeypatch, tmp_path):
+    one_pass = lm.train_on
+
+    def noted(flat, sequences, **options):
+        def read():
+            for d, seq in sequences:
+                (tmp_path / f"{d}-{random.getrandbits(64)}").touch()
+                yield d, seq
+        return one_pass(flat, read(), **options)
+    monkeypatch.setattr(lm, "train_on", noted)
+    docs = spark.createDataFrame([(d, "one two three") for d in range(300)], "doc_id long, text string")
+    assert lm.score_documents(docs).count() == 300
+    read = Counter(int(f.name.split("-")[0]) for f in tmp_path.iterdir())
+    assert read == {d: 1 for d in range(300) if zlib.crc32(str(d).encode()) % 7 != 2}
+
+
 def test_word_shares_sum_to_one(spark):
     train = spark.createDataFrame([(i, t) for i, t in enumerate(["a b c a", "a é%% longer_than_ten", "b b q"])], "doc_id long, text string")
     counts = lm.word_counts(train, {}, np.zeros((1, 0), np.float32))
