@@ -136,9 +136,11 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _first_k(query, ids, scores, k):
-    """Of arrays sorted by query, falling score and id: the first ``k`` per query, equal (query, id, score) once."""
-    same = np.concatenate([[False], (query[1:] == query[:-1]) & (ids[1:] == ids[:-1]) & (scores[1:] == scores[:-1])])
-    query, ids, scores = query[~same], ids[~same], scores[~same]
+    """Of arrays sorted by query, falling score and id: the first ``k`` ids per query, each at its first place."""
+    by = np.lexsort((ids, query))  # stable: the best score of an id comes first
+    first = np.ones(len(query), dtype=bool)
+    first[by[1:]] = (query[by[1:]] != query[by[:-1]]) | (ids[by[1:]] != ids[by[:-1]])
+    query, ids, scores = query[first], ids[first], scores[first]
     start = np.concatenate([[0], np.flatnonzero(query[1:] != query[:-1]) + 1]) if len(query) else np.zeros(0, np.int64)
     place = np.arange(len(query)) - np.repeat(start, np.diff(np.concatenate([start, [len(query)]])))
     keep = place < k
@@ -158,16 +160,16 @@ def nearest(rows: DataFrame, every: int = 50, k: int = 5, *, n_trees: int = 12,
             sample_rows: int = 8192, share: float = 1.5, leaf_rows: int = 4096, seed: int = 11) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found for each row whose id is divisible by ``every``."""
     spark = rows.sparkSession
-    x = valid(rows)
+    x = valid(rows).distinct()
     # equal vectors: the k + 1 smallest ids can be answers, the others never
     copy = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
     filed = cut(x.withColumn("copy", copy).filter(F.col("copy") <= k + 1).select("vec_id", "v"))
     # equal query vectors are searched once, under the smallest of their ids
-    asked = x.filter(F.pmod("vec_id", F.lit(every)) == 0).distinct()
+    asked = x.filter(F.pmod("vec_id", F.lit(every)) == 0)
     keys = cut(asked.groupBy("v").agg(F.min("vec_id").alias("qkey")))
-    picked = hash_sample(filed.select("vec_id"), "vec_id", sample_rows, seed)
-    sample = (filed.join(F.broadcast(picked), "vec_id").select("deal", "vec_id", "v").toPandas()
-              .sort_values(["deal", "vec_id"], kind="stable")["v"])
+    picked = hash_sample(filed.select("vec_id"), "vec_id", sample_rows, seed).distinct()
+    sample = (filed.join(F.broadcast(picked), "vec_id").select("deal", "vec_id", "v").orderBy("deal", "vec_id", "v")
+              .limit(sample_rows).toPandas()["v"])
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     points = _unit(np.stack(sample.to_numpy()))
@@ -228,17 +230,24 @@ def nearest(rows: DataFrame, every: int = 50, k: int = 5, *, n_trees: int = 12,
                     continue
                 if not held:
                     continue
-                if len(held) > 1:
-                    held = [(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))]
-                c_ids, c = held[0]
+                if len(held[0]) == 2:
+                    c_ids, c = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
+                    by = np.argsort(c_ids, kind="stable")
+                    c_ids, c = c_ids[by], c[by]
+                    held = [(c_ids, c, np.flatnonzero(np.concatenate([[True], c_ids[1:] != c_ids[:-1]])))]
+                c_ids, c, starts = held[0]
                 for a in range(lo, hi, 512):
                     q = v[a:min(a + 512, hi)]
                     s = _unit(q) @ _unit(c).T
-                    m = min(k + 1, s.shape[1])
+                    # places are for ids: several rows of one count as its nearest
+                    top = s if len(starts) == len(c_ids) else np.maximum.reduceat(s, starts, axis=1)
+                    m = min(k + 1, top.shape[1])
                     # ties at the cut are settled by id, so all as near as the last one stay; those that
                     # stay are scored by one formula whatever block they lie in
-                    floor = np.partition(s, s.shape[1] - m, axis=1)[:, s.shape[1] - m] - 1e-9
-                    r, j = np.nonzero(s >= floor[:, None])
+                    floor = np.partition(top, top.shape[1] - m, axis=1)[:, top.shape[1] - m, None] - 1e-9
+                    if top is not s:
+                        floor = np.maximum(floor, np.repeat(top, np.diff([*starts, len(c_ids)]), axis=1) - 1e-9)
+                    r, j = np.nonzero(s >= floor)
                     best.append((ids[a:a + len(q)][r], c_ids[j], cosine(q[r], c[j])))
                     size += len(r)
                 if size > 400_000:
@@ -254,6 +263,8 @@ def nearest(rows: DataFrame, every: int = 50, k: int = 5, *, n_trees: int = 12,
     w = Window.partitionBy("qkey").orderBy(F.desc("score"), "vec_id")
     near = hits.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k + 1)
     own = asked.join(keys.withColumnRenamed("v", "w"), F.col("v") == F.col("w")).select(F.col("vec_id").alias("query_id"), "qkey").distinct()
-    out = own.join(near, "qkey").filter("vec_id <> query_id")
+    # a query with several vectors has each neighbour once, at its best score
+    out = (own.join(near, "qkey").filter("vec_id <> query_id").groupBy("query_id", "vec_id")
+           .agg(F.max("score").alias("score")))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return out.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -315,6 +315,20 @@ def test_ties_copies_and_unusable_vectors(spark):
     assert forest.nearest(df.limit(0)).count() == 0 and forest.nearest(df.filter("vec_id = 0")).count() == 0
 
 
+def test_repeated_rows_of_one_id_take_one_place(spark):
+    rows = [(50, [1.0, 2.0, 3.0])] * 9 + [(i, [1.0, 2.0, 3.0]) for i in range(51, 57)]         # one row many times
+    rows += [(7, [9.0, 0.001 * i, 0.0]) for i in range(20)] + [(100, [9.0, 0.0, 0.0])]         # one id, many near vectors
+    rows += [(100, [0.0, 0.0, -5.0])]                                                          # a query with two vectors
+    rows += [(i, [9.0, 0.1 * i, 0.0]) for i in range(1, 7)] + [(i, [0.0, 0.1 * i, -5.0]) for i in range(201, 204)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for leaf_rows in (4096, 3):
+        got = defaultdict(list)
+        for r in forest.nearest(df, leaf_size=1000, leaf_rows=leaf_rows).orderBy("query_id", "rank").collect():
+            got[r["query_id"]].append((r["vec_id"], round(r["score"], 6)))
+        assert got[50] == [(i, 1.0) for i in range(51, 56)]
+        assert [i for i, _ in got[100]] == [7, 1, 2, 3, 4]
+
+
 # ------------------------------------------------------------------ language model
 
 def test_gradient_against_differences():
