@@ -218,8 +218,14 @@ def near_duplicates(docs: DataFrame, *, bands: int = BANDS, rows: int = ROWS, bl
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is the smallest of its group, columns unchanged; repeated rows of it stay."""
-    verdict = near_duplicates(docs, **options).filter("kept")
+    """Rows of ``docs`` whose doc_id is the smallest of its group, columns unchanged; repeated rows of it stay.
+
+    A row with a null doc_id is a document of its own here, behind all that have one.
+    """
     key = fresh_name(docs, "kept_id")
-    return docs.join(verdict.select(F.col("doc_id").alias(key)).distinct(),
-                     F.col("doc_id").cast("long") == F.col(key), "left_semi")
+    given = docs.withColumn(key, F.col("doc_id").cast("long"))
+    if given.filter(F.col(key).isNull()).limit(1).count():
+        last = given.agg(F.max(key)).first()[0] or 0
+        given = cut(given.withColumn(key, F.coalesce(F.col(key), F.lit(last + 1) + F.monotonically_increasing_id())))
+    verdict = near_duplicates(given.select(F.col(key).alias("doc_id"), "text"), **options).filter("kept")
+    return given.join(verdict.select(F.col("doc_id").alias(key)).distinct(), key, "left_semi").drop(key)

@@ -90,6 +90,14 @@ def test_repeated_and_null_ids(spark):
     assert s.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_unique_documents_without_id_stay(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(None, b, "x"), (None, c, "x"), (None, c, "x"), (7, a, "x"), (None, a, "x"), (None, None, "x")]
+    out = s.keep_one(spark.createDataFrame(rows, "doc_id long, text string, kept_id string"))
+    assert out.columns == ["doc_id", "text", "kept_id"]
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in out.collect()))) == sorted(map(str, [(7, a), (None, b), (None, c), (None, None)]))
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(0)
     pool = rng.integers(0, 1 << 63, 4000, dtype=np.uint64)
