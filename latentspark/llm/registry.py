@@ -75,10 +75,59 @@ def op5_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_hyperplane_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive of ``embeddings``; ids divisible by 7 carry the next label."""
+    from latentspark.llm.hard_negatives import mine
+    label = F.col("label").cast("long")
+    label = F.when(F.col("vec_id").cast("long") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return mine(table(spark, sf_dir, "embeddings"), label)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every whole document, of which one in ten is made periodic first."""
+    from latentspark.llm import periodic_runs as p
+    docs = table(spark, sf_dir, "documents").select("doc_id", p.planted_text(F.col("doc_id"), F.col("text")).alias("text"))
+    return p.run_digests(p.find_runs(docs, into="periodic"), "periodic")
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole document, learned from those that are not held out."""
+    from latentspark.llm import language as g
+    docs = table(spark, sf_dir, "documents")
+    model = g.fit_languages(docs.filter(g.learnable(F.col("doc_id"))))
+    found = g.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", g.held_out(F.col("doc_id")).alias("held_out"), F.col("language.lang").alias("lang_pred"), "language.score")
+
+
 QUERIES = {"op1_soft_mixing": op1_soft_mixing, "op2_suffix_repeats": op2_suffix_repeats,
            "op3_gated_lm": op3_gated_lm,
            "op4_best_fit_packing": op4_best_fit_packing,
            "op5_projection_forest": op5_projection_forest, "op6_chat_events": op6_chat_events,
            "op7_quality_rules": op7_quality_rules, "op8_personal_data": op8_personal_data,
-           "op9_warc_dictionary": op9_warc_dictionary, "op10_superminhash": op10_superminhash}
-ORACLE_SQL: dict[str, str] = {}
+           "op9_warc_dictionary": op9_warc_dictionary, "op10_superminhash": op10_superminhash,
+           "op11_hyperplane_negatives": op11_hyperplane_negatives, "op12_periodic_runs": op12_periodic_runs,
+           "op13_language": op13_language}
+
+ORACLE_SQL: dict[str, str] = {
+    "op11_hyperplane_negatives": """
+        WITH parts AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v, len(embedding) AS d
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        size AS (SELECT d FROM parts GROUP BY d ORDER BY count(*) DESC, d LIMIT 1),
+        x AS (SELECT vec_id, label, v FROM parts WHERE d = (SELECT d FROM size)),
+        pairs AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+                   list_inner_product(a.v, b.v)::BIGINT AS score
+            FROM x a JOIN x b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        positives AS (
+            SELECT * FROM pairs WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+        SELECT p.anchor_id, p.other_id AS positive_id,
+               row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id)::INTEGER AS rank,
+               n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+        FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same
+             AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+        QUALIFY rank <= 5"""}
