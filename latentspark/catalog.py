@@ -744,6 +744,7 @@ UNION ALL SELECT 'title', p_partkey, 0, 0.0e0, 0.0e0, p_name FROM part
 UNION ALL SELECT 'meta', MAX("user") + 1, MAX(item) + 1, 2.0e0, 0.01e0, '' FROM r""")
 def q_s4_save_load(spark, d):
     """Every table of a stored model (gzip Parquet under the checkpoint folder), read back."""
+    from .operators.seen_sets import seen_items
     back, _, _ = _stored(spark, d)
     zero, none = F.lit(0.0), F.lit("")
 
@@ -754,7 +755,7 @@ def q_s4_save_load(spark, d):
     meta = spark.createDataFrame([(back.meta["n_users"], back.meta["n_items"], float(back.rank), back.meta["lam"])],
                                  "n long, m long, k double, lam double")
     return (part(back.user_factors, "user", "id", f0=f[0], f1=f[1]).unionByName(part(back.item_factors, "item", "id", f0=f[0], f1=f[1]))
-            .unionByName(part(back.seen, "seen", "user", other=F.col("item"))).unionByName(part(back.items, "title", "item", text=F.col("name")))
+            .unionByName(part(seen_items(back.seen), "seen", "user", other=F.col("item"))).unionByName(part(back.items, "title", "item", text=F.col("name")))
             .unionByName(part(meta, "meta", "n", other=F.col("m"), f0=F.col("k"), f1=F.col("lam"))))
 
 

@@ -135,15 +135,20 @@ def test_pixel_hand_cases(spark):
 
 
 def test_model_store_round_trip_and_dispatch(spark, tmpdir_fresh):
-    from latentspark.plans.model import FactorModel, fit, fit_or_load, load_model, model_exists, save_model
+    from latentspark.operators.seen_sets import seen_items
+    from latentspark.plans.model import FactorModel, fit, fit_or_load, load_model, model_version, save_model
     uf = spark.createDataFrame([(0, [1.0, 2.0])], "id int, features array<double>")
     vf = spark.createDataFrame([(0, [3.0, 4.0]), (1, [5.0, 6.0])], "id int, features array<double>")
     seen = spark.createDataFrame([(0, 1)], "user int, item int")
     m = FactorModel(uf, vf, seen, None, {"rank": 2, "n_users": 1, "n_items": 2, "trainer": 3, "lam": 0.01,
                                          "eps": 0.001, "seed": 8})
     path = os.path.join(tmpdir_fresh, "model")
+    assert model_version(spark, path) is None
+    with pytest.raises(FileNotFoundError):
+        load_model(spark, path)
     back = save_model(m, path)
-    assert model_exists(spark, path + "/meta")
+    assert model_version(spark, path) == back.meta["version"]
+    assert [tuple(r) for r in seen_items(back.seen).collect()] == [(0, 1)]
     assert to_dict(back.item_factors) == {0: [3.0, 4.0], 1: [5.0, 6.0]}
     assert load_model(spark, path).meta["rank"] == 2 and back.items is None
     r = spark.createDataFrame([(0, 0, 1.0)], "user int, item int, rating double")
@@ -152,6 +157,53 @@ def test_model_store_round_trip_and_dispatch(spark, tmpdir_fresh):
         fit(r, trainer=7)
 
 
+def _tiny(spark, c, seen=None):
+    from latentspark.plans.model import FactorModel
+    uf = spark.createDataFrame([(0, [c, 0.0]), (1, [0.0, c])], "id long, features array<double>")
+    vf = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(4)], "id long, features array<double>")
+    seen = seen if seen is not None else spark.createDataFrame([(0, 3)], "user long, item long")
+    return FactorModel(uf, vf, seen, None, {"rank": 2, "n_users": 2, "n_items": 4, "trainer": 3, "lam": 0.01, "eps": 0.001, "seed": 8})
+
+
+def test_a_save_that_fails_half_way_leaves_the_model_before_it(spark, tmpdir_fresh):
+    from latentspark.operators.seen_sets import seen_items
+    from latentspark.plans.model import fit_or_load, load_model, model_versions, save_model
+    path = os.path.join(tmpdir_fresh, "model")
+    first = save_model(_tiny(spark, 1.0), path)
+    broken = spark.range(3).select(F.col("id").alias("user"), F.when(F.col("id") > 0, F.raise_error(F.lit("torn")).cast("long")).otherwise(1).alias("item"))
+    with pytest.raises(Exception, match="torn"):
+        save_model(_tiny(spark, 2.0, broken), path)
+    assert os.path.exists(os.path.join(path, "versions")) and len(os.listdir(os.path.join(path, "versions"))) == 2
+    back = load_model(spark, path)
+    assert back.meta["version"] == first.meta["version"] and to_dict(back.user_factors)[0] == [1.0, 0.0]
+    assert [tuple(r) for r in seen_items(back.seen).collect()] == [(0, 3)]
+    r = spark.createDataFrame([(0, 0, 1.0)], "user int, item int, rating double")
+    assert fit_or_load(r, path).meta["version"] == first.meta["version"]
+    assert len(model_versions(spark, path)) == 1
+
+
+def test_a_save_during_a_batch_leaves_it_on_one_version(spark, tmpdir_fresh):
+    from latentspark.operators.recommend import recommend
+    from latentspark.plans.model import drop_old_versions, model_versions, save_model
+    from latentspark.streaming.requests import CurrentModel, seen_by
+    path = os.path.join(tmpdir_fresh, "model")
+    old = save_model(_tiny(spark, 1.0), path)
+    current = CurrentModel(spark, path)
+    model, packed = current.get()
+    req = spark.createDataFrame([(0, 0), (1, 1)], "req_pos int, user long")
+    answers = recommend(model.user_factors, None, seen_by(model.seen, req), req, k=2, packed=packed)
+    new = save_model(_tiny(spark, -1.0, spark.createDataFrame([(0, 0)], "user long, item long")), path)   # while the batch runs
+    got = {(r["user"], r["position"]): (r["item"], r["score"]) for r in answers.collect()}
+    assert got == {(0, 1): (2, 2.0), (0, 2): (1, 1.0), (1, 1): (0, 1.0), (1, 2): (1, 1.0)}
+    model, packed = current.get()                                   # the next batch has the new version
+    assert model.meta["version"] == new.meta["version"]
+    got = [r["item"] for r in recommend(model.user_factors, None, model.seen, req.filter("user = 0"), k=1, packed=packed).collect()]
+    assert got == [1]
+    assert drop_old_versions(spark, path, 1) == [old.meta["version"]] and len(model_versions(spark, path)) == 1
+    third = save_model(_tiny(spark, 3.0), path, keep=2)
+    assert [v for _, v in model_versions(spark, path)] == [new.meta["version"], third.meta["version"]]
+
+
 def test_request_stream_answers_like_batch_and_reloads(spark, tmpdir_fresh):
     from latentspark.operators.recommend import recommend
     from latentspark.plans.model import FactorModel, save_model
