@@ -221,7 +221,7 @@ def labelled_sample(docs: DataFrame, per_language: int, seed: int = 3) -> DataFr
     return docs.withColumn("deal", deal).filter(F.col("deal") <= limits.otherwise(F.lit(-1))).select("deal", "doc_id", "lang", "text")
 
 
-def fit_languages(docs: DataFrame, *, per_language: int = 3000, batch: int = 64, epochs: int = 3, seed: int = 7,
+def fit_languages(docs: DataFrame, *, per_language: int = 2000, batch: int = 64, epochs: int = 3, seed: int = 7,
                   **options) -> Languages:
     """The classifier of ``docs`` (doc_id, text, lang): all its rows count for the document frequencies.
 
@@ -246,19 +246,26 @@ def fit_languages(docs: DataFrame, *, per_language: int = 3000, batch: int = 64,
             yield pa.RecordBatch.from_arrays([*small.columns, pa.array(ats, type=pa.list_(pa.int32())), pa.array(xs, type=pa.list_(pa.float32()))],
                                              names=["deal", "doc_id", "lang", "at", "x"])
 
-    sample = by_batch(labelled_sample(docs, per_language), run,
-                      "deal long, doc_id long, lang string, at array<int>, x array<float>").toPandas()
-    # rows that share a doc_id (and so a hash) are ordered by what they hold
-    sample["sum"] = [float(np.sum(x)) for x in sample["x"]]
-    sample = sample.sort_values(["deal", "doc_id", "lang", "sum"], kind="stable").reset_index(drop=True)
-    names = sorted(set(sample["lang"]))
+    # the sample stays in flat Arrow buffers: 8 bytes for each distinct bucket of a row
+    sample = by_batch(labelled_sample(docs, per_language), run, "deal long, doc_id long, lang string, at array<int>, x array<float>").toArrow()
+    langs = sample.column("lang").to_pylist()
+    names = sorted(set(langs))
     if not names:
         return Languages([], idf, np.zeros((BUCKETS, 0)), np.zeros(0))
-    y = np.searchsorted(names, sample["lang"].to_numpy(dtype=object))
-    rows = []
-    for at, x in zip(sample["at"], sample["x"]):
-        x = np.asarray(x, dtype=np.float64) * idf[at]
-        rows.append((np.asarray(at, dtype=np.int64), x / np.sqrt(x @ x)))
+    buckets = sample.column("at").combine_chunks()
+    begin, buckets = buckets.offsets.to_numpy(), buckets.values.to_numpy()
+    counts = sample.column("x").combine_chunks().values.to_numpy()
+    # rows that share a doc_id (and so a hash) are ordered by what they hold
+    order = np.lexsort((np.add.reduceat(counts, begin[:-1]), np.searchsorted(names, langs), sample.column("doc_id").to_numpy(),
+                        sample.column("deal").to_numpy()))
+    y = np.searchsorted(names, langs)[order]
+
+    def row(i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets and weights of the i-th row, of length 1."""
+        part = slice(begin[order[i]], begin[order[i] + 1])
+        x = counts[part].astype(np.float64) * idf[buckets[part]]
+        return buckets[part], x / np.sqrt(x @ x)
+
     # every fifth row of a language calibrates, if there are enough of them
     nth = np.zeros(len(y), dtype=np.int64)
     for k in range(len(names)):
@@ -268,20 +275,21 @@ def fit_languages(docs: DataFrame, *, per_language: int = 3000, batch: int = 64,
     leader = FollowTheLeader(BUCKETS + 1, len(names), **options)
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
-        order = rng.permutation(taught)
-        for lo in range(0, len(order), batch):
-            part = order[lo:lo + batch]
-            at = np.unique(np.concatenate([rows[i][0] for i in part]))
+        shuffled = rng.permutation(taught)
+        for lo in range(0, len(shuffled), batch):
+            part = shuffled[lo:lo + batch]
+            rows = [row(i) for i in part]
+            at = np.unique(np.concatenate([r[0] for r in rows]))
             x = np.zeros((len(part), len(at)))
-            for r, i in enumerate(part):
-                x[r, np.searchsorted(at, rows[i][0])] = rows[i][1]
+            for r, (where, weights) in enumerate(rows):
+                x[r, np.searchsorted(at, where)] = weights
             one = np.zeros((len(part), len(names)))
             one[np.arange(len(part)), y[part]] = 1
             leader.learn(at, x, one)
     w = leader.weights()
     model = Languages(names, idf, w[:-1], w[-1])
     check = np.flatnonzero(calibrates)
-    z = np.stack([rows[i][1] @ model.weights[rows[i][0]] + model.bias for i in check]) if len(check) else np.zeros((0, len(names)))
+    z = np.stack([weights @ model.weights[where] + model.bias for where, weights in map(row, check)]) if len(check) else np.zeros((0, len(names)))
     model.temperature = fit_temperature(z, y[check])
     return model
 
