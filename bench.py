@@ -27,7 +27,7 @@ def main():
     from pyspark.sql import functions as F
 
     from latentspark.operators import objective, ratings as rt, recommend as rc
-    from latentspark.operators.blocks import RatingBlocks, gradient_pass, half_step, poly_pass
+    from latentspark.operators.blocks import RatingBlocks, gradient_pass, half_step, loss_pass, poly_pass
     from latentspark.operators.params import init_params
     from latentspark.plans.als import fit_als, fit_als_builtin
     from latentspark.plans.descent import Problem, fit_cg, fit_gd_linesearch
@@ -77,7 +77,9 @@ def main():
     timed("a5_loss_r10", lambda: objective.loss(ratings, x10.uf, x10.vf, 10, 0.01, N))
     timed("a6_gradient_r10", lambda: force(objective.gradient_frame(ratings, x10.uf, x10.vf, 10, 0.01, N)))
     timed("a6_gradient_pass_r10", lambda: force(gradient_pass(blocks, x10.table(), 10, 0.01, N)))
-    timed("a11_line_poly_pass_r10", lambda: force(poly_pass(blocks, x10.table(), x10.table(), 10, 0.01, N)))
+    timed("a11_line_poly_pass_r10", lambda: force(poly_pass(
+        blocks, x10.table().select("side", "id", F.col("features").alias("x"), F.col("features").alias("d")), 10, 0.01, N)))
+    timed("a5_loss_pass_r10", lambda: force(loss_pass(blocks, x10.table(), 10, 0.01, N)))
     blocks.release()
     timed("m3_als_one_sweep_r10", lambda: fit_als(ratings, 10, lam=0.01, max_iter=1, init=x10))
     timed("m6_gd_linesearch_5it_r10", lambda: fit_gd_linesearch(Problem(ratings, 10, 0.01, N), x10, max_iter=5))

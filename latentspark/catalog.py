@@ -470,6 +470,39 @@ def q_m9_weighted_ridge(spark, d):
                       r6(F.col("coef").getItem(1)).alias("c1"))
 
 
+def _near_columns_sql(by: str, weight: str) -> str:
+    """Coefficients on d and d + 1e-6·t from the well-conditioned regression on d and t: b = 1e6·q, a = p − b."""
+    sel, grp = (f"{by}, ", f"GROUP BY {by}") if by else ("", "")
+    return f"""
+WITH g AS (SELECT {sel}SUM({weight}*l_discount*l_discount) AS a, SUM({weight}*l_discount*l_tax) AS b, SUM({weight}*l_tax*l_tax) AS c,
+                  SUM({weight}*l_discount*l_quantity) AS y0, SUM({weight}*l_tax*l_quantity) AS y1 FROM lineitem {grp}),
+h AS (SELECT {sel}(c*y0 - b*y1) / (a*c - b*b) AS p, (a*y1 - b*y0) / (a*c - b*b) AS q FROM g)
+SELECT {sel}round((p - 1e6*q) / 1e6, 5) AS c0_millions, round(q, 5) AS c1_millions FROM h"""
+
+
+def _near_columns(spark, d):
+    return tb.table(spark, d, "lineitem").withColumn("near", F.col("l_discount") + F.lit(1e-6) * F.col("l_tax"))
+
+
+def _millions(res, *keys):
+    return res.select(*keys, *[F.round(F.col("coef").getItem(j) / F.lit(1e6), 5).alias(f"c{j}_millions") for j in range(2)])
+
+
+@register("m8_ridge_orthogonal", _near_columns_sql("", "1.0e0"))
+def q_m8_ridge_orthogonal(spark, d):
+    """Least squares (λ = 0) of quantity on two columns 1e-6 apart, by QR."""
+    from .operators.orthogonal import ridge_qr
+    return _millions(ridge_qr(_near_columns(spark, d), ["l_discount", "near"], "l_quantity", 0.0))
+
+
+@register("m9_ridge_orthogonal", _near_columns_sql("l_returnflag", "CAST(l_linenumber AS DOUBLE)"))
+def q_m9_ridge_orthogonal(spark, d):
+    """The same per return flag, weights = line number."""
+    from .operators.orthogonal import ridge_qr
+    res = ridge_qr(_near_columns(spark, d), ["l_discount", "near"], "l_quantity", 0.0, "l_linenumber", ["l_returnflag"], fan=2)
+    return _millions(res, "l_returnflag")
+
+
 # ------------------------------------------------------------------ M4 unrolled descent + W1/W2/T3
 GD_STEP = 100.0
 GD_STEPS = 3
@@ -691,6 +724,21 @@ def q_s7_report(spark, d):
     return rc.report(recs, requests, uf).select("req_pos", F.col("line_no").cast("int").alias("line_no"), "line")
 
 
+@register("s7_report_files", RECS_EV_SQL + """,
+l AS (SELECT id AS "user", 0 AS line_no, printf('Recommendation for user %d:', id) AS line FROM uf
+      UNION ALL SELECT "user", CAST(position AS INT), printf('    Rank: %.3f   Movie: %s', score, name) FROM tn
+      UNION ALL SELECT uf.id, CAST(coalesce(MAX(tn.position), 0) + 1 AS INT), '' FROM uf LEFT JOIN tn ON tn."user" = uf.id GROUP BY uf.id)
+SELECT row_number() OVER (ORDER BY "user", line_no) AS n, line FROM l""")
+def q_s7_report_files(spark, d):
+    """The report written as text files and read back: every line with its place in the whole."""
+    from .session import scratch_path
+    from .sources.text import read_written_lines, write_lines
+    recs, requests, uf = _ev_recs(spark, d)
+    path = scratch_path(spark, "report")
+    write_lines(rc.report(recs, requests, uf), path, ["req_pos", "user", "line_no"])
+    return read_written_lines(spark, path).select("n", F.col("value").alias("line"))
+
+
 # ------------------------------------------------------------------ R5 request stream
 @register("r5_recommend_stream", with_sql(R_ORD_SQL, DET_SQL) + """,
 req AS (SELECT CAST(c_custkey AS BIGINT) AS "user" FROM customer UNION ALL SELECT CAST(c_nationkey AS BIGINT) FROM customer),
@@ -819,11 +867,30 @@ def q_x6_pixel_count(spark, d):
     return pixel_counts(tb.pixels_from_lineitem(spark, d))
 
 
+@register("s8_image_round_trip", PX_SQL + """,
+t AS (SELECT image_id // 64 AS tile, CAST(x - 1 AS INT) AS col, CAST(image_id % 64 AS INT) AS row, MAX(px) AS px FROM p GROUP BY 1, 2, 3),
+s AS (SELECT tile, MAX(col) + 1 AS w, MAX(row) + 1 AS h FROM t GROUP BY tile),
+a AS (SELECT tile, row, unnest(range(w)) AS col FROM (SELECT tile, w, unnest(range(h)) AS row FROM s))
+SELECT CAST(a.tile AS VARCHAR) AS image_id, CAST(a.col AS INT) AS x, CAST(a.row AS INT) AS y, coalesce(t.px, 0) AS px
+FROM a LEFT JOIN t ON t.tile = a.tile AND t.row = a.row AND t.col = a.col""")
+def q_s8_image_round_trip(spark, d):
+    """The lineitem pixels in PNG files, one for 64 orders (a line per order; of several pixels in a cell the largest), written
+    and read as an image folder."""
+    from .session import scratch_path
+    from .sources.images import read_pixels, write_pixels, written_id
+    p = tb.pixels_from_lineitem(spark, d)
+    path = scratch_path(spark, "images")
+    write_pixels(p.select(F.floor(F.col("image_id") / 64).alias("image_id"), (F.col("x") - 1).alias("x"), (F.col("image_id") % 64).alias("y"), "px"), path)
+    return read_pixels(spark, path + "/*").select(written_id().alias("image_id"), "x", "y", "px")
+
+
 # ------------------------------------------------------------------ trainers run to their own stop test
-#: What both engines can say of a run whose steps depend on the data: sizes from the tables, and that the loss of the
-#: returned point, summed again by A5, is the last of a trace that never rises and was ended by the trainer's own test.
+#: What both engines can say of a run whose steps depend on the data: sizes from the tables; that the loss of the
+#: returned point, summed again by A5, is the last of a trace that never rises; and, from the trace alone (W1), that
+#: the run went on exactly until its own test at the default bound was met, so that an early stop shows.
+EPS = 0.001
 INVARIANT_SQL = with_sql(R_EV_SQL) + """SELECT '{name}' AS trainer, MAX("user") + 1 AS n_users, MAX(item) + 1 AS n_items, 10 AS rank,
-       true AS converged, true AS never_rises, true AS loss_is_true, true AS better_than_start FROM r"""
+       true AS ended_by_its_test, true AS never_rises, true AS loss_is_true, true AS better_than_start FROM r"""
 
 
 def _ev_problem(spark, d, rank):
@@ -835,55 +902,122 @@ def _ev_problem(spark, d, rank):
     return Problem(r, rank, LAM, float(dm.n_ratings)), init_params(spark, dm.n_users, dm.n_items, rank, 8, 0.5)
 
 
-def _invariants(spark, name, prob, x0, fit):
+def _invariants(spark, name, prob, x0, fit, ended):
     losses = [row["loss"] for row in fit.trace.rows]
     loss = lambda p: objective.loss(prob.ratings, p.uf, p.vf, prob.k, prob.lam, prob.normalizer)
     end, start = loss(fit.params), loss(x0)
     sizes = [f.agg(F.max("id")).first()[0] + 1 for f in fit.params.sides()]
-    return spark.createDataFrame([(name, *sizes, rc.factor_rank(fit.params.vf), fit.converged,
+    return spark.createDataFrame([(name, *sizes, rc.factor_rank(fit.params.vf), bool(ended),
                                    all(b <= a * (1 + 1e-9) for a, b in zip(losses, losses[1:])),
                                    abs(end - losses[-1]) <= 1e-9 * max(1.0, end), end < start)],
-                                 "trainer string, n_users long, n_items long, rank int, converged boolean, never_rises boolean, "
+                                 "trainer string, n_users long, n_items long, rank int, ended_by_its_test boolean, never_rises boolean, "
                                  "loss_is_true boolean, better_than_start boolean")
 
 
+def _shrinks(spark, fit, window=10):
+    """W1 of the trace by its own operator, oldest first."""
+    from .operators.diagnostics import shrink
+    return [r["shrink"] for r in shrink(fit.trace.frame(spark).select("iter", "red"), window).orderBy("iter").collect()]
+
+
 @register("m1_als_builtin", with_sql(R_EV_SQL) + """
-SELECT 'user' AS side, MAX("user") + 1 AS n_ids, 10 AS rank, true AS non_negative, true AS any_positive FROM r
-UNION ALL SELECT 'item', MAX(item) + 1, 10, true, true FROM r""")
+SELECT 'user' AS side, MAX("user") + 1 AS n_ids, 10 AS rank, true AS non_negative, true AS any_positive, COUNT(DISTINCT "user") AS n_rated,
+       0 AS n_violating FROM r
+UNION ALL SELECT 'item', MAX(item) + 1, 10, true, true, COUNT(DISTINCT item), 0 FROM r""")
 def q_m1_als_builtin(spark, d):
-    """Library ALS (rank 10, 20 iterations, λ 0.01, non-negative, seed 8) on r_ev: what is known of its padded factors."""
+    """Library ALS (rank 10, 20 iterations, λ 0.01, non-negative, seed 8) on r_ev, with its optimality certificate.
+
+    The users were solved last: each meets the conditions of its non-negative least squares up to the rounding of
+    single-precision factors.  The items were solved one half-step before; that moved the users a little once more, so
+    theirs hold up to what a half-step still moves after 20 iterations.
+    """
+    from .operators.optimality import nnls_violations
     from .plans.als import fit_als_builtin
-    x = fit_als_builtin(_r_ev(spark, d), rank=10, lam=LAM)
+    r = _r_ev(spark, d)
+    x = fit_als_builtin(r, rank=10, lam=LAM)
 
-    def side(name, f):
+    def side(name, other, f, g, tolerance):
+        far = nnls_violations(r, f, g, name, other, 10, LAM)
+        counts = far.agg(F.count(F.lit(1)).alias("n_rated"), F.count_if(~(F.col("violation") <= tolerance * F.col("scale"))).alias("n_violating"))
         return f.agg(F.count(F.lit(1)).alias("n_ids"), F.max(F.size("features")).alias("rank"),
                      (F.min(F.array_min("features")) >= 0).alias("non_negative"),
-                     (F.max(F.array_max("features")) > 0).alias("any_positive")).select(F.lit(name).alias("side"), "*")
-    return side("user", x.uf).unionByName(side("item", x.vf))
+                     (F.max(F.array_max("features")) > 0).alias("any_positive")).select(F.lit(name).alias("side"), "*").join(F.broadcast(counts))
+    return side("user", "item", x.uf, x.vf, ROUNDING).unionByName(side("item", "user", x.vf, x.uf, LAST_MOVE))
+
+
+#: Violations relative to the sums they are made of: single-precision factors, and what the last half-step moves.
+ROUNDING, LAST_MOVE = 1e-5, 0.05
+
+
+@register("m4_gd_fixed_to_its_test", with_sql(R_ORD_SQL, DET_SQL) + """
+SELECT 'm4' AS trainer, COUNT(*) AS n_ratings, true AS converged, true AS last_change_within, true AS changes_before_beyond,
+       true AS loss_is_true FROM r""")
+def q_m4_gd_fixed_to_its_test(spark, d):
+    """Fixed steps (a = 100) from the deterministic point until the loss changes by ε = 0.001 at most."""
+    from .operators.params import Params
+    from .plans.descent import Problem, fit_gd_fixed
+    r = _r_ord(spark, d).persist()
+    uf, vf = tb.det_model(r)
+    n = r.count()
+    fit = fit_gd_fixed(Problem(r, 2, LAM, float(n)), Params(uf, vf), GD_STEP, EPS)
+    losses = [row["loss"] for row in fit.trace.rows]
+    end = objective.loss(r, fit.params.uf, fit.params.vf, 2, LAM, float(n))
+    r.unpersist()
+    return spark.createDataFrame([("m4", n, fit.converged, abs(losses[-1] - end) <= EPS,
+                                   all(abs(a - b) > EPS for a, b in zip(losses, losses[1:])), end < losses[-1])],
+                                 "trainer string, n_ratings long, converged boolean, last_change_within boolean, "
+                                 "changes_before_beyond boolean, loss_is_true boolean")
 
 
 @register("m5_gd_adaptive", INVARIANT_SQL.format(name="m5"))
 def q_m5_gd_adaptive(spark, d):
-    """Adaptive descent at rank 10 until the shrink rate falls below 0.01."""
+    """Adaptive descent at rank 10 until the shrink rate falls below 0.001: below it at the end, at no point before."""
     from .plans.descent import fit_gd_adaptive
     prob, x0 = _ev_problem(spark, d, 10)
-    return _invariants(spark, "m5", prob, x0, fit_gd_adaptive(prob, x0, 50.0, 0.01))
+    fit = fit_gd_adaptive(prob, x0, 50.0, EPS)
+    s = _shrinks(spark, fit)
+    return _invariants(spark, "m5", prob, x0, fit, fit.converged and s[-1] < EPS <= min(s[:-1]))
 
 
 @register("m6_gd_linesearch", INVARIANT_SQL.format(name="m6"))
 def q_m6_gd_linesearch(spark, d):
-    """Descent with line search at rank 10 until the shrink rate falls below 0.01."""
+    """Descent with line search at rank 10 until the shrink rate falls below 0.001 (tested before an improving step, which is taken)."""
     from .plans.descent import fit_gd_linesearch
     prob, x0 = _ev_problem(spark, d, 10)
-    return _invariants(spark, "m6", prob, x0, fit_gd_linesearch(prob, x0, 0.01))
+    fit = fit_gd_linesearch(prob, x0, EPS)
+    return _invariants(spark, "m6", prob, x0, fit, fit.converged and _shrinks(spark, fit)[-2] < EPS)
 
 
 @register("m7_cg", INVARIANT_SQL.format(name="m7"))
 def q_m7_cg(spark, d):
-    """Conjugate gradients at rank 10 until a step from the plain gradient changes the loss by 1 % at most."""
-    from .plans.descent import fit_cg
+    """Conjugate gradients at rank 10 over their default length, bounded by nothing else."""
+    from .plans.descent import CG_LENGTH, fit_cg
     prob, x0 = _ev_problem(spark, d, 10)
-    return _invariants(spark, "m7", prob, x0, fit_cg(prob, x0, length=None, eps=0.01))
+    fit = fit_cg(prob, x0)
+    searches = len(fit.trace.rows) - 1
+    return _invariants(spark, "m7", prob, x0, fit, fit.converged or CG_LENGTH // 2 <= searches <= CG_LENGTH)
+
+
+@register("f7_guards", with_sql(R_ORD_SQL) + """
+SELECT c AS case_, COUNT(*) AS n_ratings, o AS converged, true AS finite FROM r, (VALUES
+  ('line search at an optimum', true), ('conjugate gradients at an optimum', true), ('fixed step at an optimum', true),
+  ('fixed step that diverges', false)) v(c, o) GROUP BY c, o""")
+def q_f7_guards(spark, d):
+    """Starts at an exact optimum (the ratings are its predictions, λ = 0) and a step that diverges: all end, none raises."""
+    from .operators.params import Params
+    from .plans.descent import Problem, fit_cg, fit_gd_fixed, fit_gd_linesearch
+    from .session import cut
+    r = _r_ord(spark, d)
+    uf, vf = tb.det_model(r)
+    exact = cut(rt.predict(r, uf, vf, 2).select("user", "item", F.col("pred").alias("rating")))
+    n = float(exact.count())
+    at = lambda: (Problem(exact, 2, 0.0, n), Params(uf, vf))
+    fits = {"line search at an optimum": fit_gd_linesearch(*at()), "conjugate gradients at an optimum": fit_cg(*at()),
+            "fixed step at an optimum": fit_gd_fixed(*at(), 100.0, EPS),
+            "fixed step that diverges": fit_gd_fixed(Problem(r, 2, LAM, n), Params(uf, vf), 1e9, EPS)}
+    rows = [(name, int(n), fit.converged, all(row["loss"] == row["loss"] and row["loss"] < float("inf") for row in fit.trace.rows))
+            for name, fit in fits.items()]
+    return spark.createDataFrame(rows, "case_ string, n_ratings long, converged boolean, finite boolean")
 
 
 @register("m10_fit_own_als", with_sql(R_EV_SQL) + """
@@ -911,7 +1045,7 @@ def q_d5_compare(spark, d):
     from .plans.descent import fit_gd_linesearch
     prob, x0 = _ev_problem(spark, d, 10)
     fits = {"start": x0, "own_als": fit_als(prob.ratings, rank=10, lam=LAM, init=x0).params,
-            "gd_linesearch": fit_gd_linesearch(prob, x0, 0.01).params}
+            "gd_linesearch": fit_gd_linesearch(prob, x0, EPS).params}
     losses = compare_trainers(prob.ratings, fits, 10, LAM, prob.normalizer)
     first = losses.filter("trainer = 'start'").first()["loss"]
     return losses.select(

@@ -3,11 +3,18 @@
 ``RatingBlocks`` keeps two persisted copies of the ratings, dealt by user and
 by item.  A loop then never moves a rating again: each pass sends every factor
 vector once to each block that holds ratings of its id (``routes``, derived
-once), and the block's arrays meet them in a cogroup on the block number.
+once), and the block's arrays meet them in a cogroup on the block number, as
+Arrow tables.
+
+Block b is partition b on both sides (``repartitionById``): no partition is empty
+and none holds two blocks.  There are as many blocks as cores, and more only
+where one would exceed ``per_block`` ratings; the larger a block, the fewer
+messages a pass sends (a vector goes once to each block that needs it).  Inside
+a task ratings are worked through in slices, so a block costs its Arrow
+buffers and little more.
 
 An id with more ratings than ``hot`` is dealt over several blocks; its partial
-sums (k numbers, or one Gram matrix, per block) are merged afterwards.  Blocks
-hold about ``per_block`` ratings, so the block count follows the input.
+sums (k numbers, or one Gram matrix, per block) are merged afterwards.
 
 Vectors of a side that lack an id are treated like an inner join: its ratings
 do not count.
@@ -19,7 +26,8 @@ from dataclasses import dataclass, field
 from math import ceil
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,51 +35,57 @@ from .solve import batched_solve
 
 OTHER = {"user": "item", "item": "user"}
 SIDE = {"user": 0, "item": 1}
+#: Ratings that a pass works through at a time.
+SLICE = 1 << 18
 
 
 @dataclass
 class RatingBlocks:
     n_ratings: int
     n_blocks: int
-    rows: dict[str, DataFrame]                 # side → block, own, other, rating, shared (own lies in several blocks)
-    routes: dict[tuple[str, str], DataFrame]   # (layout, side) → id, block
-    split: dict[str, bool]                     # side → whether any id is dealt over several blocks
+    rows: dict[str, DataFrame]     # side → block, own, other, rating, shared (own lies in several blocks)
+    routes: dict[str, DataFrame]   # layout → side, id, blocks
+    split: dict[str, bool]         # side → whether any id is dealt over several blocks
     held: list[DataFrame] = field(default_factory=list)
 
     @classmethod
-    def of(cls, ratings: DataFrame, per_block: int = 250_000, hot: int = 50_000, sides=("user", "item")) -> "RatingBlocks":
+    def of(cls, ratings: DataFrame, per_block: int = 2_000_000, hot: int | None = None, sides=("user", "item")) -> "RatingBlocks":
+        """``hot``: an eighth of ``per_block`` unless given.  The layouts are written to storage here; ``ratings`` is not
+        read again."""
         spark = ratings.sparkSession
+        hot = max(1, per_block // 8) if hot is None else hot
         r = ratings.select(F.col("user").cast("long").alias("user"), F.col("item").cast("long").alias("item"),
-                           F.col("rating").cast("double").alias("rating")).persist()
+                           F.col("rating").cast("double").alias("rating"))
+        own = None if ratings.is_cached else r.persist()
         n = r.count()
         n_blocks = max(1, min(spark.sparkContext.defaultParallelism, ceil(n / 5_000)), ceil(n / per_block))
-        rows, routes, split, held = {}, {}, {}, [r]
+        rows, routes, split, held = {}, {}, {}, []
         for side in sides:
             frame, split[side] = _deal(r, side, n_blocks, hot)
             rows[side] = frame.persist()
-            held.append(rows[side])
-            for other in (("own", side), ("other", OTHER[side])):
-                # aliased: the block column of a route must not be the layout's own
-                t = rows[side].select(F.col(other[0]).alias("id"), (F.col("block") + F.lit(0)).alias("block")).distinct().persist()
-                routes[side, other[1]] = t
-                held.append(t)
+            ends = rows[side].select(F.explode(F.array(*[F.struct(F.lit(SIDE[s]).alias("side"), F.col(c).alias("id")) for s, c in (
+                (side, "own"), (OTHER[side], "other"))])).alias("e"), "block")
+            routes[side] = ends.groupBy("e.side", "e.id").agg(F.collect_set("block").alias("blocks")).persist()
+            routes[side].count()
+            held += [rows[side], routes[side]]
+        if own is not None:
+            own.unpersist()
         return cls(n, n_blocks, rows, routes, split, held)
 
     def release(self) -> None:
         for df in self.held:
             df.unpersist()
 
-    def messages(self, layout: str, side: str, vectors: DataFrame, n: int) -> DataFrame:
-        """``vectors(id, v)`` of one side, once per block that needs them: ``block, side, id, v0 …`` (``n`` numbers, as
-        flat columns, which Arrow moves as plain buffers)."""
-        at = self.routes[layout, side]
-        flat = vectors.select(F.col("id").cast("long").alias("id"), *[F.col("v").getItem(j).alias(f"v{j}") for j in range(n)])
-        return flat.join(at, "id").select("block", F.lit(SIDE[side]).alias("side"), "id", *[f"v{j}" for j in range(n)])
+    def messages(self, layout: str, vectors: DataFrame, n: int) -> DataFrame:
+        """``vectors(side, id, v)``, once per block that needs them: ``to, side, id, v0 …`` (``n`` numbers, as flat columns,
+        which Arrow moves as plain buffers)."""
+        flat = vectors.selectExpr("side", "cast(id as long) id", *[f"v[{j}] v{j}" for j in range(n)])
+        return flat.join(self.routes[layout], ["side", "id"]).selectExpr("explode(blocks) to", "side", "id", *[f"v{j}" for j in range(n)])
 
     def meet(self, layout: str, messages: DataFrame, fn, schema: str) -> DataFrame:
-        """``fn(ratings, messages)`` per block; only the messages are shuffled."""
-        dealt = messages.withColumnRenamed("block", "to").repartition(self.n_blocks, "to")
-        return self.rows[layout].groupBy("block").cogroup(dealt.groupBy("to")).applyInPandas(fn, schema)
+        """``fn(ratings, messages)`` per block, on Arrow tables; only the messages are shuffled."""
+        dealt = messages.repartitionById(self.n_blocks, "to")
+        return self.rows[layout].groupBy("block").cogroup(dealt.groupBy("to")).applyInArrow(fn, schema)
 
 
 def _deal(r: DataFrame, side: str, n_blocks: int, hot: int) -> tuple[DataFrame, bool]:
@@ -83,15 +97,28 @@ def _deal(r: DataFrame, side: str, n_blocks: int, hot: int) -> tuple[DataFrame,
     base = r.join(heavy, side, "left") if any_heavy else r
     block = F.pmod(F.xxhash64(own, F.pmod(F.xxhash64(other), parts)), F.lit(n_blocks)).cast("int")
     dealt = base.select(block.alias("block"), own.alias("own"), other.alias("other"), "rating", (parts > 1).alias("shared"))
-    return dealt.repartition(n_blocks, "block").sortWithinPartitions("block", "own", "other"), any_heavy
+    return dealt.repartitionById(n_blocks, "block").sortWithinPartitions("block", "own", "other"), any_heavy
+
 
+def _ratings(rows: pa.Table) -> tuple[np.ndarray, ...]:
+    """Columns own, other, rating, shared of a block, sorted by own (as the layout is stored)."""
+    cols = [rows.column(c).to_numpy() for c in ("own", "other", "rating", "shared")]
+    if (cols[0][1:] < cols[0][:-1]).any():
+        order = np.argsort(cols[0], kind="stable")
+        cols = [c[order] for c in cols]
+    return tuple(cols)
 
-def _vectors(messages: pd.DataFrame, side: int) -> tuple[np.ndarray, np.ndarray]:
-    m = messages[messages["side"] == side]
-    ids = m["id"].to_numpy()
+
+def _vectors(messages: pa.Table, side: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted ids of a side, and their vectors."""
+    mine = np.flatnonzero(messages.column("side").to_numpy() == side)
+    ids = messages.column("id").to_numpy()[mine]
     order = np.argsort(ids, kind="stable")
-    v = m[[c for c in m.columns if c.startswith("v")]].to_numpy(dtype=float)
-    return ids[order], v[order]
+    names = [c for c in messages.column_names if c.startswith("v")]
+    v = np.empty((len(ids), len(names)))
+    for j, c in enumerate(names):
+        v[:, j] = messages.column(c).to_numpy()[mine[order]]
+    return ids[order], v
 
 
 def _rows_at(ids: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,68 +132,90 @@ def _starts(own: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1])
 
 
+def _lists(rows: np.ndarray, present: np.ndarray) -> pa.ListArray:
+    """Lists of the rows of a matrix; null where not ``present`` (``rows`` has the present ones only)."""
+    offsets = np.concatenate([[0], np.cumsum(np.where(present, rows.shape[1], 0))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ravel()), mask=pa.array(~present))
+
+
 # ------------------------------------------------------------------ ALS half-step
-def half_step(blocks: RatingBlocks, fixed: DataFrame, out_side: str, k: int, lam: float) -> DataFrame:
-    """M2 over a layout: ``id, features`` of ``out_side`` from the fixed side's ``id, features``; one plan for every rank."""
+HALF_STEP = "id long, features array<double>, sse double, gram array<double>"
+
+
+def half_step(blocks: RatingBlocks, fixed: DataFrame, out_side: str, k: int, lam: float, scored: bool = False) -> DataFrame:
+    """M2 over a layout: ``id, features`` of ``out_side`` from the fixed side's ``id, features``; one plan for every rank.
+
+    ``scored`` adds ``sse``: the squared errors of the id's ratings at its new
+    vector, which is the loss of a sweep without another pass over the ratings.
+    """
     upper = np.triu_indices(k)
 
-    def solve(rows: pd.DataFrame, messages: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"id": np.zeros(0, np.int64), "features": [], "gram": []})
-        if rows.empty or messages.empty:
+    def solve(rows: pa.Table, messages: pa.Table) -> pa.Table:
+        names = ["id", "features", "sse", "gram"]
+        lists = pa.list_(pa.float64())
+        empty = pa.Table.from_arrays([pa.array([], t) for t in (pa.int64(), lists, pa.float64(), lists)], names=names)
+        if not rows.num_rows or not messages.num_rows:
             return empty
         ids, v = _vectors(messages, SIDE[OTHER[out_side]])
-        rows = rows.sort_values("own", kind="stable")
-        at, known = _rows_at(ids, rows["other"].to_numpy())
-        at, own, rating = at[known], rows["own"].to_numpy()[known], rows["rating"].to_numpy()[known]
-        shared = rows["shared"].to_numpy()[known]
+        own, other, rating, shared = _ratings(rows)
+        at, known = _rows_at(ids, other)
+        if not known.all():
+            at, own, rating, shared = at[known], own[known], rating[known], shared[known]
         if not len(own):
             return empty
         starts = _starts(own)
+        ends = np.append(starts[1:], len(own))
         g = np.empty((len(starts), len(upper[0])))
         b = np.empty((len(starts), k))
+        part = shared[starts]
+        features, sse = np.zeros((len(starts), k)), np.empty(len(starts))
         # whole ids at a time, so that the products of one slice stay small
         slices = np.unique(np.searchsorted(starts, np.arange(0, len(own) + 1, 32_768)))
         for lo, hi in zip([0, *slices.tolist()], [*slices.tolist(), len(starts)]):
             if lo < hi:
-                a, z = starts[lo], starts[hi] if hi < len(starts) else len(own)
+                a, z = starts[lo], ends[hi - 1]
                 x = v[at[a:z]]
                 g[lo:hi] = np.add.reduceat(x[:, upper[0]] * x[:, upper[1]], starts[lo:hi] - a, axis=0)
                 b[lo:hi] = np.add.reduceat(x * rating[a:z, None], starts[lo:hi] - a, axis=0)
-        part = shared[starts]
-        features = np.empty(len(starts), dtype=object)
-        gram = np.empty(len(starts), dtype=object)
-        whole = np.flatnonzero(~part)
-        if len(whole):
-            features[whole] = list(batched_solve(square(g[whole], k), b[whole], lam))
-        for i in np.flatnonzero(part):
-            gram[i] = np.concatenate([g[i], b[i]])
-        return pd.DataFrame({"id": own[starts], "features": features, "gram": gram})
-
-    schema = "id long, features array<double>, gram array<double>"
-    messages = blocks.messages(out_side, OTHER[out_side], fixed.select("id", F.col("features").alias("v")), k)
-    solved = blocks.meet(out_side, messages, solve, schema)
+                whole = lo + np.flatnonzero(~part[lo:hi])
+                features[whole] = batched_solve(square(g[whole], k), b[whole], lam)
+                own_v = np.repeat(features[lo:hi], ends[lo:hi] - starts[lo:hi], axis=0)
+                error = rating[a:z] - np.einsum("ij,ij->i", x, own_v)
+                # the parts of a split id keep the squares of their ratings; the rest follows from the merged sums
+                sse[lo:hi] = np.add.reduceat(error * error, starts[lo:hi] - a)
+        gram = np.concatenate([g[part], b[part]], axis=1)
+        return pa.Table.from_arrays([pa.array(own[starts]), _lists(features[~part], ~part), pa.array(sse), _lists(gram, part)], names=names)
+
+    fixed = fixed.select(F.lit(SIDE[OTHER[out_side]]).alias("side"), "id", F.col("features").alias("v"))
+    solved = blocks.meet(out_side, blocks.messages(out_side, fixed, k), solve, HALF_STEP)
+    out = ["id", "features"] + ["sse"] * scored
     if not blocks.split[out_side]:
-        return solved.select("id", "features")
+        return solved.select(*out)
 
     def merge(batches):
         # rows sorted by id: whole ones pass, the parts of a split id add up (at most one row per block)
-        held_id, held = None, None
+        held_id, held, squares = None, None, 0.0
 
         def done():
-            x = batched_solve(square(held[None, :len(upper[0])], k), held[None, len(upper[0]):], lam)[0]
-            return pd.DataFrame({"id": [held_id], "features": [x]})
-        for pdf in batches:
-            whole = pdf["features"].notna()
-            yield pdf.loc[whole, ["id", "features"]]
-            for i, part in zip(pdf.loc[~whole, "id"], pdf.loc[~whole, "gram"]):
-                if held_id is not None and i != held_id:
+            gram, right = square(held[None, :len(upper[0])], k), held[None, len(upper[0]):]
+            x = batched_solve(gram, right, lam)[0]
+            error = squares - 2 * x @ right[0] + x @ gram[0] @ x
+            return pa.RecordBatch.from_arrays([pa.array([held_id]), pa.array([x]), pa.array([max(float(error), 0.0)])],
+                                              names=["id", "features", "sse"])
+        for batch in batches:
+            whole = batch.column("features").is_valid()
+            yield batch.filter(whole).select(["id", "features", "sse"])
+            for row in batch.filter(pa.compute.invert(whole)).to_pylist():
+                if held_id is not None and row["id"] != held_id:
                     yield done()
-                    held = None
-                held_id, held = i, np.asarray(part, dtype=float) if held is None else held + part
+                    held, squares = None, 0.0
+                sums = np.array(row["gram"])
+                held_id, held, squares = row["id"], sums if held is None else held + sums, squares + row["sse"]
         if held_id is not None:
             yield done()
 
-    return solved.repartition("id").sortWithinPartitions("id").mapInPandas(merge, "id long, features array<double>")
+    merged = solved.repartition("id").sortWithinPartitions("id").mapInArrow(merge, "id long, features array<double>, sse double")
+    return merged.select(*out)
 
 
 def square(upper: np.ndarray, k: int) -> np.ndarray:
@@ -179,82 +228,110 @@ def square(upper: np.ndarray, k: int) -> np.ndarray:
 
 
 # ------------------------------------------------------------------ passes over both sides
-def _both(blocks: RatingBlocks, table: DataFrame, n: int) -> DataFrame:
-    """Messages of ``table(side, id, v)`` for the layout by user."""
-    one = lambda s: blocks.messages("user", s, table.filter(F.col("side") == SIDE[s]), n)
-    return one("user").unionByName(one("item"))
-
-
-def _pairs(rows: pd.DataFrame, messages: pd.DataFrame):
-    """Ids and vectors of both sides, and of each rating that has both: its two positions and its value."""
+def _pairs(rows: pa.Table, messages: pa.Table):
+    """Ids and vectors of both sides, and per slice of ratings that have both: their two positions and their values."""
     uid, u = _vectors(messages, 0)
     iid, v = _vectors(messages, 1)
-    a, known_a = _rows_at(uid, rows["own"].to_numpy())
-    b, known_b = _rows_at(iid, rows["other"].to_numpy())
-    known = known_a & known_b
-    return uid, u, iid, v, a[known], b[known], rows["rating"].to_numpy()[known]
 
+    def slices():
+        own, other, rating, _ = _ratings(rows)
+        for lo in range(0, len(own), SLICE):
+            a, known_a = _rows_at(uid, own[lo:lo + SLICE])
+            b, known_b = _rows_at(iid, other[lo:lo + SLICE])
+            known = known_a & known_b
+            if known.any():
+                yield a[known], b[known], rating[lo:lo + SLICE][known]
+    return uid, u, iid, v, slices()
 
-LOSS = -1
 
+# The expressions of a pass are SQL text: a loop builds its plans again at every step, and hundreds of Column calls would
+# take the driver longer than the jobs take.
+
+def dot_sql(p: str, q: str, k: int) -> str:
+    """Inner product of two array columns of length ``k``."""
+    return "(" + " + ".join(f"{p}[{j}] * {q}[{j}]" for j in range(k)) + ")"
 
-def gradient_pass(blocks: RatingBlocks, x: DataFrame, k: int, lam: float, normalizer: float) -> DataFrame:
-    """A5 and A6 in one job over ``x(side, id, features)``: the gradient in the same shape, and a row of side -1 whose
-    only feature is the loss at ``x``."""
-    names = [f"g{j}" for j in range(k)]
 
-    def sums(rows: pd.DataFrame, messages: pd.DataFrame) -> pd.DataFrame:
-        uid, u, iid, v, a, b, rating = _pairs(rows, messages)
-        if not len(a):
-            return pd.DataFrame({"side": np.zeros(0, np.int32), "id": np.zeros(0, np.int64), **{g: np.zeros(0) for g in names}})
-        delta = np.einsum("ij,ij->i", u[a], v[b]) - rating
-        du, dv = np.zeros_like(u), np.zeros_like(v)
-        for j in range(k):
-            du[:, j] = np.bincount(a, weights=delta * v[b, j], minlength=len(u))
-            dv[:, j] = np.bincount(b, weights=delta * u[a, j], minlength=len(v))
-        sse = np.zeros((1, k))
-        sse[0, 0] = delta @ delta
-        sums = np.concatenate([du, dv, sse])
-        return pd.DataFrame({"side": np.concatenate([np.zeros(len(uid)), np.ones(len(iid)), [LOSS]]).astype(np.int32),
-                             "id": np.concatenate([uid, iid, [0]]), **{g: sums[:, j] for j, g in enumerate(names)}})
+def number(x: float) -> str:
+    """A double literal."""
+    return f"({float(x)!r}D)"
+
+
+LOSS = -1
+
+
+def loss_pass(blocks: RatingBlocks, x: DataFrame, k: int, lam: float, normalizer: float) -> DataFrame:
+    """A5 over ``x(side, id, features)``: one row ``loss``.  One number leaves each block."""
+    def sums(rows: pa.Table, messages: pa.Table) -> pa.Table:
+        _, u, _, v, slices = _pairs(rows, messages)
+        total = 0.0
+        for a, b, rating in slices:
+            delta = np.einsum("ij,ij->i", u[a], v[b]) - rating
+            total += float(delta @ delta)
+        return pa.table({"e": [total]})
 
     table = x.select("side", "id", F.col("features").alias("v"))
-    parts = blocks.meet("user", _both(blocks, table, k), sums, "side int, id long, " + ", ".join(f"{g} double" for g in names))
+    errors = blocks.meet("user", blocks.messages("user", table, k), sums, "e double")
+    norms = x.selectExpr(f"{number(lam)} * {dot_sql('features', 'features', k)} e")
+    return errors.unionByName(norms).agg(F.expr(f"0.5D * coalesce(sum(e), 0.0D) / {number(normalizer)}").alias("loss"))
+
+
+def gradient_state(blocks: RatingBlocks, point: DataFrame, k: int, lam: float, normalizer: float) -> DataFrame:
+    """A5 and A6 in one job: ``point(side, id, x, …)`` with its gradient ``g`` added, and a row of side -1 whose ``g`` holds
+    the loss alone.  Further columns of ``point`` stay."""
+    names = [f"g{j}" for j in range(k)]
+
+    def sums(rows: pa.Table, messages: pa.Table) -> pa.Table:
+        uid, u, iid, v, slices = _pairs(rows, messages)
+        out = np.zeros((len(u) + len(v) + 1, k))
+        du, dv = out[:len(u)], out[len(u):-1]
+        for a, b, rating in slices:
+            ua, vb = u[a], v[b]
+            delta = np.einsum("ij,ij->i", ua, vb) - rating
+            for j in range(k):
+                du[:, j] += np.bincount(a, weights=delta * vb[:, j], minlength=len(u))
+                dv[:, j] += np.bincount(b, weights=delta * ua[:, j], minlength=len(v))
+            out[-1, 0] += delta @ delta
+        side = np.concatenate([np.zeros(len(uid)), np.ones(len(iid)), [LOSS]]).astype(np.int32)
+        return pa.Table.from_arrays([pa.array(side), pa.array(np.concatenate([uid, iid, [0]]))] +
+                                    [pa.array(np.ascontiguousarray(out[:, j])) for j in range(k)], names=["side", "id", *names])
+
+    messages = blocks.messages("user", point.select("side", "id", F.col("x").alias("v")), k)
+    parts = blocks.meet("user", messages, sums, "side int, id long, " + ", ".join(f"{g} double" for g in names))
     # the squared norms of x join the loss row
-    square_ = sum((F.col("features").getItem(j) * F.col("features").getItem(j) for j in range(1, k)),
-                  F.col("features").getItem(0) * F.col("features").getItem(0))
-    norms = x.select(F.lit(LOSS).alias("side"), F.lit(0).cast("long").alias("id"), (F.lit(float(lam)) * square_).alias("g0"),
-                     *[F.lit(0.0).alias(g) for g in names[1:]])
-    summed = parts.unionByName(norms).groupBy("side", "id").agg(*[F.sum(g).alias(g) for g in names])
-    n = F.lit(float(normalizer))
-    g = x.select("side", F.col("id").cast("long").alias("id"), "features").join(summed, ["side", "id"], "full")
-    comps = [F.when(F.col("side") == LOSS, F.lit(0.5) * F.col(f"g{j}")).otherwise(
-        F.coalesce(F.col(f"g{j}"), F.lit(0.0)) + F.lit(float(lam)) * F.col("features").getItem(j)) / n for j in range(k)]
-    return g.select("side", "id", F.array(*comps).alias("features"))
-
-
-def poly_pass(blocks: RatingBlocks, x: DataFrame, d: DataFrame, k: int, lam: float, normalizer: float) -> DataFrame:
-    """A11 in one job over tables ``side, id, features``: one row ``c0 .. c4`` with loss(x - a d) = sum c_j a^j."""
-    def sums(rows: pd.DataFrame, messages: pd.DataFrame) -> pd.DataFrame:
-        _, u, _, v, a, b, rating = _pairs(rows, messages)
-        names = ["ee", "ep", "pp2eq", "pq", "qq"]
-        if not len(a):
-            return pd.DataFrame([[0.0] * 5], columns=names)
-        xu, du, xv, dv = u[a, :k], u[a, k:], v[b, :k], v[b, k:]
+    norms = point.selectExpr(f"{LOSS} side", "cast(0 as long) id", f"{number(lam)} * {dot_sql('x', 'x', k)} g0",
+                             *[f"0.0D {g}" for g in names[1:]])
+    summed = parts.unionByName(norms).groupBy("side", "id").agg(*[F.expr(f"sum({g}) {g}") for g in names])
+    n = number(normalizer)
+    g = point.withColumn("id", F.col("id").cast("long")).join(summed, ["side", "id"], "full")
+    comps = ", ".join(f"if(side = {LOSS}, 0.5D * g{j}, coalesce(g{j}, 0.0D) + {number(lam)} * x[{j}]) / {n}" for j in range(k))
+    return g.selectExpr(*point.columns, f"array({comps}) g")
+
+
+def gradient_pass(blocks: RatingBlocks, x: DataFrame, k: int, lam: float, normalizer: float) -> DataFrame:
+    """``gradient_state`` of ``x(side, id, features)`` as ``side, id, features``: the gradient, and the loss at side -1."""
+    state = gradient_state(blocks, x.select("side", "id", F.col("features").alias("x")), k, lam, normalizer)
+    return state.select("side", "id", F.col("g").alias("features"))
+
+
+def poly_pass(blocks: RatingBlocks, both: DataFrame, k: int, lam: float, normalizer: float) -> DataFrame:
+    """A11 in one job over a table ``side, id, x, d``: one row ``c0 .. c4`` with loss(x - a d) = sum c_j a^j."""
+    names = ["ee", "ep", "pp2eq", "pq", "qq"]
+
+    def sums(rows: pa.Table, messages: pa.Table) -> pa.Table:
+        _, u, _, v, slices = _pairs(rows, messages)
+        total = np.zeros(5)
         dot = lambda p, q: np.einsum("ij,ij->i", p, q)
-        e, p, q = dot(xu, xv) - rating, -(dot(xu, dv) + dot(du, xv)), dot(du, dv)
-        return pd.DataFrame([[e @ e, e @ p, p @ p + 2 * (e @ q), p @ q, q @ q]], columns=names)
-
-    both = x.select("side", "id", "features").join(d.select("side", "id", F.col("features").alias("d")), ["side", "id"])
-    schema = ", ".join(f"{c} double" for c in ("ee", "ep", "pp2eq", "pq", "qq"))
-    rows = blocks.meet("user", _both(blocks, both.select("side", "id", F.concat("features", "d").alias("v")), 2 * k), sums, schema)
-    fold = lambda p, q: sum((F.col(p).getItem(j) * F.col(q).getItem(j) for j in range(1, k)),
-                            F.col(p).getItem(0) * F.col(q).getItem(0))
-    norms = both.select(fold("features", "features").alias("xx"), fold("features", "d").alias("xd"), fold("d", "d").alias("dd"))
-    s = rows.unionByName(norms, allowMissingColumns=True).agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in (
-        "ee", "ep", "pp2eq", "pq", "qq", "xx", "xd", "dd")])
-    lam_, inv = F.lit(float(lam)), F.lit(1.0 / float(normalizer))
-    c = F.col
-    return s.select((0.5 * (c("ee") + lam_ * c("xx")) * inv).alias("c0"), ((c("ep") - lam_ * c("xd")) * inv).alias("c1"),
-                    (0.5 * (c("pp2eq") + lam_ * c("dd")) * inv).alias("c2"), (c("pq") * inv).alias("c3"),
-                    (0.5 * c("qq") * inv).alias("c4"))
+        for a, b, rating in slices:
+            xu, du, xv, dv = u[a, :k], u[a, k:], v[b, :k], v[b, k:]
+            e, p, q = dot(xu, xv) - rating, -(dot(xu, dv) + dot(du, xv)), dot(du, dv)
+            total += [e @ e, e @ p, p @ p + 2 * (e @ q), p @ q, q @ q]
+        return pa.table({c: [float(t)] for c, t in zip(names, total)})
+
+    messages = blocks.messages("user", both.select("side", "id", F.concat("x", "d").alias("v")), 2 * k)
+    rows = blocks.meet("user", messages, sums, ", ".join(f"{c} double" for c in names))
+    norms = both.selectExpr(*[f"{dot_sql(p, q, k)} {p}{q}" for p, q in ("xx", "xd", "dd")])
+    s = rows.unionByName(norms, allowMissingColumns=True).agg(*[F.expr(f"coalesce(sum({c}), 0.0D) {c}") for c in (*names, "xx", "xd", "dd")])
+    lam_, inv = number(lam), number(1.0 / float(normalizer))
+    return s.selectExpr(f"0.5D * (ee + {lam_} * xx) * {inv} c0", f"(ep - {lam_} * xd) * {inv} c1",
+                        f"0.5D * (pp2eq + {lam_} * dd) * {inv} c2", f"pq * {inv} c3", f"0.5D * qq * {inv} c4")

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut
 from .blocks import RatingBlocks, half_step
 from .solve import batched_solve
 
@@ -106,4 +107,8 @@ def als_half_step(ratings: DataFrame, fixed: DataFrame, fixed_key: str, out_key:
     and call ``half_step`` themselves.
     """
     r = ratings.select(F.col(fixed_key).alias("user"), F.col(out_key).alias("item"), "rating")
-    return half_step(RatingBlocks.of(r, sides=("item",)), fixed, "item", k, lam)
+    blocks = RatingBlocks.of(r, sides=("item",))
+    try:
+        return cut(half_step(blocks, fixed, "item", k, lam))
+    finally:
+        blocks.release()

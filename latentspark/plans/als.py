@@ -12,10 +12,10 @@ Two objectives (Q13):
 from __future__ import annotations
 
 from pyspark.ml.recommendation import ALS
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..operators.blocks import LOSS, RatingBlocks, gradient_pass, half_step
+from ..operators.blocks import RatingBlocks, dot_sql, half_step
 from ..operators.params import Params, init_params
 from ..operators.ratings import dims, pad_factors
 from ..session import cut, drop_cut, ensure_checkpoint_dir
@@ -50,31 +50,39 @@ def fit_als_builtin(ratings: DataFrame, rank: int = 10, lam: float = 0.01, max_i
 
 def fit_als(ratings: DataFrame, rank: int = 10, eps: float = 0.001, lam: float = 0.01,
             max_iter: int | None = None, init: Params | None = None, seed: int = 8,
-            n: int | None = None, m: int | None = None) -> Fit:
+            n: int | None = None, m: int | None = None, blocks: RatingBlocks | None = None) -> Fit:
     """M3: our ALS loop; each sweep = two half-steps (M2) and the loss (A5).
 
     Ratings are laid out once (``RatingBlocks``); a sweep shuffles factors
     only, and each new factor table is written while the one before it is
-    deleted.  The loop runs to its own stop test; ``max_iter`` is a caller's
+    deleted.  The squared errors of a user's ratings come with its new vector, so
+    the loss is observed while the users are written: no pass over the ratings.
+    The loop runs to its own stop test; ``max_iter`` is a caller's
     bound (``converged`` tells which of them ended it).  Ids without ratings
     are filled with zero vectors once, at the end.
     """
     spark = ratings.sparkSession
-    d = dims(ratings)
+    d = dims(ratings) if n is None or m is None or blocks is None else None
     n = d.n_users if n is None else n
     m = d.n_items if m is None else m
     x = init if init is not None else init_params(spark, n, m, rank, seed)
-    blocks = RatingBlocks.of(ratings)
+    blocks = RatingBlocks.of(ratings) if blocks is None else blocks
     tr, prev, uf, vf, done = Trace(), None, x.uf, None, False
+    square = F.expr(dot_sql("features", "features", rank))
+
+    def written(f: DataFrame, *sums) -> tuple[DataFrame, list[float]]:
+        seen = Observation()
+        table = cut(f.observe(seen, *[F.sum(c).alias(f"s{i}") for i, c in enumerate(sums)]))
+        return table, [float(seen.get[f"s{i}"] or 0.0) for i in range(len(sums))]
+
     try:
         while not done and (max_iter is None or len(tr.rows) < max_iter):
             old_u, old_v = uf if tr.rows else None, vf  # the caller's starting point stays
-            vf = cut(half_step(blocks, uf, "item", rank, lam))
-            uf = cut(half_step(blocks, vf, "user", rank, lam))
+            vf, (vv,) = written(half_step(blocks, uf, "item", rank, lam), square)
+            uf, (uu, sse) = written(half_step(blocks, vf, "user", rank, lam, scored=True), square, F.col("sse"))
             drop_cut(old_u)
             drop_cut(old_v)
-            y = gradient_pass(blocks, Params(uf, vf).table(), rank, lam, float(d.n_ratings)).filter(
-                F.col("side") == LOSS).first()["features"][0]
+            y = 0.5 * (sse + lam * (uu + vv)) / blocks.n_ratings
             tr.add(len(tr.rows), y, y / prev if prev else 0.5, None)
             done = prev is not None and not (y + eps < prev)
             prev = y

@@ -2,13 +2,16 @@
 step (M5), descent with line search (M6) and Polak–Ribière conjugate
 gradients (M7).
 
-The ratings of a problem are laid out once (``RatingBlocks``); a step then
-costs one job for gradient and loss, one for the line polynomial and one for
-the new point, each over factor tables only.  Along a direction the loss is an
-exact quartic in the step (A11), so a line search has no trial evaluations: the
-best step is a root of the quartic's derivative, a cubic solved on the driver.
-The driver holds scalars only.  Every accepted point is a written table, and
-the one before it is deleted.
+The ratings of a problem are laid out once (``RatingBlocks``).  A point is one
+written table ``(side, id, x, g, …)``: vector and gradient of every id, and what
+the trainer carries along (the direction and gradient before).  A step costs
+two jobs, both over such a table: the line polynomial, and the next
+point with its gradient, whose loss and inner products are observed while the
+table is written.  Directions are expressions over a point's columns and are
+never stored on their own.  Along a direction the loss is an exact quartic in the step (A11), so
+a line search has no trial evaluations: the best step is a root of the
+quartic's derivative, a cubic solved on the driver.  The driver holds scalars only.  A point's table is deleted
+when the next one is written.
 
 All trainers run to their own stop test; ``max_iter`` (default None) is a
 caller's bound, and ``Fit.converged`` tells whether the test was met.  A loss
@@ -16,8 +19,8 @@ that is no longer finite, or a step that no longer moves the point, ends a run
 that would otherwise go on for ever (Q16), unconverged.
 
 The trace (``history``) has one row per accepted point:
-``(iter, loss, red, step)``; ``loss`` is the true loss there (taken from the
-next gradient job), ``red`` = loss / previous loss.
+``(iter, loss, red, step)``; ``loss`` is the true loss there, ``red`` = loss /
+previous loss.
 """
 
 from __future__ import annotations
@@ -27,13 +30,45 @@ from dataclasses import dataclass, field
 from itertools import count
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators import objective as ob
-from ..operators.blocks import LOSS, RatingBlocks, gradient_pass, poly_pass
-from ..operators.params import Params, lin_comb, move, scale
-from ..session import cut
+from ..operators.blocks import RatingBlocks, dot_sql, gradient_state, loss_pass, number, poly_pass
+from ..operators.params import Params
+from ..session import cut, drop_cut
+
+
+def combine(ca: float, a: str, cb: float, b: str) -> str:
+    """V2 over two vector columns: ``ca·a + cb·b``, as SQL."""
+    return f"zip_with({a}, {b}, (p, q) -> {number(ca)} * p + {number(cb)} * q)"
+
+
+def scaled(c: float, a: str) -> str:
+    """V4 over a vector column, as SQL."""
+    return f"transform({a}, p -> {number(c)} * p)"
+
+
+@dataclass
+class Point:
+    """A written table ``side, id, x, g`` (and what is carried), with what was observed while it was written: ``loss``, the
+    squared gradient norm ``gg``, and the products of the new gradient with the carried columns."""
+    table: DataFrame
+    loss: float
+    gg: float
+    products: dict[str, float] = field(default_factory=dict)
+
+    def params(self) -> Params:
+        """The vectors; ``Params.drop`` deletes the table."""
+        x = self.table.filter("side >= 0").select("side", "id", F.col("x").alias("features"))
+        x.written_at = getattr(self.table, "written_at", None)
+        return Params.of_table(x)
+
+    def rows(self) -> DataFrame:
+        return self.table.filter("side >= 0")
+
+    def drop(self) -> None:
+        drop_cut(self.table)
 
 
 @dataclass
@@ -54,23 +89,32 @@ class Problem:
             self.blocks.release()
             self.blocks = None
 
-    def grad(self, x: Params) -> tuple[Params, float]:
-        """Gradient (a written table) and loss at ``x``, from one job."""
-        g = cut(gradient_pass(self.layout(), x.table(), self.k, self.lam, self.normalizer))
-        return Params.of_table(g), float(g.filter(F.col("side") == LOSS).first()["features"][0])
+    def at(self, point: DataFrame, carried: tuple[str, ...] = ()) -> Point:
+        """Gradient, loss and inner products at ``point(side, id, x, carried…)``, from one job that writes the table."""
+        state = gradient_state(self.layout(), point.select("side", "id", "x", *carried), self.k, self.lam, self.normalizer)
+        seen = Observation()
+        table = cut(state.observe(seen, F.expr("max(if(side < 0, g[0], null)) loss"), *[
+            F.expr(f"sum(if(side >= 0, {dot_sql(c, 'g', self.k)}, null)) {name}") for c, name in (("g", "gg"), *zip(carried, carried))]))
+        found = {name: float("nan") if v is None else float(v) for name, v in seen.get.items()}
+        return Point(table, found.pop("loss"), found.pop("gg"), found)
+
+    def start(self, x: Params) -> Point:
+        return self.at(x.table().select("side", "id", F.col("features").alias("x")))
+
+    def move(self, p: Point, step: str) -> Point:
+        """The point with vectors ``step`` (SQL over ``p``'s columns); ``p``'s table goes."""
+        new = self.at(p.rows().selectExpr("side", "id", f"{step} x"))
+        p.drop()
+        return new
 
     def loss(self, x: Params) -> float:
-        g = gradient_pass(self.layout(), x.table(), self.k, self.lam, self.normalizer)
-        return float(g.filter(F.col("side") == LOSS).first()["features"][0])
+        return float(loss_pass(self.layout(), x.table(), self.k, self.lam, self.normalizer).first()["loss"])
 
-    def poly(self, x: Params, d: Params) -> tuple[float, ...]:
-        """Coefficients of a ↦ loss(x − a·d)."""
-        row = poly_pass(self.layout(), x.table(), d.table(), self.k, self.lam, self.normalizer).first()
+    def poly(self, p: Point, d: str) -> tuple[float, ...]:
+        """Coefficients of a ↦ loss(x − a·d), ``d`` SQL over the point's columns."""
+        row = poly_pass(self.layout(), p.rows().selectExpr("side", "id", "x", f"{d} d"), self.k, self.lam, self.normalizer).first()
         return tuple(float(row[f"c{j}"]) for j in range(5))
 
-    def dot(self, a: Params, b: Params) -> float:
-        return ob.param_dots(a.sides(), b.sides(), self.k)
-
 
 @dataclass
 class Trace:
@@ -84,14 +128,6 @@ class Trace:
     def head(self):
         return self.rows[-1]
 
-    def correct(self, loss: float) -> None:
-        """The newest row's true loss, once it has been summed at its point."""
-        if self.rows:
-            before = self.rows[-2]["loss"] if len(self.rows) > 1 else None
-            if before:
-                self.head["red"] = loss / before
-            self.head["loss"] = loss
-
     def shrink(self, n: int = 10) -> float:
         """W1 on the driver-side trace: 1 − mean(red) over the latest n rows."""
         last = self.rows[-n:]
@@ -112,38 +148,27 @@ def turns(max_iter: int | None):
     return count() if max_iter is None else range(max_iter)
 
 
-def step_to(x: Params, start: Params, direction: Params, a: float) -> Params:
-    """``x − a·direction`` as a written table; ``x``'s own table goes unless it is the caller's starting point."""
-    new = move(x, direction, -a).cut()
-    if x is not start:
-        x.drop()
-    return new
-
-
 def fit_gd_fixed(prob: Problem, x: Params, a: float, eps: float, max_iter: int | None = None) -> Fit:
     """M4: x ← x − a·∇f(x) until |Δloss| ≤ ε.  First row has red 0.5; the
     step that triggers the stop is taken but not recorded (as in the
     reference)."""
-    start, tr, done = x, Trace(), False
-    g, _ = prob.grad(x)
+    tr, done = Trace(), False
     try:
+        p = prob.start(x)
         for _ in turns(max_iter):
-            x = step_to(x, start, g, a)
-            g.drop()
-            g, y = prob.grad(x)
-            if not math.isfinite(y):
+            p = prob.move(p, combine(1.0, "x", -a, "g"))
+            if not math.isfinite(p.loss):
                 break
             if not tr.rows:
-                tr.add(0, y, 0.5, a)
-            elif abs(tr.head["loss"] - y) > eps:
-                tr.add(tr.head["iter"] + 1, y, y / tr.head["loss"], a)
+                tr.add(0, p.loss, 0.5, a)
+            elif abs(tr.head["loss"] - p.loss) > eps:
+                tr.add(tr.head["iter"] + 1, p.loss, p.loss / tr.head["loss"], a)
             else:
                 done = True
                 break
-        g.drop()
     finally:
         prob.release()
-    return Fit(x, tr, done)
+    return Fit(p.params(), tr, done)
 
 
 def fit_gd_adaptive(prob: Problem, x: Params, a: float, eps: float, max_iter: int | None = None,
@@ -151,38 +176,28 @@ def fit_gd_adaptive(prob: Problem, x: Params, a: float, eps: float, max_iter: in
     """M5: try x − a·∇f; accept (a×1.1) if the loss falls, else a×0.8; stop
     when the shrink rate over the last ``window`` rows drops below ε.
     Rejected trials are polynomial values: no Spark job."""
-    start, tr, first = x, Trace(), a
-    done, g, c = False, None, None
+    tr, first, done, c = Trace(), a, False, None
     try:
+        p = prob.start(x)
+        tr.add(0, p.loss, 0.5, None)
         for _ in turns(max_iter):
-            if g is None:
-                g, y = prob.grad(x)
-                if tr.rows:
-                    tr.correct(y)
-                else:
-                    tr.add(0, y, 0.5, None)
-                c = prob.poly(x, g)
             if tr.shrink(window) < eps:
                 done = True
                 break
-            y = ob.poly_eval(c, a)
-            if y < tr.head["loss"]:
-                x = step_to(x, start, g, a)
-                tr.add(tr.head["iter"] + 1, y, y / tr.head["loss"], a)
-                g.drop()
-                g = None
+            if c is None:
+                c = prob.poly(p, "g")
+            if ob.poly_eval(c, a) < c[0]:
+                before = p.loss
+                p, c = prob.move(p, combine(1.0, "x", -a, "g")), None
+                tr.add(tr.head["iter"] + 1, p.loss, p.loss / before if before else 0.0, a)
                 a *= grow
             else:
                 a *= shrink_by
                 if not a > first * 1e-15:
                     break
-        if g is None:
-            tr.correct(prob.loss(x))
-        else:
-            g.drop()
     finally:
         prob.release()
-    return Fit(x, tr, done)
+    return Fit(p.params(), tr, done)
 
 
 def stationary_steps(c) -> list[float]:
@@ -209,25 +224,22 @@ def fit_gd_linesearch(prob: Problem, x: Params, eps: float = 0.001, adjust: int
     rate is below ε after an improving step.  The search takes the exact
     minimiser of the line, so it needs no starting step; every move has its row
     in the trace (Q17)."""
-    start, tr, done = x, Trace(), False
+    tr, done = Trace(), False
     a, left = None, adjust
     try:
+        p = prob.start(x)
         for _ in turns(max_iter):
-            g, y = prob.grad(x)
-            tr.correct(y)
-            c = prob.poly(x, g)
+            c = prob.poly(p, "g")
             shrink = tr.shrink(window) if tr.rows else math.inf
-            kept = a is not None and ob.poly_eval(c, a) < y
+            kept = a is not None and ob.poly_eval(c, a) < c[0]
             if not kept:
                 a, left = exact_step(c)[0], adjust
                 if not a:  # a stationary point
-                    done = math.isfinite(y)
-                    g.drop()
+                    done = math.isfinite(p.loss)
                     break
-            new = ob.poly_eval(c, a)
-            x = step_to(x, start, g, a)
-            g.drop()
-            tr.add(len(tr.rows), new, new / y if y else 0.0, a)
+            before = p.loss
+            p = prob.move(p, combine(1.0, "x", -a, "g"))
+            tr.add(len(tr.rows), p.loss, p.loss / before if before else 0.0, a)
             if kept:
                 if shrink < eps:
                     done = True
@@ -235,11 +247,9 @@ def fit_gd_linesearch(prob: Problem, x: Params, eps: float = 0.001, adjust: int
                 left -= 1
                 if not left:
                     a, left = a * grow, adjust
-        if tr.rows:
-            tr.correct(prob.loss(x))
     finally:
         prob.release()
-    return Fit(x, tr, done)
+    return Fit(p.params(), tr, done)
 
 
 # Constants of the strong Wolfe conditions, and the default number of line searches.
@@ -270,48 +280,39 @@ def fit_cg(prob: Problem, x: Params, length: int | None = CG_LENGTH, eps: float
     best point so far is returned (Q15).  ``converged``: the gradient vanished,
     or a step from −∇f changed the loss by at most ``eps`` times the loss.
     """
-    start, tr, done = x, Trace(), False
+    tr, done = Trace(), False
     try:
-        g, y = prob.grad(x)
-        tr.add(0, y, 1.0, None)
-        gg = prob.dot(g, g)
-        s, slope, plain = scale(g, -1.0).cut(), -gg, True
-        searches = turns(length)
-        for _ in searches:
-            if not gg > 0:
-                done = math.isfinite(y)
+        p = prob.start(x)
+        tr.add(0, p.loss, 1.0, None)
+        # the direction is beta·s − g, with s the direction before (none while plain)
+        beta, slope, plain = 0.0, -p.gg, True
+        for _ in turns(length):
+            if not p.gg > 0:
+                done = math.isfinite(p.loss)
                 break
             z = None
             if slope < 0:
-                c = prob.poly(x, scale(s, -1.0))
-                z = wolfe_step(c)
+                z = wolfe_step(prob.poly(p, "g" if plain else combine(-beta, "s", 1.0, "g")))
             if z is None:
                 if plain:
-                    done = math.isfinite(y)
+                    done = math.isfinite(p.loss)
                     break
-                s.drop()
-                s, slope, plain = scale(g, -1.0).cut(), -gg, True
+                beta, slope, plain = 0.0, -p.gg, True
                 continue
-            x = step_to(x, start, s, -z)
-            g0, before = g, y
-            g, y = prob.grad(x)
-            tr.add(tr.head["iter"] + 1, y, y / before if before else 0.0, z)
-            if plain and before - y <= eps * abs(before):
+            s = scaled(-1.0, "g") if plain else combine(beta, "s", -1.0, "g")
+            moved = p.rows().selectExpr("side", "id", "x", f"{s} s", "g old").selectExpr(
+                "side", "id", f"{combine(1.0, 'x', z, 's')} x", "s", "old")
+            before, p = p, prob.at(moved, ("s", "old"))
+            before.drop()
+            tr.add(tr.head["iter"] + 1, p.loss, p.loss / before.loss if before.loss else 0.0, z)
+            small = before.loss - p.loss <= eps * abs(before.loss)
+            if plain and small:
                 done = True
                 break
-            dots = ob.multi_dots({"new": (g.sides(), g.sides()), "cross": (g0.sides(), g.sides()),
-                                  "along": (s.sides(), g.sides())}, prob.k)
-            beta = max(0.0, (dots["new"] - dots["cross"]) / gg)
-            gg = dots["new"]
-            slope, plain = beta * dots["along"] - gg, beta == 0.0
-            if before - y <= eps * abs(before):  # too little along the old directions: from −∇f again
-                beta, slope, plain = 0.0, -gg, True
-            new = lin_comb(s, beta, g, -1.0).cut()
-            s.drop()
-            g0.drop()
-            s = new
-        s.drop()
-        g.drop()
+            beta = max(0.0, (p.gg - p.products["old"]) / before.gg)
+            slope, plain = beta * p.products["s"] - p.gg, beta == 0.0
+            if small:  # too little along the old directions: from −∇f again
+                beta, slope, plain = 0.0, -p.gg, True
     finally:
         prob.release()
-    return Fit(x, tr, done)
+    return Fit(p.params(), tr, done)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from latentspark.operators import objective as ob
-from latentspark.operators.blocks import LOSS, RatingBlocks, gradient_pass, half_step, poly_pass
+from latentspark.operators.blocks import LOSS, RatingBlocks, gradient_pass, half_step, loss_pass, poly_pass
 from latentspark.operators.params import Params
 from latentspark.operators.regression import gram, solve_normal_equations
 from latentspark.operators.solve import batched_solve
@@ -51,20 +51,65 @@ def test_passes_match_the_table_operators(problem, blocks):
         for i, v in to_dict(frame).items():
             assert np.allclose(got.pop((s, i)), v, atol=1e-10)
     assert set(got) == {(LOSS, 0)} and abs(got[LOSS, 0][0] - ob.loss(r, x.uf, x.vf, K, LAM, N)) < 1e-10
-    c = [v for v in poly_pass(blocks, x.table(), d.table(), K, LAM, N).first()]
+    assert abs(loss_pass(blocks, x.table(), K, LAM, N).first()["loss"] - ob.loss(r, x.uf, x.vf, K, LAM, N)) < 1e-10
+    both = x.table().withColumnRenamed("features", "x").join(d.table().withColumnRenamed("features", "d"), ["side", "id"])
+    c = [v for v in poly_pass(blocks, both, K, LAM, N).first()]
     assert np.allclose(c, ob.line_poly(r, x.uf, x.vf, d.uf, d.vf, K, LAM, N), atol=1e-10)
 
 
-def test_no_rating_moves_inside_a_loop(problem):
+def test_squared_errors_come_with_the_half_step(problem, blocks):
+    r, x, _ = problem
+    got = half_step(blocks, x.vf, "user", K, LAM, scored=True).collect()
+    v = to_dict(x.vf)
+    want = {}
+    u = {row["id"]: row["features"] for row in got}
+    for row in r.collect():
+        want[row["user"]] = want.get(row["user"], 0.0) + (row["rating"] - np.dot(u[row["user"]], v[row["item"]])) ** 2
+    assert all(abs(row["sse"] - want[row["id"]]) < 1e-9 for row in got) and len(got) == len(want)
+    got = half_step(blocks, x.uf, "item", K, LAM, scored=True).collect()         # item 0 may lie in several blocks
+    u, v = to_dict(x.uf), {row["id"]: row["features"] for row in got}
+    want = sum((row["rating"] - np.dot(u[row["user"]], v[row["item"]])) ** 2 for row in r.collect())
+    assert abs(sum(row["sse"] for row in got) - want) < 1e-8
+
+
+def test_every_block_has_its_partition_and_no_rating_moves(problem):
     r, x, _ = problem
     b = RatingBlocks.of(r, per_block=60)
-    b.rows["item"].count(), b.routes["item", "user"].count()
+    for side in ("user", "item"):
+        placed = b.rows[side].select("block", F.spark_partition_id().alias("p")).distinct().collect()
+        assert sorted(row["p"] for row in placed) == list(range(b.n_blocks)) and all(row["p"] == row["block"] for row in placed)
     plan = half_step(b, x.uf, "item", K, LAM)._jdf.queryExecution().executedPlan().toString()
-    ratings_side = plan[plan.index("FlatMapCoGroupsInPandas"):].split("Exchange")[0]
+    ratings_side = plan[plan.index("FlatMapCoGroupsInArrow"):].split("Exchange")[0]
     assert "InMemoryTableScan" in ratings_side  # the left side of the cogroup reads the layout without an exchange
+    assert "Sort" not in ratings_side.split("InMemoryRelation")[0]  # nor a sort: it is stored in order
     b.release()
 
 
+def test_messages_fall_with_the_size_of_a_block(problem):
+    r, x, _ = problem
+    sent = {}
+    for per_block in (30, 300):
+        b = RatingBlocks.of(r, per_block=per_block)
+        sent[b.n_blocks] = b.messages("user", x.table().withColumnRenamed("features", "v"), K).count()
+        b.release()
+    few, many = min(sent), max(sent)
+    assert few < many and sent[few] < sent[many]
+    assert RatingBlocks.of(r).n_blocks == 1   # as many as cores only where there is work for them
+
+
+def test_a_block_is_worked_through_in_slices(problem, monkeypatch):
+    from latentspark.operators import blocks as bl
+    r, x, _ = problem
+    whole = RatingBlocks.of(r)
+    rows = whole.rows["user"].toArrow()
+    m = whole.messages("user", x.table().withColumnRenamed("features", "v"), K).toArrow()
+    sizes = [len(p) for p, _, _ in bl._pairs(rows, m)[4]]
+    monkeypatch.setattr(bl, "SLICE", 50)
+    parts = [len(p) for p, _, _ in bl._pairs(rows, m)[4]]
+    assert len(sizes) == 1 and max(parts) <= 50 and sum(parts) == sizes[0]
+    whole.release()
+
+
 def test_a_singular_system_leaves_its_neighbours_alone():
     rng = np.random.default_rng(0)
     a = rng.normal(size=(5, 3, 3))
