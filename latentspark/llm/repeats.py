@@ -9,8 +9,9 @@ and permuted common prefixes show the strings that also start earlier.
 
 Plan:
 
-1. Segments of each text as (key, content hash, doc_id, start): copies inside
-   one batch go at once (their removed spans by document, not by key), the
+1. Segments of each text as (key, content hash, doc_id, start): of copies inside
+   one batch the first is kept and the others are spans to remove, in one
+   reading and one written table, so that the order of rows never matters.  The
    first ones are shuffled by key and sorted; equal content after the first is
    removed, and keys with several contents are listed.  Written table.
 2. The listed segments' bytes are cut out of the texts beside their documents
@@ -150,7 +151,8 @@ def batch_segments(batch: pa.RecordBatch, length: int, gram: int):
     return cols, again
 
 
-SEGMENT = pa.schema([("key", pa.int64()), ("content", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("size", pa.int64())])
+FOUND = pa.schema([("again", pa.bool_()), ("key", pa.int64()), ("content", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()),
+                   ("size", pa.int64())])
 LISTED = pa.schema([("again", pa.bool_()), ("key", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("size", pa.int64())])
 SPANS = pa.schema([("doc_id", pa.int64()), ("s", pa.int64()), ("e", pa.int64())])
 
@@ -160,39 +162,43 @@ def _slices(schema: pa.Schema, columns, size: int = 65536):
         yield pa.RecordBatch.from_arrays([pa.array(c[a:a + size]) for c in columns], schema=schema)
 
 
-def gathered(batches, rows: int = 8192, size: int = 16 << 20):
-    """Consecutive Arrow batches joined to about ``rows`` rows or ``size`` bytes, the same way on every reading."""
+def gathered(batches, rows: int, size: int = 16 << 20):
+    """Consecutive Arrow batches joined to about ``rows`` rows or ``size`` bytes, and never more than ``rows`` rows."""
     held, n, used = [], 0, 0
+
+    def whole():
+        for part in pa.Table.from_batches(held).combine_chunks().to_batches():
+            for a in range(0, part.num_rows, rows):
+                yield part.slice(a, rows)
     for b in batches:
         held.append(b)
         n, used = n + b.num_rows, used + b.nbytes
         if n >= rows or used >= size:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            yield from whole()
             held, n, used = [], 0, 0
     if n:
-        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+        yield from whole()
 
 
-def first_segments(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """Segments of every text, without those that repeat an earlier one of their batch."""
-    def run(batches):
-        for batch in gathered(batches):
-            cols, again = batch_segments(batch, length, gram)
-            if cols is not None:
-                yield from _slices(SEGMENT, [c[~again] for c in cols])
+def found_segments(docs: DataFrame, length: int, gram: int, batch_rows: int) -> DataFrame:
+    """Segments of every text; of a batch's equal ones only the first, and the others' spans (``again``), joined where they touch.
 
-    return by_batch(docs, run, "key long, content long, doc_id long, start long, size long")
-
-
-def repeated_in_batch(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """The spans that ``first_segments`` leaves out, joined where they touch."""
+    Both kinds come from one reading, and the caller writes them as one table:
+    which copy is the first depends on the batch it is met in, so rows in
+    another order, on a second reading or after a lost executor, must not
+    change one kind without the other.
+    """
     def run(batches):
-        for batch in gathered(batches):
+        for batch in gathered(batches, batch_rows):
             cols, again = batch_segments(batch, length, gram)
             if cols is not None:
-                yield from _slices(SPANS, joined_spans(cols[2][again], cols[3][again], cols[3][again] + cols[4][again]))
+                key, content, doc, start, size = (c[~again] for c in cols)
+                yield from _slices(FOUND, [np.zeros(len(key), dtype=bool), key, content, doc, start, size])
+                doc, s, e = joined_spans(cols[2][again], cols[3][again], cols[3][again] + cols[4][again])
+                none = np.zeros(len(doc), dtype=np.int64)
+                yield from _slices(FOUND, [np.ones(len(doc), dtype=bool), none, none, doc, s, e - s])
 
-    return by_batch(docs, run, "doc_id long, s long, e long")
+    return by_batch(docs, run, "again boolean, key long, content long, doc_id long, start long, size long")
 
 
 def joined_spans(doc: np.ndarray, s: np.ndarray, e: np.ndarray):
@@ -338,15 +344,16 @@ def repeated_strings(bytes_of: DataFrame, length: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, max_segments: int = 50_000,
-                   chunk_bytes: int = 4 << 20) -> DataFrame:
+                   chunk_bytes: int = 4 << 20, batch_rows: int = 8192) -> DataFrame:
     """Per row of ``docs(doc_id, text)``: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed`` (the spans, end exclusive)."""
     docs, own = numbered(docs)
     texts = docs.select("doc_id", "text")
-    listed = cut(list_repeats(first_segments(texts, length, gram)))
+    found = cut(found_segments(texts, length, gram, batch_rows))
+    listed = cut(list_repeats(found.filter("NOT again").drop("again")))
     contents = listed.filter("NOT again").drop("again")
     hot = contents.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > max_segments).select("key")
-    spans = repeated_in_batch(texts, length, gram).unionByName(
-        listed.filter("again").select("doc_id", F.col("start").alias("s"), (F.col("start") + F.col("size")).alias("e")))
+    spans = found.select("again", "doc_id", "start", "size").unionByName(listed.select("again", "doc_id", "start", "size")).filter(
+        "again").select("doc_id", F.col("start").alias("s"), (F.col("start") + F.col("size")).alias("e"))
     if hot.limit(1).count():
         spans = spans.unionByName(repeated_strings(cut_out(texts, contents.join(hot, "key", "left_semi")), length))
         contents = contents.join(hot, "key", "left_anti")

@@ -172,6 +172,28 @@ def test_repeats_match_brute_force(spark, options):
     assert got == brute_repeats(rows, options.get("length", 100))
 
 
+def test_repeats_do_not_depend_on_the_order_of_rows(spark):
+    """The input's rows come in another order on every evaluation, as after a shuffle that is computed again."""
+    rng = np.random.default_rng(6)
+    passages = ["".join(rng.choice(list("abcdefghij "), 140)) for _ in range(6)]
+    rows = [(d, "".join(passages[k] if rng.random() < 0.6 else "".join(rng.choice(list("klmnop "), 30))
+                        for k in rng.integers(0, 6, 4))) for d in range(240)]
+
+    def permuted(batches):
+        import pyarrow as pa
+        table = pa.Table.from_batches(list(batches))
+        if table.num_rows:
+            order = np.random.default_rng().permutation(table.num_rows)
+            yield from table.take(pa.array(order)).combine_chunks().to_batches()
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2, "doc_id").mapInArrow(permuted, "doc_id long, text string")
+    want = brute_repeats(rows, 100)
+    assert any(v[1] for v in want.values())
+    for _ in range(2):
+        got = {r["doc_id"]: tuple(r)[1:5] for r in repeats.remove_repeats(docs, batch_rows=7).collect()}
+        assert got == want
+
+
 def test_repeats_across_the_cuts_of_a_long_text(monkeypatch):
     rng = random.Random(1)
     t = "".join(rng.choice("abcdefg") for _ in range(6000)).encode()
