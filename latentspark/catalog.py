@@ -809,15 +809,19 @@ def q_s4_save_load(spark, d):
 
 @register("s6_fit_or_load", with_sql(R_ORD_SQL, DET_SQL) + """
 SELECT id, round(f0, 6) AS f0, round(f1, 6) AS f1, true AS reused FROM vf
-UNION ALL SELECT MAX(item) + 1, 0.0e0, 0.0e0, false FROM r""")
+UNION ALL SELECT MAX(item) + 1, CAST(COUNT(DISTINCT "user") AS DOUBLE), 0.0e0, false FROM r""")
 def q_s6_fit_or_load(spark, d):
-    """A stored model is reused as it is; without one the library trains, and its item ids reach the largest one."""
+    """A stored model is reused as it is; without one the library trains: its item ids reach the largest one, it has a vector
+    for every rated user (f0), and none of them misses its optimality conditions (f1)."""
+    from .operators.optimality import nnls_violations
     from .plans.model import fit_or_load
     back, path, r = _stored(spark, d)
     again = fit_or_load(r, path, reuse=True)
     new = fit_or_load(r, path + "-new", reuse=True, rank=2)
-    n = new.item_factors.agg((F.max("id") + 1).alias("id")).select("id", F.lit(0.0).alias("f0"), F.lit(0.0).alias("f1"),
-                                                                  F.lit(new.meta["version"] == back.meta["version"]).alias("reused"))
+    far = nnls_violations(r, new.user_factors, new.item_factors, "user", "item", 2, LAM).agg(
+        F.count(F.lit(1)).cast("double").alias("f0"), F.count_if(~(F.col("violation") <= ROUNDING * F.col("scale"))).cast("double").alias("f1"))
+    n = new.item_factors.agg((F.max("id") + 1).alias("id")).join(F.broadcast(far)).select(
+        "id", "f0", "f1", F.lit(new.meta["version"] == back.meta["version"]).alias("reused"))
     return again.item_factors.select("id", *_flat2(None), F.lit(again.meta["version"] == back.meta["version"]).alias("reused")).unionByName(n)
 
 

@@ -34,12 +34,6 @@ def sq_norm(f, k: int | None = None) -> Column:
     return dot(f, f, k)
 
 
-def axpy(x, d, z) -> Column:
-    """V2 ``x + z·d`` elementwise (``z`` a number or a Column)."""
-    z = z if isinstance(z, Column) else F.lit(float(z))
-    return F.zip_with(_c(x), _c(d), lambda p, q: p + z * q)
-
-
 def vec_sub(f, g) -> Column:
     """V3 elementwise difference."""
     return F.zip_with(_c(f), _c(g), lambda p, q: p - q)

@@ -23,7 +23,7 @@ do not count.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from math import ceil
+from math import ceil, isfinite
 
 import numpy as np
 import pyarrow as pa
@@ -254,7 +254,8 @@ def dot_sql(p: str, q: str, k: int) -> str:
 
 def number(x: float) -> str:
     """A double literal."""
-    return f"({float(x)!r}D)"
+    x = float(x)
+    return f"({x!r}D)" if isfinite(x) else f"double('{x}')"
 
 
 LOSS = -1

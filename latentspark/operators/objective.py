@@ -131,22 +131,6 @@ def param_dots_frame(a, b, k: int) -> DataFrame:
     return parts[0].unionByName(parts[1]).agg(F.sum("v").alias("dot"))
 
 
-def multi_dots(pairs: dict[str, tuple[tuple[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]],
-               k: int) -> dict[str, float]:
-    """Several A10 inner products in one job (all dots of a CG iteration)."""
-    frames = []
-    for name, (a, b) in pairs.items():
-        for fa, fb in zip(a, b):
-            j = fa.select("id", F.col("features").alias("x")).join(
-                fb.select("id", F.col("features").alias("y")), "id")
-            frames.append(j.select(F.lit(name).alias("term"), dot("x", "y", k).alias("v")))
-    u = frames[0]
-    for f in frames[1:]:
-        u = u.unionByName(f)
-    row = u.groupBy().agg(*[F.sum(F.when(F.col("term") == n, F.col("v"))).alias(n) for n in pairs]).first()
-    return {n: float(row[n] or 0.0) for n in pairs}
-
-
 # ---------------------------------------------------------------- line polynomial
 def _state(factors: DataFrame, direction: DataFrame) -> DataFrame:
     return factors.select("id", F.col("features").alias("x")).join(

@@ -73,7 +73,8 @@ def fit_als(ratings: DataFrame, rank: int = 10, eps: float = 0.001, lam: float =
     def written(f: DataFrame, *sums) -> tuple[DataFrame, list[float]]:
         seen = Observation()
         table = cut(f.observe(seen, *[F.sum(c).alias(f"s{i}") for i, c in enumerate(sums)]))
-        return table, [float(seen.get[f"s{i}"] or 0.0) for i in range(len(sums))]
+        found = seen.get
+        return table, [float(found.get(f"s{i}") or 0.0) for i in range(len(sums))]
 
     try:
         while not done and (max_iter is None or len(tr.rows) < max_iter):
@@ -82,7 +83,7 @@ def fit_als(ratings: DataFrame, rank: int = 10, eps: float = 0.001, lam: float =
             uf, (uu, sse) = written(half_step(blocks, vf, "user", rank, lam, scored=True), square, F.col("sse"))
             drop_cut(old_u)
             drop_cut(old_v)
-            y = 0.5 * (sse + lam * (uu + vv)) / blocks.n_ratings
+            y = 0.5 * (sse + lam * (uu + vv)) / max(blocks.n_ratings, 1)
             tr.add(len(tr.rows), y, y / prev if prev else 0.5, None)
             done = prev is not None and not (y + eps < prev)
             prev = y
