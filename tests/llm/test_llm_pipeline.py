@@ -36,3 +36,51 @@ def test_stages_take_effect(spark):
     placed = corpus_pipeline.STAGES[-1][1](spark, docs, SF001)
     assert placed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
     assert placed.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 1024").count() == 0
+
+
+def _folder(spark, tmp, docs):
+    path = f"{tmp}/sf"
+    docs.write.parquet(f"{path}/documents.parquet")
+    table(spark, SF001, "labels").write.parquet(f"{path}/labels.parquet")
+    return path
+
+
+def test_stages_on_nulls_repeats_long_texts_and_clashing_columns(spark, tmpdir_fresh):
+    base = table(spark, SF001, "documents")
+    letters = str.maketrans("0123456789", "abcdefghij")
+    clean = " ".join(f"word{i} and{i * 7} the{i * 13}".translate(letters) for i in range(60))
+    very_long = " ".join(f"w{i}x{(i * 7919) % 10_007}".translate(letters) for i in range(20_000))
+    hard = spark.createDataFrame(
+        [(9001, None, None, None, None), (9002, "", "en", "s", 0), (None, clean + " alpha", None, "s", 5), (9003, clean + " beta gamma delta epsilon zeta", "en", "s", 9),
+         (9003, clean + " beta gamma delta epsilon zeta", "en", "s", 9), (9004, very_long, "en", "s", len(very_long)), (9005, " \t\n", "en", None, 3)], base.schema)
+    extra = ("deal", "s", "mix", "quality_stats", "label_id", "domain", "words", "key", "kept", "component_id", "spans", "d")
+    docs = base.unionByName(hard).select("*", *[F.concat(F.lit(f"{c}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(c) for c in extra])
+    path = _folder(spark, tmpdir_fresh, docs)
+    docs = table(spark, path, "documents")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, docs = docs, cut(stage(spark, docs, path))
+        assert docs.columns == columns, name
+        rows = docs.select("doc_id", "text", *extra).collect()
+        # further columns keep their values and stay with their rows
+        assert all(r[c] == f"{c}-{'none' if r['doc_id'] is None else r['doc_id']}" for r in rows for c in extra), name
+        ids = [r["doc_id"] for r in rows]
+        assert set(ids) <= {r["doc_id"] for r in before.select("doc_id").collect()}, name
+        if name == "quality rules":
+            # no words: rejected by the base rule; the clean ones stay, repeated rows each on its own
+            assert not {9001, 9002, 9005} & set(ids) and ids.count(9003) == 2 and {None, 9004} <= set(ids)
+        if name == "MinHash near-dedup":
+            assert ids.count(9003) + ids.count(None) >= 1 and 9004 in ids
+    placed = corpus_pipeline.STAGES[-1][1](spark, docs, path)
+    assert placed.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 1024").count() == 0
+    assert placed.filter("doc_id = 9004").count() > 1 or docs.filter("doc_id = 9004").count() == 0
+
+
+def test_stages_on_empty_tables(spark, tmpdir_fresh):
+    path = _folder(spark, tmpdir_fresh, table(spark, SF001, "documents").limit(0))
+    docs = table(spark, path, "documents")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = cut(stage(spark, docs, path))
+        assert after.columns == docs.columns and after.count() == 0, name
+        docs = after
+    assert corpus_pipeline.run(spark, path).count() == 0
