@@ -118,3 +118,30 @@ def test_a_singular_system_leaves_its_neighbours_alone():
     g2, b2 = np.concatenate([g, -0.5 * np.eye(3)[None]]), np.concatenate([b, np.ones((1, 3))])
     with_singular = batched_solve(g2, b2, 0.5)
     assert np.array_equal(alone, with_singular[:5]) and np.allclose(with_singular[5], 0)
+
+
+def test_a_grid_sends_fewer_messages_and_gives_the_same_sums(problem):
+    from latentspark.operators.blocks import grid_shape
+    r, x, d = problem
+    assert grid_shape(12, 10**6, 10**5, 100) == (12, 1)             # few items: by user
+    p, q = grid_shape(106, 212_000_000, 3_600_000, 7_200_000, more=True)
+    assert min(p, q) > 4 and 106 <= p * q <= 119
+    sent, sums = {}, {}
+    both = x.table().withColumnRenamed("features", "x").join(d.table().withColumnRenamed("features", "d"), ["side", "id"])
+    for side in ("user", "grid"):
+        for hot in (50_000, 7):
+            b = RatingBlocks.of(r, per_block=10, hot=hot, sides=(side,))
+            assert b.both == side and b.rows[side].count() == r.count()
+            sent[side] = sent.get(side, 0) + b.messages(side, x.table().withColumnRenamed("features", "v"), K).count()
+            g = {(row["side"], row["id"]): row["features"] for row in gradient_pass(b, x.table(), K, LAM, N).collect()}
+            # vectors that carry their blocks need no join with the routes
+            carried = b.routed(side, both)
+            point = carried.selectExpr("side", "id", "x v", "blocks").localCheckpoint()
+            assert "Join" not in b.messages(side, point, K)._jdf.queryExecution().executedPlan().toString()
+            sums[side, hot] = g, list(poly_pass(b, carried, K, LAM, N).first()), loss_pass(b, x.table(), K, LAM, N).first()["loss"]
+            b.release()
+    assert sent["grid"] < sent["user"]
+    g, c, loss = sums["user", 50_000]
+    for g2, c2, loss2 in sums.values():
+        assert g.keys() == g2.keys() and all(np.allclose(g[i], g2[i], atol=1e-10) for i in g)
+        assert np.allclose(c, c2, atol=1e-10) and abs(loss - loss2) < 1e-10
