@@ -5,7 +5,7 @@ class sequence and predicts the next class; within a class, words have their
 share of the corpus counts, and each class of rare words keeps a discounted
 share for one unknown word, so the probabilities of all words sum to one.
 
-Classes: documents of a bounded sample are grouped by their frequent words; a
+Classes: all training documents are grouped by their frequent words; a
 frequent word (at most ``max_words``, broadcast) belongs to the group in which
 it is most over-represented and to a band of equal mass there; rare words fall
 into classes by their shape, which needs no table; the end is a class.
@@ -42,8 +42,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from latentspark.llm.common import batched, by_batch, hash_sample, numbered, rows_of, word_list
-from latentspark.session import cut
+from latentspark.llm.common import batched, by_batch, numbered, rows_of, word_list
+from latentspark.session import cut, drop_cut
 
 GROUPS, BANDS, SHAPES = 8, 8, 8
 END = GROUPS * BANDS + SHAPES
@@ -282,40 +282,76 @@ class Words:
     discount: float
 
 
-def document_groups(train: DataFrame, max_docs: int = 4000, max_marks: int = 300, steps: int = 20, seed: int = 3):
-    """(marks, centres): frequent words and the group centres over them, from at most ``max_docs`` documents (smallest hash)."""
-    picked = hash_sample(train.select("doc_id"), "doc_id", max_docs, seed)
-    sample = cut(train.join(F.broadcast(picked.select("doc_id")), "doc_id").select("doc_id", "text"))
+def document_groups(train: DataFrame, max_marks: int = 300, steps: int = 20, seed: int = 3, flush: int = 200_000):
+    """(marks, centres): the words in most documents, and the centres of document groups over them, from all of ``train``.
 
+    Counts, starts and steps are jobs over every document; the driver holds ``max_marks`` words and the centres.
+    """
     def distinct(batches):
-        yield from batched(((w,) for _, t in rows_of(batches) for w in set(word_list(t))), pa.schema([("w", pa.binary())]), 65536)
-
-    top = (by_batch(sample, distinct, "w binary").groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w")
-           .limit(max_marks).collect())
+        held = Counter()
+        for _, text in rows_of(batches):
+            held.update(set(word_list(text)))
+            if len(held) >= flush:
+                yield from batched(iter(held.items()), FOUND, 65536)
+                held = Counter()
+        yield from batched(iter(held.items()), FOUND, 65536)
+
+    top = (by_batch(train.select("doc_id", "text"), distinct, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n"))
+           .orderBy(F.desc("n"), "w").limit(max_marks).collect())
     marks = {bytes(r["w"]): i for i, r in enumerate(top)}
     if not marks:
         return marks, np.zeros((1, 0), dtype=np.float32)
 
     def vectors(batches):
-        yield from batched(((d, mark_vector(word_list(t), marks).tolist()) for d, t in rows_of(batches)),
-                           pa.schema([("doc_id", pa.int64()), ("x", pa.list_(pa.float32()))]), 512)
-
-    rows = by_batch(sample, vectors, "doc_id long, x array<float>").toPandas().sort_values("doc_id")
-    x = np.stack(rows["x"].to_numpy()).astype(np.float32)
-    rng = np.random.default_rng(seed)
-    centres = x[rng.integers(len(x), size=1)]
-    while len(centres) < min(GROUPS, len(x)):  # spread-out starts
-        far = 1 - (x @ centres.T).max(axis=1)
-        centres = np.concatenate([centres, x[[int(np.argmax(far))]]])
+        yield from batched(((d, mark_vector(word_list(t), marks).tobytes()) for d, t in rows_of(batches)),
+                           pa.schema([("doc_id", pa.int64()), ("x", pa.binary())]), 512)
+
+    rows = cut(by_batch(train.select("doc_id", "text"), vectors, "doc_id long, x binary"))
+    matrix = lambda column: np.frombuffer(b"".join(column.to_pylist()), dtype=np.float32).reshape(-1, len(marks))
+    first = rows.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(1).first()
+    centres = np.frombuffer(bytes(first["x"]), dtype=np.float32)[None].copy()
+    while len(centres) < GROUPS:  # spread-out starts
+        def farthest(batches, centres=centres):
+            best = None
+            for b in batches:
+                far = np.round(1 - (matrix(b.column(1)) @ centres.T).max(axis=1).astype(np.float64), 6)
+                for i in np.flatnonzero(far == far.max()).tolist() if len(far) else ():
+                    mine = (-float(far[i]), b.column(0)[i].as_py(), b.column(1)[i].as_py())
+                    best = mine if best is None or mine < best else best
+            if best is not None:
+                yield from batched([best], pa.schema([("near", pa.float64()), ("doc_id", pa.int64()), ("x", pa.binary())]))
+
+        last = by_batch(rows, farthest, "near double, doc_id long, x binary").orderBy("near", "doc_id").limit(1).first()
+        if not last["near"] < 0:  # no document lies away from the centres so far
+            break
+        centres = np.concatenate([centres, np.frombuffer(bytes(last["x"]), dtype=np.float32)[None]])
     for _ in range(steps):
-        own = (x @ centres.T).argmax(axis=1)
-        for g in range(len(centres)):
-            if (own == g).any():
-                c = x[own == g].sum(axis=0)
-                centres[g] = c / max(float(np.linalg.norm(c)), 1e-12)
+        def sums(batches, centres=centres):
+            total = np.zeros(centres.shape)
+            for b in batches:
+                x = matrix(b.column(1))
+                own = (x @ centres.T).argmax(axis=1)
+                for g in np.unique(own).tolist():
+                    total[g] += x[own == g].sum(axis=0, dtype=np.float64)
+            g, i = np.nonzero(total)
+            yield from batched(zip(g.tolist(), i.tolist(), total[g, i].tolist()),
+                               pa.schema([("g", pa.int32()), ("i", pa.int32()), ("s", pa.float64())]), 65536)
+
+        # at most one number for each centre and mark reaches the driver
+        found = by_batch(rows, sums, "g int, i int, s double").groupBy("g", "i").agg(F.sum("s").alias("s")).toPandas()
+        total = np.zeros(centres.shape)
+        total[found["g"], found["i"]] = found["s"]
+        size = np.linalg.norm(total, axis=1, keepdims=True)
+        before, centres = centres, np.where(size > 0, total / np.maximum(size, 1e-12), centres).astype(np.float32)
+        if np.allclose(before, centres, atol=1e-6):
+            break
+    drop_cut(rows)
     return marks, centres
 
 
+FOUND = pa.schema([("w", pa.binary()), ("n", pa.int64())])
+
+
 def mark_vector(words: list[bytes], marks: dict[bytes, int]) -> np.ndarray:
     x = np.zeros(len(marks), dtype=np.float32)
     for w, n in Counter(filter(marks.__contains__, words)).items():

@@ -428,3 +428,26 @@ def test_language_model_edge_cases(spark):
     out = lm.score_documents(spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, score int"), max_words=2).collect()
     assert sorted(r["n_tokens"] for r in out) == [1, 1, 2, 3, 4, 4] and all(np.isfinite(r["score"]) for r in out)
     assert lm.score_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_document_groups_read_every_document(spark):
+    # more documents than a bounded sample would hold; marks and centres are those of the whole
+    texts = [f"{'red green' if d % 3 else 'cold warm'} w{d % 50}" for d in range(5000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    marks, centres = lm.document_groups(docs, max_marks=4, steps=30)
+    count = Counter(w.encode() for t in texts for w in set(t.split()))
+    assert list(marks) == [w for w, _ in sorted(count.items(), key=lambda c: (-c[1], c[0]))[:4]]
+    given = {lm.mark_vector(t.encode().split(), marks).tobytes() for t in texts}
+    own = {x: int((centres @ np.frombuffer(x, dtype=np.float32)).argmax()) for x in given}
+    for g in set(own.values()):
+        mean = sum((lm.mark_vector(t.encode().split(), marks).astype(float) for t in texts
+                    if own[lm.mark_vector(t.encode().split(), marks).tobytes()] == g), np.zeros(4))
+        assert np.allclose(centres[g], mean / np.linalg.norm(mean), atol=1e-5)
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+    lm.document_groups(docs.mapInArrow(seen, docs.schema), max_marks=4, steps=1)
+    assert reads.value == 2 * len(texts)   # counted, then made vectors: no document is left out
