@@ -308,13 +308,23 @@ def document_groups(train: DataFrame, max_marks: int = 300, steps: int = 20, see
 
     rows = cut(by_batch(train.select("doc_id", "text"), vectors, "doc_id long, x binary"))
     matrix = lambda column: np.frombuffer(b"".join(column.to_pylist()), dtype=np.float32).reshape(-1, len(marks))
-    first = rows.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(1).first()
+    # the first centre is a random document by its place among the ids: one count a range, then the place in one range
+    ranged = cut(rows.select("doc_id").repartitionByRange("doc_id").select("doc_id", F.spark_partition_id().alias("part")))
+    sizes = sorted((r["part"], r["n"]) for r in ranged.groupBy("part").agg(F.count("*").alias("n")).collect())
+    place = int(np.random.default_rng(seed).integers(sum(n for _, n in sizes), size=1)[0])
+    for part, n in sizes:
+        if place < n:
+            break
+        place -= n
+    chosen = ranged.filter(F.col("part") == part).orderBy("doc_id").offset(place).first()["doc_id"]
+    first = rows.filter(F.col("doc_id") == chosen).first()
+    drop_cut(ranged)
     centres = np.frombuffer(bytes(first["x"]), dtype=np.float32)[None].copy()
     while len(centres) < GROUPS:  # spread-out starts
         def farthest(batches, centres=centres):
             best = None
             for b in batches:
-                far = np.round(1 - (matrix(b.column(1)) @ centres.T).max(axis=1).astype(np.float64), 6)
+                far = 1 - (matrix(b.column(1)) @ centres.T).max(axis=1)
                 for i in np.flatnonzero(far == far.max()).tolist() if len(far) else ():
                     mine = (-float(far[i]), b.column(0)[i].as_py(), b.column(1)[i].as_py())
                     best = mine if best is None or mine < best else best
