@@ -12,11 +12,11 @@ into classes by their shape, which needs no table; the end is a class.
 
 Plan:
 
-1. Counts of all training tokens, by word and group: counted per task, then
-   one aggregate.  This is what the model knows of words, over the whole corpus.
-2. Every text is split once: a written table holds each document's class
-   sequence (a byte a token), the sums of its frequent words, and its rare words
-   as counted rows.
+1. Counts of all training tokens by word, and of the documents that have it: counted per task, then one aggregate.  This is
+   what the model knows of words, over the whole corpus.  The groups come from vectors of the words in most documents; the
+   frequent words' tokens by group are one more count.
+2. A written table holds each document's class sequence (a byte a token), the
+   sums of its frequent words, and its rare words as counted rows.
 3. Training in ``deals`` rounds: every task starts from the same weights, runs
    truncated back-propagation over the documents of the round (one of ``deals``
    parts of the training documents, by hash of the id) and returns its weights,
@@ -34,15 +34,14 @@ empty table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame, functions as F
 
-from latentspark.llm.common import batched, by_batch, numbered, rows_of, word_list
+from latentspark.llm.common import batched, by_batch, numbered, rows_of
 from latentspark.session import cut, drop_cut
 
 GROUPS, BANDS, SHAPES = 8, 8, 8
@@ -86,44 +85,40 @@ def start_weights(class_mass: np.ndarray, seed: int = 5) -> np.ndarray:
     return flat
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    np.negative(x, out=x)
-    np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
-
-
 def forward(w: dict, inputs: np.ndarray, state: np.ndarray, keep: dict | None = None):
     """States after each of the (steps, rows) inputs, and the last one; ``keep`` gets what back-propagation needs.
 
-    Inside, arrays are (values, rows), so that gates and candidates are whole blocks of memory.
+    Inside, arrays are (values, rows), so that gates and candidates are whole blocks of memory.  The weights of the gates are
+    negated once, so that a gate is 1 / (1 + exp of its sum); every step writes into memory that ``keep`` holds.
     """
-    steps, h = len(inputs), state.shape[1]
-    x = np.ascontiguousarray(w["x"][inputs].transpose(0, 2, 1))
-    joint = np.concatenate([w["u"], w["c"]], axis=1).T.copy()
+    steps, h, rows = len(inputs), state.shape[1], inputs.shape[1]
+    table = w["x"].copy()
+    np.negative(table[:, :2 * h], out=table[:, :2 * h])
+    x = np.ascontiguousarray(table[inputs].transpose(0, 2, 1))
+    joint = np.concatenate([-w["u"], w["c"]], axis=1).T.copy()
     bias = w["b"][:, None]
-    s = state.T.copy()
-    states = np.empty((steps, h, inputs.shape[1]), dtype=np.float32)
-    if keep is not None:
-        keep.update(before=np.empty_like(states), gates=np.empty((steps, 2 * h, inputs.shape[1]), dtype=np.float32),
-                    inner=np.empty_like(states), new=np.empty_like(states))
+    states = np.empty((steps + 1, h, rows), dtype=np.float32)
+    states[0] = state.T
+    held = steps if keep is not None else 1
+    sums, new = np.empty((held, 3 * h, rows), dtype=np.float32), np.empty((held, h, rows), dtype=np.float32)
     for t in range(steps):
-        m = joint @ s
-        g = m[:2 * h]
-        g += x[t, :2 * h]
-        _sigmoid(g)
-        inner = m[2 * h:]
+        m, n, s, after, given = sums[t % held], new[t % held], states[t], states[t + 1], x[t]
+        np.matmul(joint, s, out=m)
+        g, inner = m[:2 * h], m[2 * h:]
+        g += given[:2 * h]
+        np.exp(g, out=g)
+        g += 1
+        np.reciprocal(g, out=g)
         inner += bias
-        n = g[h:] * inner
-        n += x[t, 2 * h:]
+        np.multiply(g[h:], inner, out=n)
+        n += given[2 * h:]
         np.tanh(n, out=n)
-        if keep is not None:
-            keep["before"][t], keep["gates"][t], keep["inner"][t], keep["new"][t] = s, g, inner, n
-        s = s - n
-        s *= g[:h]
-        s += n
-        states[t] = s
-    return states.transpose(0, 2, 1), s.T
+        np.subtract(s, n, out=after)
+        after *= g[:h]
+        after += n
+    if keep is not None:
+        keep.update(before=states[:-1], gates=sums[:, :2 * h], inner=sums[:, 2 * h:], new=new)
+    return states[1:].transpose(0, 2, 1), states[-1].T
 
 
 def log_softmax(x: np.ndarray) -> np.ndarray:
@@ -131,10 +126,16 @@ def log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=-1, keepdims=True))
 
 
-def shares(states: np.ndarray, w: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Unnormalised class shares of flat ``states`` and their sums: one exponential per class, in place."""
-    x = states @ w["o"]
-    x += w["p"]
+def with_one(states: np.ndarray) -> np.ndarray:
+    """Flat states with a column of ones, which carries the output's bias through the same product."""
+    flat = np.ones((states.shape[0] * states.shape[1], states.shape[2] + 1), dtype=np.float32)
+    flat[:, :-1].reshape(states.shape)[:] = states
+    return flat
+
+
+def shares(flat: np.ndarray, w: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Unnormalised class shares of ``with_one(states)`` and their sums: one exponential per class, in place."""
+    x = flat @ np.concatenate([w["o"], w["p"][None]])
     # states lie within -1 and 1, so this bounds every entry; only large weights need the shift by the row's maximum
     if float(np.abs(w["o"]).sum(axis=0).max() + np.abs(w["p"]).max()) > 60:
         x -= x.max(axis=1, keepdims=True)
@@ -147,7 +148,7 @@ def gradient(w: dict, inputs: np.ndarray, targets: np.ndarray, live: np.ndarray,
     h, rows = state.shape[1], inputs.shape[1]
     keep: dict = {}
     states, last = forward(w, inputs, state, keep)
-    flat_states = states.reshape(-1, h)
+    flat_states = with_one(states)
     total = max(float(live.sum()), 1.0)
     d, sums = shares(flat_states, w)
     weight = (live.ravel() / total).astype(np.float32)
@@ -155,8 +156,8 @@ def gradient(w: dict, inputs: np.ndarray, targets: np.ndarray, live: np.ndarray,
     d[np.arange(len(d)), targets.ravel()] -= weight
     g = np.zeros(sum(int(np.prod(s)) for _, s in _sizes()), dtype=np.float32)
     gw = unpack(g)
-    gw["o"][:] = flat_states.T @ d
-    gw["p"][:] = d.sum(axis=0)
+    outward = flat_states.T @ d
+    gw["o"][:], gw["p"][:] = outward[:-1], outward[-1]
     ds = np.ascontiguousarray((d @ w["o"].T).reshape(-1, rows, h).transpose(0, 2, 1))
     before, z, r, n = keep["before"], keep["gates"][:, :h], keep["gates"][:, h:], keep["new"]
     # what a change of the state does to the candidate, the update gate and the reset gate, for the whole window
@@ -165,28 +166,28 @@ def gradient(w: dict, inputs: np.ndarray, targets: np.ndarray, live: np.ndarray,
     to_r = keep["inner"] * r * (1 - r)
     back = np.concatenate([w["u"], w["c"]], axis=1)
     carry = np.zeros((h, rows), dtype=np.float32)
-    candidate = np.empty_like(to_n)
-    joint = np.empty((len(inputs), 3 * h, rows), dtype=np.float32)
+    # by step: changes of the update gate, the reset gate, the inner sum and the candidate
+    joint = np.empty((len(inputs), 4 * h, rows), dtype=np.float32)
     for t in range(len(inputs) - 1, -1, -1):
-        dh = ds[t]
+        dh, j = ds[t], joint[t]
         dh += carry
-        dn = np.multiply(dh, to_n[t], out=candidate[t])
-        j = joint[t]
+        dn = np.multiply(dh, to_n[t], out=j[3 * h:])
         np.multiply(dh, to_z[t], out=j[:h])
         np.multiply(dn, to_r[t], out=j[h:2 * h])
-        np.multiply(dn, r[t], out=j[2 * h:])
-        carry = back @ j
+        np.multiply(dn, r[t], out=j[2 * h:3 * h])
+        np.matmul(back, j[:3 * h], out=carry)
         dh *= z[t]
         carry += dh
-    flat = lambda a: a.transpose(0, 2, 1).reshape(-1, a.shape[1])
-    joint, candidate = flat(joint), flat(candidate)
-    inward = flat(before).T @ joint
+    joint = joint.transpose(0, 2, 1).reshape(-1, 4 * h)
+    inward = before.transpose(0, 2, 1).reshape(-1, h).T @ joint[:, :3 * h]
     gw["u"][:], gw["c"][:] = inward[:, :2 * h], inward[:, 2 * h:]
-    gw["b"][:] = joint[:, 2 * h:].sum(axis=0)
-    by = np.argsort(inputs.ravel().astype(np.uint8), kind="stable")
-    seen, starts = np.unique(inputs.ravel()[by], return_index=True)
-    gw["x"][seen, :2 * h] = np.add.reduceat(joint[by, :2 * h], starts, axis=0)
-    gw["x"][seen, 2 * h:] = np.add.reduceat(candidate[by], starts, axis=0)
+    gw["b"][:] = joint[:, 2 * h:3 * h].sum(axis=0)
+    given = inputs.ravel().astype(np.uint8)
+    by = np.argsort(given, kind="stable")
+    given = given[by]
+    starts = np.concatenate([[0], np.flatnonzero(given[1:] != given[:-1]) + 1])
+    added = np.add.reduceat(joint[by], starts, axis=0)
+    gw["x"][given[starts], :2 * h], gw["x"][given[starts], 2 * h:] = added[:, :2 * h], added[:, 3 * h:]
     return g, last
 
 
@@ -249,7 +250,7 @@ def train_on(flat: np.ndarray, sequences, rows: int = 64, rate: float = 0.01) ->
     return flat, seen
 
 
-def class_scores(flat: np.ndarray, sequences, rows: int = 64):
+def class_scores(flat: np.ndarray, sequences, rows: int = 256):
     """Natural log probability of the class sequence of each document, by document."""
     w = unpack(flat.astype(np.float32))
     state = np.zeros((rows, HIDDEN), dtype=np.float32)
@@ -259,7 +260,7 @@ def class_scores(flat: np.ndarray, sequences, rows: int = 64):
         used = int(live.any(axis=1).sum())
         at = np.flatnonzero(live[0])  # rows that still hold a document
         states, state[at] = forward(w, inputs[:used, at], state[at])
-        x, sums = shares(states.reshape(-1, HIDDEN), w)
+        x, sums = shares(with_one(states), w)
         hit = x[np.arange(len(x)), targets[:used, at].ravel()]
         said = np.log(np.maximum(hit, 1e-37) / sums).reshape(used, -1).astype(np.float64) * live[:used, at]
         for i, s in zip(at.tolist(), said.sum(axis=0).tolist()):
@@ -282,34 +283,59 @@ class Words:
     discount: float
 
 
-def document_groups(train: DataFrame, max_marks: int = 300, steps: int = 20, seed: int = 3, flush: int = 200_000):
+def split_words(column) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(document of each word, number of each word, the distinct words) of a column of texts.
+
+    The words are those of ``word_list``; a word is compared with a table once a batch, not once a token.
+    """
+    lists = pa.compute.ascii_split_whitespace(pa.compute.ascii_lower(pa.compute.fill_null(column, "")))
+    words = lists.flatten()
+    doc = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    full = pa.compute.greater(pa.compute.binary_length(words), 0)  # a blank at an end of a text leaves an empty string
+    if not pa.compute.all(full).as_py():
+        words, doc = words.filter(full), doc[full.to_numpy(zero_copy_only=False)]
+    coded = words.dictionary_encode()
+    return doc, coded.indices.to_numpy().astype(np.int64), coded.dictionary.cast(pa.binary())
+
+
+def places(words: pa.Array, known: pa.Array) -> np.ndarray:
+    """Position of each of ``words`` in ``known``, -1 where it is not there."""
+    return pa.compute.fill_null(pa.compute.index_in(words, value_set=known), -1).to_numpy().astype(np.int64)
+
+
+def document_groups(train: DataFrame, max_marks: int = 300, steps: int = 20, seed: int = 3, counts: DataFrame | None = None):
     """(marks, centres): the words in most documents, and the centres of document groups over them, from all of ``train``.
 
-    Counts, starts and steps are jobs over every document; the driver holds ``max_marks`` words and the centres.
+    ``counts``: ``word_counts(train)``, if at hand.  Counts, starts and steps are jobs over every document; the driver holds
+    ``max_marks`` words and the centres.  The vectors of a batch of documents are one row of bytes, since every step reads them.
     """
-    def distinct(batches):
-        held = Counter()
-        for _, text in rows_of(batches):
-            held.update(set(word_list(text)))
-            if len(held) >= flush:
-                yield from batched(iter(held.items()), FOUND, 65536)
-                held = Counter()
-        yield from batched(iter(held.items()), FOUND, 65536)
-
-    top = (by_batch(train.select("doc_id", "text"), distinct, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "w").limit(max_marks).collect())
+    counts = word_counts(train) if counts is None else counts
+    top = counts.select("w", "docs").orderBy(F.desc("docs"), "w").limit(max_marks).collect()
     marks = {bytes(r["w"]): i for i, r in enumerate(top)}
     if not marks:
         return marks, np.zeros((1, 0), dtype=np.float32)
 
     def vectors(batches):
-        yield from batched(((d, mark_vector(word_list(t), marks).tobytes()) for d, t in rows_of(batches)),
-                           pa.schema([("doc_id", pa.int64()), ("x", pa.binary())]), 512)
-
-    rows = cut(by_batch(train.select("doc_id", "text"), vectors, "doc_id long, x binary"))
-    matrix = lambda column: np.frombuffer(b"".join(column.to_pylist()), dtype=np.float32).reshape(-1, len(marks))
+        for b in batches:
+            if b.num_rows:
+                x = mark_vectors(*split_words(b.column(1)), b.num_rows, marks)
+                yield pa.RecordBatch.from_arrays([pa.array([b.column(0).to_numpy().astype(np.int64).tobytes()], pa.binary()),
+                                                  pa.array([x.tobytes()], pa.binary())], schema=pa.schema([("ids", pa.binary()), ("x", pa.binary())]))
+
+    def packed(batches):
+        for b in batches:
+            for ids, x in zip(*b.columns):
+                yield np.frombuffer(ids.as_buffer(), dtype=np.int64), np.frombuffer(x.as_buffer(), dtype=np.float32).reshape(-1, len(marks))
+
+    def ids_of(batches):
+        for b in batches:
+            for ids in b.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(ids.as_buffer(), dtype=np.int64))], names=["doc_id"])
+
+    rows = cut(by_batch(train.select("doc_id", "text"), vectors, "ids binary, x binary"))
     # the first centre is a random document by its place among the ids: one count a range, then the place in one range
-    ranged = cut(rows.select("doc_id").repartitionByRange("doc_id").select("doc_id", F.spark_partition_id().alias("part")))
+    ranged = cut(rows.select("ids").mapInArrow(ids_of, "doc_id long").repartitionByRange("doc_id").select(
+        "doc_id", F.spark_partition_id().alias("part")))
     sizes = sorted((r["part"], r["n"]) for r in ranged.groupBy("part").agg(F.count("*").alias("n")).collect())
     place = int(np.random.default_rng(seed).integers(sum(n for _, n in sizes), size=1)[0])
     for part, n in sizes:
@@ -317,16 +343,22 @@ def document_groups(train: DataFrame, max_marks: int = 300, steps: int = 20, see
             break
         place -= n
     chosen = ranged.filter(F.col("part") == part).orderBy("doc_id").offset(place).first()["doc_id"]
-    first = rows.filter(F.col("doc_id") == chosen).first()
+
+    def found(batches):
+        for ids, x in packed(batches):
+            at = np.flatnonzero(ids == chosen)
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array([x[at[0]].tobytes()], pa.binary())], names=["x"])
+
+    centres = np.frombuffer(bytes(by_batch(rows, found, "x binary").first()["x"]), dtype=np.float32)[None].copy()
     drop_cut(ranged)
-    centres = np.frombuffer(bytes(first["x"]), dtype=np.float32)[None].copy()
     while len(centres) < GROUPS:  # spread-out starts
         def farthest(batches, centres=centres):
             best = None
-            for b in batches:
-                far = 1 - (matrix(b.column(1)) @ centres.T).max(axis=1)
-                for i in np.flatnonzero(far == far.max()).tolist() if len(far) else ():
-                    mine = (-float(far[i]), b.column(0)[i].as_py(), b.column(1)[i].as_py())
+            for ids, x in packed(batches):
+                far = 1 - (x @ centres.T).max(axis=1)
+                for i in np.flatnonzero(far == far.max()).tolist():
+                    mine = (-float(far[i]), int(ids[i]), x[i].tobytes())
                     best = mine if best is None or mine < best else best
             if best is not None:
                 yield from batched([best], pa.schema([("near", pa.float64()), ("doc_id", pa.int64()), ("x", pa.binary())]))
@@ -338,8 +370,7 @@ def document_groups(train: DataFrame, max_marks: int = 300, steps: int = 20, see
     for _ in range(steps):
         def sums(batches, centres=centres):
             total = np.zeros(centres.shape)
-            for b in batches:
-                x = matrix(b.column(1))
+            for _, x in packed(batches):
                 own = (x @ centres.T).argmax(axis=1)
                 for g in np.unique(own).tolist():
                     total[g] += x[own == g].sum(axis=0, dtype=np.float64)
@@ -348,9 +379,9 @@ def document_groups(train: DataFrame, max_marks: int = 300, steps: int = 20, see
                                pa.schema([("g", pa.int32()), ("i", pa.int32()), ("s", pa.float64())]), 65536)
 
         # at most one number for each centre and mark reaches the driver
-        found = by_batch(rows, sums, "g int, i int, s double").groupBy("g", "i").agg(F.sum("s").alias("s")).toPandas()
+        got = by_batch(rows, sums, "g int, i int, s double").groupBy("g", "i").agg(F.sum("s").alias("s")).toPandas()
         total = np.zeros(centres.shape)
-        total[found["g"], found["i"]] = found["s"]
+        total[got["g"], got["i"]] = got["s"]
         size = np.linalg.norm(total, axis=1, keepdims=True)
         before, centres = centres, np.where(size > 0, total / np.maximum(size, 1e-12), centres).astype(np.float32)
         if np.allclose(before, centres, atol=1e-6):
@@ -359,52 +390,93 @@ def document_groups(train: DataFrame, max_marks: int = 300, steps: int = 20, see
     return marks, centres
 
 
-FOUND = pa.schema([("w", pa.binary()), ("n", pa.int64())])
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.fromiter(map(np.linalg.norm, x), dtype=np.float32, count=len(x)), np.float32(1e-12))[:, None]
+
+
+def mark_vectors(doc: np.ndarray, numbers: np.ndarray, words: pa.Array, n: int, marks: dict[bytes, int]) -> np.ndarray:
+    """Roots of the counts of ``marks`` in each of ``n`` documents, in unit length, from ``split_words``."""
+    mark = places(words, pa.array(list(marks), type=pa.binary()))[numbers]
+    at = mark >= 0
+    count = np.bincount(doc[at] * len(marks) + mark[at], minlength=n * len(marks)).reshape(n, len(marks))
+    return _unit(np.sqrt(count).astype(np.float32))
 
 
 def mark_vector(words: list[bytes], marks: dict[bytes, int]) -> np.ndarray:
-    x = np.zeros(len(marks), dtype=np.float32)
-    for w, n in Counter(filter(marks.__contains__, words)).items():
-        x[marks[w]] = n ** 0.5
-    return x / max(float(np.linalg.norm(x)), 1e-12)
+    """``mark_vectors`` of one document."""
+    return mark_vectors(np.zeros(len(words), dtype=np.int64), np.arange(len(words)), pa.array(words, type=pa.binary()), 1, marks)[0]
 
 
-def word_counts(train: DataFrame, marks, centres, flush: int = 400_000) -> DataFrame:
-    """``w, shape, n, n0 .. n7``: training tokens by word, in all and by document group.  Ends are not in it."""
-    shared = train.sparkSession.sparkContext.broadcast((marks, centres))
-    schema = pa.schema([("w", pa.binary()), ("g", pa.int8()), ("n", pa.int64())])
+def word_counts(train: DataFrame, marks: dict[bytes, int] | None = None, centres: np.ndarray | None = None, flush: int = 400_000) -> DataFrame:
+    """``w, n, docs``: training tokens by word, and the documents that have it.  Ends are not in it.
+
+    ``marks`` and ``centres`` are taken for callers that counted by document group here; ``group_counts`` does that now.
+    """
+    schema = pa.schema([("w", pa.binary()), ("n", pa.int64()), ("docs", pa.int64())])
 
     def run(batches):
-        marks, centres = shared.value
-
-        def give(held):
-            for g, c in enumerate(held):
-                words, counts = list(c), np.fromiter(c.values(), dtype=np.int64, count=len(c))
-                for a in range(0, len(words), 65536):
-                    part = words[a:a + 65536]
-                    yield pa.RecordBatch.from_arrays([pa.array(part, type=pa.binary()), pa.array(np.full(len(part), g, dtype=np.int8)),
-                                                      pa.array(counts[a:a + 65536])], schema=schema)
-
-        held = [Counter() for _ in range(GROUPS)]
-        for _, text in rows_of(batches):
-            words = word_list(text)
-            g = int((centres @ mark_vector(words, marks)).argmax()) if len(marks) else 0
-            held[g].update(words)
-            if sum(map(len, held)) >= flush:
-                yield from give(held)
-                held = [Counter() for _ in range(GROUPS)]
-        yield from give(held)
-
-    rows = by_batch(train.select("doc_id", "text"), run, "w binary, g byte, n long")
-    return rows.groupBy("w").agg(F.sum("n").alias("n"), *[F.sum(F.when(F.col("g") == g, F.col("n")).otherwise(0)).alias(f"n{g}")
-                                                          for g in range(GROUPS)])
-
-
-def learn_words(counts: DataFrame, n_docs: int, max_words: int) -> Words:
-    """Classes of the frequent words (count above a threshold that at most ``max_words`` pass) and the corpus figures."""
-    groups = [f"n{g}" for g in range(GROUPS)]
+        def merged(held):
+            t = pa.concat_tables(held).group_by("w", use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
+            return pa.table([t.column(c) for c in ("w", "n_sum", "docs_sum")], schema=schema)
+
+        held, size = [], 0
+        for b in batches:
+            doc, numbers, words = split_words(b.column(0))
+            k = max(len(words), 1)
+            pairs = np.sort(doc * k + numbers)
+            first = pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])] if len(pairs) else pairs
+            held.append(pa.table([words, pa.array(np.bincount(numbers, minlength=len(words))),
+                                  pa.array(np.bincount(first % k, minlength=len(words)))], schema=schema))
+            size += len(words)
+            if size >= flush:
+                held = [merged(held)]
+                size = held[0].num_rows
+                if 2 * size >= flush:
+                    yield from held[0].to_batches(max_chunksize=65536)
+                    held, size = [], 0
+        if held:
+            yield from merged(held).to_batches(max_chunksize=65536)
+
+    rows = by_batch(train.select("text"), run, "w binary, n long, docs long")
+    return rows.groupBy("w").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+
+
+def group_counts(train: DataFrame, marks: dict[bytes, int], centres: np.ndarray, frequent: list[bytes]):
+    """(tokens of each frequent word by document group, all tokens by group), from every training document."""
+    shared = train.sparkSession.sparkContext.broadcast((marks, centres, frequent))
+
+    def run(batches):
+        marks, centres, frequent = shared.value
+        known = pa.array(frequent, type=pa.binary())
+        total = np.zeros((GROUPS, len(frequent) + 1), dtype=np.int64)
+        for b in batches:
+            doc, numbers, words = split_words(b.column(0))
+            x = mark_vectors(doc, numbers, words, b.num_rows, marks)
+            own = np.fromiter(((centres @ v).argmax() for v in x), dtype=np.int64, count=len(x))
+            # the last column has the words that are not frequent
+            at = own[doc] * total.shape[1] + places(words, known)[numbers] % total.shape[1]
+            total += np.bincount(at, minlength=total.size).reshape(total.shape)
+        any_ = np.flatnonzero(total.any(axis=0))
+        for a in range(0, len(any_), 65536):
+            i = any_[a:a + 65536]
+            yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), *[pa.array(t[i]) for t in total]],
+                                             names=["i", *[f"n{g}" for g in range(GROUPS)]])
+
+    names = [f"n{g}" for g in range(GROUPS)]
+    found = by_batch(train.select("text"), run, "i int, " + ", ".join(f"{c} long" for c in names)).groupBy("i").agg(
+        *[F.sum(c).alias(c) for c in names]).toArrow()
+    total = np.zeros((len(frequent) + 1, GROUPS))
+    total[found["i"].to_numpy()] = np.stack([found[c].to_numpy() for c in names], axis=1) if found.num_rows else 0
+    return total[:-1], total.sum(axis=0)
+
+
+def learn_words(counts: DataFrame, n_docs: int, max_words: int, by_group=None) -> Words:
+    """Classes of the frequent words (count above a threshold that at most ``max_words`` pass) and the corpus figures.
+
+    ``by_group``: from the list of frequent words to what ``group_counts`` returns; without it there is one group.
+    """
     level = F.floor(64 * F.log2("n")).cast("int")
-    steps = counts.groupBy(level.alias("level")).agg(F.count("*").alias("k"), *[F.sum(c).alias(c) for c in ("n", *groups)]).collect()
+    steps = counts.groupBy(level.alias("level")).agg(F.count("*").alias("k"), F.sum("n").alias("n")).collect()
     seen = counts.agg(F.sum((F.col("n") == 1).cast("long")).alias("a"), F.sum((F.col("n") == 2).cast("long")).alias("b")).first()
     n, v = sum(r["n"] for r in steps), sum(r["k"] for r in steps)
     least, room = None, max_words
@@ -414,13 +486,15 @@ def learn_words(counts: DataFrame, n_docs: int, max_words: int) -> Words:
             break
         least = r["level"]
     frequent = counts.filter(level >= (least if least is not None else 1 << 20))
-    top = frequent.select("w", "n", *groups).toArrow()
+    top = frequent.select("w", "n").toArrow()
     words, count = top["w"].to_pylist(), top["n"].to_numpy().astype(np.int64)
     order = sorted(range(len(words)), key=lambda i: (-count[i], words[i]))
-    top, words, count = top.take(pa.array(order, type=pa.int64())), [words[i] for i in order], count[order]
-    by_group = np.stack([top[c].to_numpy() for c in groups], axis=1).astype(float) if top.num_rows else np.zeros((0, GROUPS))
-    size = np.array([sum(r[c] for r in steps) for c in groups], dtype=float)
-    own = (by_group / np.maximum(size, 1)).argmax(axis=1)
+    words, count = [words[i] for i in order], count[order]
+    if by_group is None:
+        own = np.zeros(len(words), dtype=np.int64)
+    else:
+        grouped, size = by_group(words)
+        own = (grouped / np.maximum(size, 1)).argmax(axis=1)
     classes = np.zeros(len(words), dtype=np.int64)
     for g in range(GROUPS):
         at = np.flatnonzero(own == g)
@@ -449,44 +523,41 @@ def shape_column() -> Column:
     return (F.when(mark, 4).otherwise(0) + F.when(plain, 0).otherwise(2) + F.when(F.octet_length("w") > 10, 1).otherwise(0)).cast("int")
 
 
-def class_sequence(words: list[bytes], table: dict[bytes, int], classes: np.ndarray):
-    """Class of every token with the end, the numbers of frequent words (-1: rare), and the rare words."""
-    numbers = np.fromiter(map(table.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-    seq = np.full(len(words) + 1, END, dtype=np.int64)
-    rare = np.flatnonzero(numbers < 0)
-    if len(classes):
-        seq[:-1] = classes[numbers]
-    lost = [words[i] for i in rare.tolist()]
-    seq[rare] = [GROUPS * BANDS + shape(w) for w in lost]
-    return seq, numbers, lost
-
-
 PREPARED = pa.schema([("doc_id", pa.int64()), ("given", pa.int64()), ("held_out", pa.bool_()), ("seq", pa.binary()), ("known", pa.int64()),
                       ("base", pa.float64()), ("within", pa.float64()), ("rare", pa.list_(pa.binary())), ("times", pa.list_(pa.int32()))])
 
 
-def _counted(words: list[bytes]) -> tuple[list[bytes], list[int]]:
-    c = Counter(words)
-    return list(c), list(c.values())
-
-
 def prepare(docs: DataFrame, words: Words) -> DataFrame:
     """Per document of ``docs(doc_id, given, held_out, text)``: class sequence, sums of its frequent words, its rare words with ``times``."""
     shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches):
         words = shared.value
-        base_of = np.log10((words.counts + 1) / (words.n + words.v + 1.0))
+        known = pa.array(list(words.table), type=pa.binary())
+        # a rare word has the last place
+        base_of = np.append(np.log10((words.counts + 1) / (words.n + words.v + 1.0)), 0.0)
         end_base = float(np.log10((words.mass[END] + 1) / (words.n + words.v + 1.0)))
-        within = np.log10(words.counts / np.maximum(words.mass[words.classes], 1)) if len(words.counts) else np.zeros(0)
-
-        def out():
-            for d, given, held, text in rows_of(batches):
-                seq, numbers, lost = class_sequence(word_list(text), words.table, words.classes)
-                numbers = numbers[numbers >= 0]
-                yield (d, given, held, seq.astype(np.uint8).tobytes(), len(numbers) + int(words.mass[END] > 0),
-                       float(base_of[numbers].sum()) + end_base, float(within[numbers].sum()), *_counted(lost))
-        yield from batched(out(), PREPARED, 256)
+        within = np.append(np.log10(words.counts / np.maximum(words.mass[words.classes], 1)) if len(words.counts) else np.zeros(0), 0.0)
+        for b in batches:
+            rows = b.num_rows
+            doc, numbers, distinct = split_words(b.column(3))
+            place = places(distinct, known)
+            kind = words.classes[place] if len(words.classes) else np.zeros(len(place), dtype=np.int64)
+            lost = np.flatnonzero(place < 0)
+            kind[lost] = [GROUPS * BANDS + shape(w) for w in distinct.take(pa.array(lost)).to_pylist()]
+            at = place[numbers]
+            seq = np.full(len(doc) + rows, END, dtype=np.uint8)
+            seq[np.arange(len(doc)) + doc] = kind[numbers]
+            ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=rows) + 1)]).astype(np.int32)
+            sums = lambda a: np.bincount(doc, weights=a, minlength=rows).astype(float)
+            k = max(len(distinct), 1)
+            pairs, times = np.unique((doc * k + numbers)[at < 0], return_counts=True)
+            starts = pa.array(np.searchsorted(pairs, np.arange(rows + 1) * k).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:3], pa.BinaryArray.from_buffers(pa.binary(), rows, [None, pa.py_buffer(ends), pa.py_buffer(seq)]),
+                 pa.array(np.bincount(doc[at >= 0], minlength=rows) + int(words.mass[END] > 0)), pa.array(sums(base_of[at]) + end_base),
+                 pa.array(sums(within[at])), pa.ListArray.from_arrays(starts, distinct.take(pa.array(pairs % k))),
+                 pa.ListArray.from_arrays(starts, pa.array(times.astype(np.int32)))], names=PREPARED.names)
 
     return by_batch(docs.select("doc_id", "given", "held_out", "text"), run,
                     "doc_id long, given long, held_out boolean, seq binary, known long, base double, within double, "
@@ -518,7 +589,7 @@ SCORED = pa.schema([("doc_id", pa.int64()), ("given", pa.int64()), ("held_out",
                     ("base", pa.float64()), ("score", pa.float64())])
 
 
-def score_frequent(prepared: DataFrame, flat: np.ndarray, chunk: int = 1024) -> DataFrame:
+def score_frequent(prepared: DataFrame, flat: np.ndarray, chunk: int = 4096) -> DataFrame:
     """Per document: tokens, class sequence and frequent words scored."""
     shared = prepared.sparkSession.sparkContext.broadcast(flat)
 
@@ -534,7 +605,7 @@ def score_frequent(prepared: DataFrame, flat: np.ndarray, chunk: int = 1024) ->
             for d, given, held_out_, seq, *sums in rows_of(batches):
                 held.append((d, given, held_out_, np.frombuffer(seq, dtype=np.uint8), *sums))
                 size += len(seq)
-                if len(held) >= chunk or size >= 1_000_000:
+                if len(held) >= chunk or size >= 4_000_000:
                     yield from finish(held)
                     held, size = [], 0
             if held:
@@ -550,9 +621,9 @@ def score_documents(docs: DataFrame, *, max_words: int = 200_000, deals: int = 8
     docs, own = numbered(docs)
     marked = docs.withColumn("given", F.col(own or "doc_id")).withColumn("held_out", held_out(F.col("given")))
     training = marked.filter("NOT held_out")
-    marks, centres = document_groups(training)
-    counts = cut(word_counts(training, marks, centres))
-    words = learn_words(counts, training.count(), max_words)
+    counts = cut(word_counts(training))
+    marks, centres = document_groups(training, counts=counts)
+    words = learn_words(counts, training.count(), max_words, lambda frequent: group_counts(training, marks, centres, frequent))
     prepared = cut(prepare(marked, words))
     scored = score_frequent(prepared, train(prepared, words, deals=deals))
     total = words.n + words.v + 1.0

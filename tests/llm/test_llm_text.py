@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -451,3 +452,31 @@ def test_document_groups_read_every_document(spark):
             yield b
     lm.document_groups(docs.mapInArrow(seen, docs.schema), max_marks=4, steps=1)
     assert reads.value == 2 * len(texts)   # counted, then made vectors: no document is left out
+
+
+def test_groups_need_one_reading_beside_the_counts(spark):
+    texts = ["red green", "Cold\tWARM \u0085x", " \n", None, "a\x0bb\x0cc\x1cd   e", "red red"] * 40
+    doc, numbers, words = lm.split_words(pa.array(texts))
+    words = words.to_pylist()
+    got = [[] for _ in texts]
+    for d, i in zip(doc.tolist(), numbers.tolist()):
+        got[d].append(words[i])
+    assert got == [(t or "").encode().lower().split() for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counts = lm.word_counts(docs, flush=3)
+    want, within = Counter(w for ws in got for w in ws), Counter(w for ws in got for w in set(ws))
+    assert {bytes(r["w"]): (r["n"], r["docs"]) for r in counts.collect()} == {w: (want[w], within[w]) for w in want}
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+    marks, centres = lm.document_groups(docs.mapInArrow(seen, docs.schema), max_marks=4, counts=counts)
+    assert reads.value == len(texts)
+    frequent = [b"red", b"cold"]
+    by_group, size = lm.group_counts(docs, marks, centres, frequent)
+    own = [int((centres @ lm.mark_vector(ws, marks)).argmax()) for ws in got]
+    for g in range(lm.GROUPS):
+        mine = Counter(w for ws, o in zip(got, own) if o == g for w in ws)
+        assert by_group[:, g].tolist() == [mine[w] for w in frequent] and size[g] == sum(mine.values())
