@@ -107,7 +107,8 @@ def als_half_step(ratings: DataFrame, fixed: DataFrame, fixed_key: str, out_key:
     and call ``half_step`` themselves.
     """
     r = ratings.select(F.col(fixed_key).alias("user"), F.col(out_key).alias("item"), "rating")
-    blocks = RatingBlocks.of(r, sides=("item",))
+    # one pass only: small blocks cost a few more messages and keep a task's memory low
+    blocks = RatingBlocks.of(r, per_block=500_000, sides=("item",))
     try:
         return cut(half_step(blocks, fixed, "item", k, lam))
     finally:
