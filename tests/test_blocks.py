@@ -145,3 +145,20 @@ def test_a_grid_sends_fewer_messages_and_gives_the_same_sums(problem):
     for g2, c2, loss2 in sums.values():
         assert g.keys() == g2.keys() and all(np.allclose(g[i], g2[i], atol=1e-10) for i in g)
         assert np.allclose(c, c2, atol=1e-10) and abs(loss - loss2) < 1e-10
+
+
+def test_routes_shuffle_each_id_once_a_block_and_a_shared_layout_outlives_its_runs(problem):
+    from latentspark.operators import blocks as bl
+    from latentspark.plans.descent import Problem, fit_gd_fixed
+    r, x, _ = problem
+    b = RatingBlocks.of(r, per_block=60, sides=("grid",))
+    rows = b.rows["grid"].select("block", "own", "other")
+    want = {(row["block"], s, row[c]) for row in rows.collect() for s, c in ((0, "own"), (1, "other"))}
+    for held in (1, 7, 1 << 18):
+        ends = [tuple(row) for row in rows.mapInArrow(bl._ends(0, 1, held), "block int, side int, id long").collect()]
+        assert len(ends) == len(want) and set(ends) == want
+    assert {(k, row["side"], row["id"]) for row in b.routes["grid"].collect() for k in row["blocks"]} == want
+    runs = [fit_gd_fixed(Problem(r, K, LAM, N, b, shared=True), x, 1e-4, 0.0, max_iter=2).trace.rows for _ in range(2)]
+    assert runs[0] == runs[1] and b.rows["grid"].is_cached and b.routes["grid"].is_cached
+    b.release()
+    assert not b.rows["grid"].is_cached
