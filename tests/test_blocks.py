@@ -162,3 +162,10 @@ def test_routes_shuffle_each_id_once_a_block_and_a_shared_layout_outlives_its_ru
     assert runs[0] == runs[1] and b.rows["grid"].is_cached and b.routes["grid"].is_cached
     b.release()
     assert not b.rows["grid"].is_cached
+
+
+def test_a_null_id_has_no_route(spark):
+    from latentspark.operators import blocks as bl
+    rows = spark.createDataFrame([(0, 1, None), (0, None, 5), (0, None, None), (1, 2, 5)], "block int, own long, other long").coalesce(1)
+    ends = rows.mapInArrow(bl._ends(0, 1), "block int, side int, id long").collect()
+    assert sorted(tuple(row) for row in ends) == [(0, 0, 1), (0, 1, 5), (1, 0, 2), (1, 1, 5)]
