@@ -21,7 +21,8 @@ Plan:
    truncated back-propagation over the documents of the round (one of ``deals``
    parts of the training documents, by hash of the id) and returns its weights,
    averaged by an aggregate over weight numbers.  Each part has its round, so
-   every training document is read once.
+   every training document is read once.  A task begins its long documents first, so
+   that none of them is read alone at the end.
 4. Scoring of every document, window by window with the state carried on, many
    documents side by side.  Rare words meet their counts in a join, and return
    as sums.
@@ -66,14 +67,12 @@ def _sizes(h: int = HIDDEN):
     return [("x", (CLASSES, 3 * h)), ("u", (h, 2 * h)), ("c", (h, h)), ("b", (h,)), ("o", (h, CLASSES)), ("p", (CLASSES,))]
 
 
+_ENDS = np.cumsum([int(np.prod(size)) for _, size in _sizes()]).tolist()
+
+
 def unpack(flat: np.ndarray) -> dict[str, np.ndarray]:
     """Named weights as views into one vector."""
-    out, at = {}, 0
-    for name, size in _sizes():
-        n = int(np.prod(size))
-        out[name] = flat[at:at + n].reshape(size)
-        at += n
-    return out
+    return {name: flat[lo:hi].reshape(size) for (name, size), lo, hi in zip(_sizes(), [0, *_ENDS], _ENDS)}
 
 
 def start_weights(class_mass: np.ndarray, seed: int = 5) -> np.ndarray:
@@ -154,7 +153,7 @@ def gradient(w: dict, inputs: np.ndarray, targets: np.ndarray, live: np.ndarray,
     weight = (live.ravel() / total).astype(np.float32)
     d *= (weight / sums)[:, None]
     d[np.arange(len(d)), targets.ravel()] -= weight
-    g = np.zeros(sum(int(np.prod(s)) for _, s in _sizes()), dtype=np.float32)
+    g = np.zeros(_ENDS[-1], dtype=np.float32)
     gw = unpack(g)
     outward = flat_states.T @ d
     gw["o"][:], gw["p"][:] = outward[:-1], outward[-1]
@@ -564,6 +563,21 @@ def prepare(docs: DataFrame, words: Words) -> DataFrame:
                     "rare array<binary>, times array<int>")
 
 
+def long_first(sequences, most: int = 4_000_000):
+    """The sequences of at most about ``most`` tokens at a time, those of 1,024 tokens and more first, by whole thousands; the others stay in order.
+
+    A document is read from start to end by one row.  A long one that starts last would go on alone, window after window.
+    """
+    held, size = [], 0
+    for item in sequences:
+        held.append(item)
+        size += len(item[1])
+        if size >= most:
+            yield from sorted(held, key=lambda s: -(len(s[1]) >> 10))
+            held, size = [], 0
+    yield from sorted(held, key=lambda s: -(len(s[1]) >> 10))
+
+
 def train(prepared: DataFrame, words: Words, *, deals: int = 8) -> np.ndarray:
     """Weights after ``deals`` rounds of parallel training and averaging; round r reads part r of the documents not held out."""
     context = prepared.sparkSession.sparkContext
@@ -573,7 +587,7 @@ def train(prepared: DataFrame, words: Words, *, deals: int = 8) -> np.ndarray:
         part = prepared.filter(~F.col("held_out") & (F.pmod(F.xxhash64("doc_id", F.lit(99)), F.lit(deals)) == r))
 
         def run(batches, weights=weights):
-            new, seen = train_on(weights.value, ((d, np.frombuffer(seq, dtype=np.uint8)) for d, seq in rows_of(batches)))
+            new, seen = train_on(weights.value, long_first((d, np.frombuffer(seq, dtype=np.uint8)) for d, seq in rows_of(batches)))
             if seen:
                 yield from batched(((i, float(x) * seen, seen) for i, x in enumerate(new.tolist())),
                                    pa.schema([("i", pa.int32()), ("x", pa.float64()), ("n", pa.float64())]), 65536)
