@@ -169,3 +169,17 @@ def test_a_null_id_has_no_route(spark):
     rows = spark.createDataFrame([(0, 1, None), (0, None, 5), (0, None, None), (1, 2, 5)], "block int, own long, other long").coalesce(1)
     ends = rows.mapInArrow(bl._ends(0, 1), "block int, side int, id long").collect()
     assert sorted(tuple(row) for row in ends) == [(0, 0, 1), (0, 1, 5), (1, 0, 2), (1, 1, 5)]
+
+
+def test_grams_of_few_and_of_many_rows_agree():
+    from latentspark.operators.blocks import MANY, _grams
+    rng = np.random.default_rng(2)
+    upper = np.triu_indices(4)
+    for sizes in ([1, 3, MANY - 1], [MANY, 200, MANY + 5], [2, 300, 1, MANY, MANY - 1, 40, 7]):
+        ends = np.cumsum(sizes)
+        x = rng.normal(size=(ends[-1], 4))
+        got = _grams(x, ends - sizes, ends, upper)
+        want = [(x[e - n:e].T @ x[e - n:e])[upper] for n, e in zip(sizes, ends)]
+        assert got.shape == (len(sizes), 10) and np.allclose(got, want, rtol=1e-12)
+        # an id's sums do not depend on the ids beside it
+        assert all((g == _grams(x[e - n:e], np.array([0]), np.array([n]), upper)[0]).all() for g, n, e in zip(got, sizes, ends))

@@ -68,3 +68,11 @@ def test_a_step_is_one_pass_over_the_ratings(problem, monkeypatch):
         passes.clear()
         found = fit(descent.Problem(r, K, LAM, n))
         assert set(passes) == {"line"} and len(passes) <= most and len(found.trace.rows) >= 4
+
+
+def test_more_blocks_than_cores_come_in_whole_waves(spark, problem):
+    cores = spark.sparkContext.defaultParallelism
+    for sides in (("user",), ("grid",)):
+        b = RatingBlocks.of(problem[0], per_block=100, sides=sides)
+        assert b.n_blocks > cores and b.n_blocks % cores <= (b.n_blocks // 8 if sides == ("grid",) else 0)
+        b.release()
