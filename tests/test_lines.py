@@ -55,6 +55,21 @@ def test_ratings_without_a_vector_and_null_ids_do_not_count(spark, problem):
     prob.release()
 
 
+def test_a_vector_that_lacks_a_number_counts_in_no_sum(spark, problem):
+    r, x, n = problem
+    odd = spark.createDataFrame([(None, [None, None, None]), (None, [1.0, 2.0, 3.0]), (77, [1.0, None, 2.0]), (78, None)],
+                                "id long, features array<double>")
+    prob = descent.Problem(r, K, LAM, n)
+    at = Params(x.uf.unionByName(odd), x.vf)
+    p, line = prob.start(at), prob.along(prob.line(at), 0.0)
+    assert np.isclose(line.loss, p.loss, rtol=1e-12) and np.isclose(line.gg, p.gg, rtol=1e-12) and np.isfinite(line.c).all()
+    found = sorted((q["id"] or 0, str(q["features"])) for q in prob.end(line, 0.0).table().filter("id IS NULL OR id > 70").collect())
+    assert found == [(0, "[1.0, 2.0, 3.0]"), (0, "[None, None, None]"), (77, "[1.0, None, 2.0]"), (78, "[None, None, None]")]
+    prob.release()
+    fit = descent.fit_cg(prob, at, 3)
+    assert all(np.isfinite(row["loss"]) for row in fit.trace.rows) and len(fit.trace.rows) == 4
+
+
 def test_a_step_is_one_pass_over_the_ratings(problem, monkeypatch):
     """m7, m6 and m5 took two jobs over the ratings a step; no pass of the old kind is left in them, and a step has one line."""
     r, x, n = problem
