@@ -91,3 +91,13 @@ def test_more_blocks_than_cores_come_in_whole_waves(spark, problem):
         b = RatingBlocks.of(problem[0], per_block=100, sides=sides)
         assert b.n_blocks > cores and b.n_blocks % cores <= (b.n_blocks // 8 if sides == ("grid",) else 0)
         b.release()
+
+
+def test_at_an_optimum_nothing_is_left_to_do(spark, problem):
+    """Ratings that are the predictions themselves: no error, not even of rounding, so the trainers end at once."""
+    from latentspark.operators.ratings import predict
+    r, x, n = problem
+    exact = predict(r, x.uf, x.vf, K).selectExpr("user", "item", "pred rating").persist()
+    for trainer in (descent.fit_cg, lambda *a: descent.fit_gd_linesearch(*a, max_iter=3)):
+        fit = trainer(descent.Problem(exact, K, 0.0, n), x)
+        assert fit.converged and len(fit.trace.rows) <= 1
