@@ -135,3 +135,20 @@ def test_ids_without_ratings_get_zero_vector(spark):
     x = als_sweeps(r, x0, 2, 0.1, 1, 14, 15)
     f = to_dict(x.uf)
     assert f[12] == [0.0, 0.0] and f[13] == [0.0, 0.0]
+
+
+def test_library_blocks_grow_with_the_ratings(spark, monkeypatch):
+    from pyspark.ml.recommendation import ALS
+
+    from latentspark.plans.als import fit_als_builtin
+    given, plain = [], ALS.setNumBlocks
+    monkeypatch.setattr(ALS, "setNumBlocks", lambda self, n: (given.append(n), plain(self, n))[1])
+    r = spark.createDataFrame([(u, i, float(1 + (u + i) % 5)) for u in range(30) for i in range(20) if (u * i) % 3], "user int, item int, rating double")
+    n = r.count()
+    many = fit_als_builtin(r, rank=2, max_iter=2, per_block=20)
+    cores = spark.sparkContext.defaultParallelism
+    assert n > 10 * 20 and len(given) == 1 and given[0] % cores == 0 and n / 20 <= given[0] < n / 20 + cores
+    fit_als_builtin(r, rank=2, max_iter=2)
+    fit_als_builtin(r, rank=2, max_iter=2, per_block=-(-n // 10), n_ratings=n)
+    assert len(given) == 1  # few ratings: the library's own blocks
+    assert many.uf.count() == 30 and many.vf.count() == 20
