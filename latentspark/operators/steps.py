@@ -15,6 +15,7 @@ Null ids meet nothing; vectors of a side that lack an id are treated like an inn
 
 from __future__ import annotations
 
+import gc
 from collections import defaultdict
 
 import numpy as np
@@ -248,6 +249,7 @@ class Walk:
                 hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
         if self.ends and self.done - self.cleaned >= CLEAN:
             self.cleaned = self.done
+            gc.collect()
             self.spark.sparkContext._jvm.System.gc()  # Spark deletes a shuffle's files when the driver's memory lets go of it
 
     def release(self) -> None:
